@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspar.plans.ordered import same
+from larkspar.plans.ordered import join_same
 from larkspar.plans.sizing import BROADCAST_BYTES, broadcast_if_small
 
 
@@ -73,7 +73,7 @@ def band_join(points: DataFrame, bands: DataFrame, at: str, low: str, high: str,
 def bag_subtract(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of ``left`` that do not occur in ``right``, keeping their copies; nulls compare equal."""
     seen = right.distinct()
-    return left.join(seen, same(left, seen, left.columns), "left_anti")
+    return join_same(left, seen, left.columns, "left_anti")
 
 
 def cogroup_bags(key: str, value: str, **inputs: DataFrame) -> DataFrame:

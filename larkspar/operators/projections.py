@@ -45,5 +45,6 @@ def parse_lines_by_split(lines: DataFrame, schema: StructType, sep: str = ",") -
 
 def parse_lines_by_schema(lines: DataFrame, schema: StructType, sep: str = ",") -> DataFrame:
     """Parse each line as one typed record."""
-    row = F.from_csv(F.col("value"), schema.simpleString()[len("struct<"):-1].replace(":", " "), {"sep": sep})
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    row = F.from_csv(F.col("value"), ddl, {"sep": sep})
     return lines.select(row.alias("r")).select("r.*")

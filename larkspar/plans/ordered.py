@@ -20,9 +20,12 @@ from larkspar.session import cut_lineage
 SLICE = "_slice"
 
 
-def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    """Null-safe equality of the named columns of two DataFrames."""
-    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
+def join_same(left: DataFrame, right: DataFrame, names: list[str], how: str) -> DataFrame:
+    """Join on null-safe equality of ``names``; the result has them once, from the left."""
+    renamed = right.withColumnsRenamed({n: f"_right_{n}" for n in names})
+    equal = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_right_{n}")) for n in names])
+    joined = left.join(renamed, equal, how)
+    return joined.drop(*[f"_right_{n}" for n in names])
 
 
 def slices(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -58,13 +61,9 @@ def running(df: DataFrame, keys: list[str], order: list[Column], totals: dict[st
         .where(F.col("_rows").isNotNull())
         .drop("_rows")
     )
-    joined = local.join(F.broadcast(carry), same(local, carry, place), "left")
-    kept = [local[c] for c in df.columns]
-    def plus_carry(name: str) -> Column:
-        before = carry[f"_carry_{name}"]
-        return F.when(before.isNull(), local[name]).when(local[name].isNull(), before).otherwise(local[name] + before)
-
-    return joined.select(*kept, *[plus_carry(n).alias(n) for n in totals])
+    joined = join_same(local, F.broadcast(carry), place, "left")
+    summed = {n: F.coalesce(F.col(n) + F.col(f"_carry_{n}"), F.col(n), F.col(f"_carry_{n}")) for n in totals}
+    return joined.select(*df.columns, *[e.alias(n) for n, e in summed.items()])
 
 
 def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str = "rn") -> DataFrame:
