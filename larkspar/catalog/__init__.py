@@ -1,6 +1,16 @@
 """All registered queries; importing the package fills the registry."""
 
-from larkspar.catalog import aggregates, joins, missing, projections, scalars, sorting, windows  # noqa: F401
+from larkspar.catalog import (  # noqa: F401
+    aggregates,
+    joins,
+    missing,
+    projections,
+    scalars,
+    sinks,
+    sorting,
+    sources,
+    windows,
+)
 from larkspar.catalog.registry import JOBS, SQL, runnable
 
 __all__ = ["JOBS", "SQL", "runnable"]
