@@ -9,6 +9,7 @@ from larkspar.catalog import (  # noqa: F401
     sinks,
     sorting,
     sources,
+    streams,
     windows,
 )
 from larkspar.catalog.registry import JOBS, SQL, runnable
