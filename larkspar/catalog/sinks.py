@@ -106,7 +106,7 @@ def sink_table_modes(t):
 def sink_table_bucketed(t):
     table = unique("orders_bucketed")
     orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
-    save_bucketed(orders, table, t.folder("bucketed"), "o_orderstatus", "o_orderkey", 12)
+    save_bucketed(orders, table, t.folder("bucketed"), "o_orderstatus", "o_orderkey")
     return t.spark.table(table)
 
 

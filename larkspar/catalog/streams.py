@@ -10,7 +10,7 @@ from larkspar.catalog.registry import query
 from larkspar.catalog.sources import unique
 from larkspar.sources import folder_log, messages
 from larkspar.sources.databases import database_url, delete_batch, read_table, write_table
-from larkspar.sources.files import stage
+from larkspar.sources.files import Staged, stage
 from larkspar.streaming.row_writer import LineWriter
 from larkspar.streaming.run import (
     append_to_files,
@@ -27,39 +27,40 @@ EVENT_DDL = "event_id bigint, ts timestamp, user_id bigint, event_type string, v
 EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
-def event_stream(t, files: int = 4, per_trigger: int | None = None, fmt: str = "json", **options) -> DataFrame:
-    """Events staged as ``files`` files and read back as a stream."""
-    path = stage(t.timed_events, t.folder("events"), fmt, files, **EXACT, **options)
-    reader = t.spark.readStream.schema(EVENT_DDL).options(**EXACT, **options)
-    if per_trigger:
-        reader = reader.option("maxFilesPerTrigger", per_trigger)
-    return reader.format(fmt).load(path)
+def read_staged(t, staged: Staged, fmt: str, schema: str, batches: int | None = None, **options) -> DataFrame:
+    """Staged files as a stream that takes ``batches`` micro-batches, or as many as it likes."""
+    reader = t.spark.readStream.schema(schema).options(**options)
+    if batches:
+        reader = reader.option("maxFilesPerTrigger", staged.per_trigger(batches))
+    return reader.format(fmt).load(staged.path)
+
+
+def event_stream(t, batches: int | None = None, files: int = 4) -> DataFrame:
+    """Events staged as JSON files and read back as a stream."""
+    staged = stage(t.timed_events, t.folder("events"), "json", files, **EXACT)
+    return read_staged(t, staged, "json", EVENT_DDL, batches, **EXACT)
 
 
 def plain_time(df: DataFrame) -> DataFrame:
     return df.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
-def text_stream(t, files: int = 4, per_trigger: int | None = None) -> DataFrame:
+def text_stream(t, batches: int | None = None) -> DataFrame:
     """Documents as a stream of lines: a text with line breaks is several lines."""
-    path = stage(t.documents.select(F.col("text").alias("value")), t.folder("lines"), "text", files)
-    reader = t.spark.readStream
-    if per_trigger:
-        reader = reader.option("maxFilesPerTrigger", per_trigger)
-    return reader.text(path)
+    staged = stage(t.documents.select(F.col("text").alias("value")), t.folder("lines"), "text", 4)
+    return read_staged(t, staged, "text", "value string", batches)
 
 
 @query("src_stream_json", "SELECT * FROM events")
 def src_stream_json(t):
-    return plain_time(appended(event_stream(t, 6, per_trigger=2)))
+    return plain_time(appended(event_stream(t, batches=3, files=6)))
 
 
 @query("src_stream_csv", "SELECT * EXCLUDE (props) FROM events")
 def src_stream_csv(t):
     rows = t.timed_events.drop("props")
-    path = stage(rows, t.folder("events-csv"), "csv", 4, sep=",", **EXACT)
-    reader = t.spark.readStream.schema(EVENT_DDL.rsplit(",", 1)[0]).options(sep=",", **EXACT)
-    return plain_time(appended(reader.csv(path)))
+    staged = stage(rows, t.folder("events-csv"), "csv", 4, sep=",", **EXACT)
+    return plain_time(appended(read_staged(t, staged, "csv", EVENT_DDL.rsplit(",", 1)[0], sep=",", **EXACT)))
 
 
 LINES_SQL = "SELECT unnest(string_split(text, chr(10))) AS value FROM documents"
@@ -67,7 +68,7 @@ LINES_SQL = "SELECT unnest(string_split(text, chr(10))) AS value FROM documents"
 
 @query("src_stream_text", f"SELECT value, count(*) AS n FROM ({LINES_SQL}) GROUP BY value")
 def src_stream_text(t):
-    return appended(text_stream(t, 6, per_trigger=3)).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    return appended(text_stream(t, batches=2)).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("src_stream_lines", f"""
@@ -84,19 +85,18 @@ CUSTOM_DDL = "event_id bigint, user_id bigint, event_type string, value double"
 @query("src_stream_custom", "SELECT event_id, user_id, event_type, value FROM events")
 def src_stream_custom(t):
     """User-defined source over a folder; every file can be read again after a failure."""
-    path = stage(t.events.select("event_id", "user_id", "event_type", "value"), t.folder("log"), "parquet", 4)
+    path = stage(t.events.select("event_id", "user_id", "event_type", "value"), t.folder("log"), "parquet", 4).path
     folder_log.register(t.spark)
     return appended(t.spark.readStream.format("folder_log").options(path=path, ddl=CUSTOM_DDL).load())
 
 
-def message_stream(t, files: int = 4) -> DataFrame:
+def message_stream(t) -> DataFrame:
     """Events as a message log: topic by type, partition by user, offset by id."""
     log = messages.envelope(
         t.timed_events, F.col("user_id"), F.col("props"), F.concat(F.lit("topic."), "event_type"),
         F.col("user_id") % 4, F.col("event_id"), F.col("ts"),
     )
-    path = stage(log, t.folder("messages"), "parquet", files)
-    return t.spark.readStream.schema(messages.SCHEMA).parquet(path)
+    return read_staged(t, stage(log, t.folder("messages"), "parquet", 4), "parquet", messages.SCHEMA)
 
 
 MESSAGES_SQL = """
@@ -149,7 +149,7 @@ def stream_offset_ranges(t):
     GROUP BY word""")
 def st_word_count(t):
     """Running word counts over several micro-batches, complete mode."""
-    return completed(word_totals(text_stream(t, 4, per_trigger=2)))
+    return completed(word_totals(text_stream(t, batches=2)))
 
 
 @query("st_json_agg", """
@@ -164,13 +164,13 @@ def st_json_agg(t):
     )
     camera = F.struct(F.col("user_id").cast("string").alias("device_id"), event.alias("last_event"))
     body = F.to_json(F.struct(F.struct(camera.alias("cameras")).alias("devices")))
-    path = stage(t.timed_events.select(body.alias("value")), t.folder("cameras"), "text", 4)
-    return completed(camera_counts(t.spark.readStream.text(path)))
+    staged = stage(t.timed_events.select(body.alias("value")), t.folder("cameras"), "text", 4)
+    return completed(camera_counts(read_staged(t, staged, "text", "value string")))
 
 
 @query("st_distinct", "SELECT DISTINCT user_id, event_type FROM events")
 def st_distinct(t):
-    pairs = event_stream(t, 4, per_trigger=2).select("user_id", "event_type")
+    pairs = event_stream(t, batches=2).select("user_id", "event_type")
     return appended(pairs.dropDuplicates(["user_id", "event_type"]))
 
 
@@ -229,31 +229,28 @@ STATE_SQL = """
       UNION ALL SELECT event_type, 1 FROM events) GROUP BY k"""
 
 
-def _saved_and_new(t, per_trigger: int | None) -> DataFrame:
-    saved = stage(
-        t.customer.groupBy(F.col("c_mktsegment").alias("key")).agg(F.lit(100).cast("long").alias("n")),
-        t.folder("saved"), "parquet", 1,
-    )
-    counted = event_stream(t, 4, per_trigger).select(F.col("event_type").alias("key"), F.lit(1).cast("long").alias("n"))
-    return with_saved_totals(t.spark.readStream.schema("key string, n bigint").parquet(saved), counted, "key", "n")
-
-
 @query("st_update_state", STATE_SQL)
 def st_update_state(t):
     """Running sum per key that starts from saved totals; every key is emitted."""
-    return completed(_saved_and_new(t, per_trigger=2))
+    saved = t.folder("saved")
+    t.customer.groupBy(F.col("c_mktsegment").alias("key")).agg(F.lit(100).cast("long").alias("n")).write.parquet(saved)
+    counted = event_stream(t, batches=2).select(F.col("event_type").alias("key"), F.lit(1).cast("long").alias("n"))
+    first = t.spark.readStream.schema("key string, n bigint").parquet(saved)
+    return completed(with_saved_totals(first, counted, "key", "n"))
 
 
 @query("st_state_restart", "SELECT event_type, CAST(2 * count(*) AS BIGINT) AS n FROM events GROUP BY event_type")
 def st_state_restart(t):
     """Stop after the first drop of files, restart from the checkpoint for the second."""
     path, log = t.folder("drops"), t.folder("stream-log")
-    rows = t.events.select("event_type")
-    counts = lambda: t.spark.readStream.schema("event_type string").json(path).groupBy("event_type").count()
-    rows.repartition(2).write.json(path)
-    completed(counts(), checkpoint=log)
-    rows.repartition(3).write.mode("append").json(path)
-    return completed(counts(), checkpoint=log).withColumnRenamed("count", "n")
+
+    def run_once() -> DataFrame:
+        stage(t.events.select("event_type"), path, "json", 2)
+        stream = t.spark.readStream.schema("event_type string").json(path)
+        return completed(stream.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")), checkpoint=log)
+
+    run_once()
+    return run_once()
 
 
 @query("st_output_modes", """
@@ -262,7 +259,7 @@ def st_state_restart(t):
     UNION ALL SELECT 'update', event_type, count(*) FROM events GROUP BY event_type""")
 def st_output_modes(t):
     """Rows as they come, the whole result, and changed groups only: the same totals."""
-    stream = event_stream(t, 4, per_trigger=2).select("event_type")
+    stream = event_stream(t, batches=2).select("event_type")
     counted = stream.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
     by_append = appended(stream).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
     changes = updates(counted)
@@ -279,12 +276,12 @@ def st_output_modes(t):
     SELECT event_type, count(*) AS one_batch, count(*) AS many_batches, count(*) AS fixed_interval FROM events GROUP BY event_type""")
 def st_triggers(t):
     """One batch, many batches and a fixed interval end with the same totals."""
-    stream = lambda n: event_stream(t, 4, n).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    path = t.folder("interval")
-    every = appended_every(event_stream(t, 4).select("event_type"), path, t.folder("stream-log"))
+    def totals(name: str, batches: int | None) -> DataFrame:
+        return completed(event_stream(t, batches).groupBy("event_type").agg(F.count(F.lit(1)).alias(name)))
+
+    every = appended_every(event_stream(t).select("event_type"), t.folder("interval"), t.folder("stream-log"))
     return (
-        completed(stream(None)).withColumnRenamed("n", "one_batch")
-        .join(completed(stream(1)).withColumnRenamed("n", "many_batches"), "event_type")
+        totals("one_batch", None).join(totals("many_batches", 4), "event_type")
         .join(every.groupBy("event_type").agg(F.count(F.lit(1)).alias("fixed_interval")), "event_type")
     )
 
@@ -302,29 +299,31 @@ def appended_every(stream: DataFrame, path: str, log: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
-@query("st_file_rate_limit", "SELECT 6 AS n_files, 3 AS n_batches, count(*) AS n_rows FROM events")
+@query("st_file_rate_limit", "SELECT true AS files_per_batch_kept, count(*) AS n_rows FROM events")
 def st_file_rate_limit(t):
-    """Two files per trigger: half as many batches as files."""
+    """No micro-batch takes more files than the limit, and none is smaller than it must be."""
+    staged = stage(t.timed_events, t.folder("events"), "json", 6, **EXACT)
+    stream = read_staged(t, staged, "json", EVENT_DDL, batches=3, **EXACT)
     path = t.folder("batches")
     for_each_batch(
-        event_stream(t, 6, per_trigger=2).select("event_id", F.input_file_name().alias("file")),
+        stream.select("event_id", F.input_file_name().alias("file")),
         lambda batch, batch_id: batch.write.mode("overwrite").parquet(batch_folder(path, batch_id)),
     )
-    return t.spark.read.parquet(path).agg(
-        F.countDistinct("file").cast("int").alias("n_files"), F.countDistinct("batch_id").cast("int").alias("n_batches"),
-        F.count(F.lit(1)).alias("n_rows"),
+    limit = staged.per_trigger(3)
+    per_batch = t.spark.read.parquet(path).groupBy("batch_id").agg(
+        F.countDistinct("file").alias("files"), F.count(F.lit(1)).alias("n")
     )
+    kept = (F.max("files") <= limit) & (F.count(F.lit(1)) == F.ceil(F.sum("files") / limit))
+    return per_batch.agg(kept.alias("files_per_batch_kept"), F.sum("n").alias("n_rows"))
 
 
 @query("st_ignore_partial_files", "SELECT count(*) AS n FROM events")
 def st_ignore_partial_files(t):
     """Copies still being written, under a temporary name or suffix, are not read."""
-    path = t.folder("copies")
-    ids = t.events.select("event_id")
-    ids.repartition(3).write.json(path)
+    path = stage(t.events.select("event_id"), t.folder("copies"), "json", 3).path
     system, root = folder_log.open_folder(path)
     whole = [i for i in system.get_file_info(folder_log.fs.FileSelector(root)) if i.base_name.endswith(".json")]
-    for info in whole:
+    for info in whole[:2]:
         system.copy_file(info.path, f"{info.path}._COPYING_")
         system.copy_file(info.path, f"{info.path}.tmp")
     stream = t.spark.readStream.schema("event_id bigint").option("pathGlobFilter", "*.json").json(path)
@@ -334,7 +333,7 @@ def st_ignore_partial_files(t):
 @query("sink_stream_files", """
     SELECT f.fmt, event_id, event_type, value FROM events, (VALUES ('csv'), ('json'), ('orc')) f(fmt)""")
 def sink_stream_files(t):
-    stream = event_stream(t, 4, per_trigger=2).select("event_id", "event_type", "value")
+    stream = event_stream(t, batches=2).select("event_id", "event_type", "value")
     result = None
     for fmt in ("csv", "json", "orc"):
         path = append_to_files(stream, fmt)
@@ -358,7 +357,7 @@ def sink_stream_messages(t):
 @query("sink_stream_foreach", "SELECT event_id, event_type, value FROM events")
 def sink_stream_foreach(t):
     path = t.folder("lines")
-    stream = event_stream(t, 4, per_trigger=2).select("event_id", "event_type", "value")
+    stream = event_stream(t, batches=2).select("event_id", "event_type", "value")
     finish(stream.writeStream.foreach(LineWriter(path)), t.folder("stream-log"))
     return t.spark.read.schema(stream.schema).json(path)
 
@@ -377,13 +376,13 @@ def _in_database(t, stream: DataFrame, **options) -> DataFrame:
 
 @query("sink_stream_batch", "SELECT event_id, user_id, value FROM events")
 def sink_stream_batch(t):
-    return _in_database(t, event_stream(t, 4, per_trigger=2).select("event_id", "user_id", "value"))
+    return _in_database(t, event_stream(t, batches=2).select("event_id", "user_id", "value"))
 
 
 @query("sink_stream_partition_batch", "SELECT event_id, value FROM events WHERE event_type = 'click'")
 def sink_stream_partition_batch(t):
     """One connection and one commit per partition, rows inserted in batches."""
-    clicks = event_stream(t, 4).where("event_type = 'click'").select("event_id", "value")
+    clicks = event_stream(t).where("event_type = 'click'").select("event_id", "value")
     return _in_database(t, clicks, batchsize=1000, numPartitions=4)
 
 
@@ -392,7 +391,7 @@ def sink_stream_registered(t):
     """A sink chosen by its registered name."""
     folder_log.register(t.spark)
     path = t.folder("log-out")
-    stream = event_stream(t, 4, per_trigger=2).select("event_id", "event_type", "value")
+    stream = event_stream(t, batches=2).select("event_id", "event_type", "value")
     finish(stream.writeStream.format("folder_log").option("path", path), t.folder("stream-log"))
     return folder_log.read_committed(t.spark, path, stream.schema)
 

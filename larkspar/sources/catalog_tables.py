@@ -7,6 +7,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from larkspar.plans.sizing import file_count
+
 
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
@@ -56,14 +58,19 @@ def insert_into(df: DataFrame, table: str, overwrite: bool = False) -> None:
             df.write.mode("overwrite" if overwrite else "append").insertInto(table)
 
 
-def save_bucketed(df: DataFrame, table: str, path: str, partition: str, bucket: str, buckets: int) -> None:
+def save_bucketed(
+    df: DataFrame, table: str, path: str, partition: str, bucket: str, least: int = 12, rows_per_bucket: int = 5_000_000
+) -> int:
     """Partitioned, bucketed and sorted table; later joins on ``bucket`` need no shuffle.
 
-    Rows are first brought together by bucket, so each bucket of a partition is one file.
+    The number of buckets grows with the rows, so a bucket stays small. Rows are
+    brought together by bucket first, so a bucket of a partition is one file.
     """
+    buckets = max(least, file_count(df.count(), rows_per_bucket))
     (
         df.repartition(buckets, bucket)
         .write.mode("overwrite").option("path", path)
         .partitionBy(partition).bucketBy(buckets, bucket).sortBy(bucket)
         .saveAsTable(table)
     )
+    return buckets

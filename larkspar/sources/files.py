@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from math import ceil
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from larkspar.plans.sizing import file_count
 
@@ -23,14 +25,24 @@ def text_records(lines: DataFrame, text: str, fields: dict[str, str], bad: str =
     return rows.select(*others, *[F.col(f"_r.{n}").cast("string").alias(n) for n in fields], F.col(f"_r.{bad}").alias(bad))
 
 
-def all_text(schema: StructType) -> StructType:
-    return StructType([StructField(f.name, StringType()) for f in schema.fields])
+class Staged(NamedTuple):
+    path: str
+    files: int
+
+    def per_trigger(self, batches: int) -> int:
+        """Files per micro-batch so that all files take ``batches`` batches."""
+        return ceil(self.files / batches)
 
 
-def stage(df: DataFrame, path: str, fmt: str, files: int, **options) -> str:
-    """Write ``df`` as about ``files`` files of equal size and return the folder."""
-    df.repartition(files).write.format(fmt).options(**options).save(path)
-    return path
+def stage(df: DataFrame, path: str, fmt: str, at_least: int, **options) -> Staged:
+    """Write a scan of a table as files: one per input partition, but ``at_least`` so many.
+
+    The number of files follows the size of the input, so no task writes a fixed share of it.
+    """
+    parts = df.rdd.getNumPartitions()
+    spread = df if parts >= at_least else df.repartition(at_least)
+    spread.write.format(fmt).options(**options).mode("append").save(path)
+    return Staged(path, max(parts, at_least))
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "json", rows_per_file: int = 1_000_000) -> int:

@@ -28,9 +28,10 @@ MANIFESTS = "_batches"
 
 
 def open_folder(path: str) -> tuple[fs.FileSystem, str]:
-    if "://" in path or path.startswith("file:"):
-        return fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path)
-    return fs.LocalFileSystem(), path
+    """File system and inner path of a folder URI; a bare path or ``file:/path`` is local."""
+    if "://" in path:
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path.removeprefix("file:")
 
 
 @dataclass
@@ -45,7 +46,8 @@ class FolderReader(DataSourceStreamReader):
     def _files(self) -> list[str]:
         system, root = open_folder(self.path)
         infos = system.get_file_info(fs.FileSelector(root))
-        return sorted(i.path for i in infos if i.type == fs.FileType.File and i.base_name.endswith(".parquet"))
+        whole = [i for i in infos if i.type == fs.FileType.File and i.base_name.endswith(".parquet")]
+        return [i.path for i in sorted(whole, key=lambda i: (i.mtime_ns, i.path))]
 
     def initialOffset(self) -> dict:
         return {"files": 0}
