@@ -3,6 +3,7 @@
 from larkspar.catalog import (  # noqa: F401
     aggregates,
     joins,
+    learning,
     missing,
     projections,
     scalars,
