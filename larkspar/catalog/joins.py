@@ -180,12 +180,9 @@ def cogroup(t):
 
 
 @query("subtract_bag", """
-    SELECT c_nationkey AS nation, c_mktsegment AS segment FROM customer
-    WHERE NOT EXISTS (SELECT 1 FROM customer d WHERE d.c_acctbal > 9000
-      AND d.c_nationkey = customer.c_nationkey AND d.c_mktsegment = customer.c_mktsegment)""")
+    SELECT o_custkey, o_orderstatus FROM orders
+    WHERE NOT EXISTS (SELECT 1 FROM orders d WHERE d.o_totalprice > 400000
+      AND d.o_custkey = orders.o_custkey AND d.o_orderstatus = orders.o_orderstatus)""")
 def subtract_bag(t):
-    pairs = t.customer.select(F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment"))
-    wealthy = t.customer.where("c_acctbal > 9000").select(
-        F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment")
-    )
-    return bag_subtract(pairs, wealthy)
+    pairs = t.orders.select("o_custkey", "o_orderstatus")
+    return bag_subtract(pairs, big(t).select("o_custkey", "o_orderstatus"))

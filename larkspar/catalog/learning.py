@@ -166,12 +166,13 @@ TOKENS_SQL = r"regexp_split_to_array(regexp_replace(lower(text), '\s+$', ''), '\
 
 
 @query("ml_tokenize", f"""
-    SELECT doc_id, count(*) AS n_tokens, count(DISTINCT token) AS n_different
-    FROM (SELECT doc_id, unnest({TOKENS_SQL}) AS token FROM documents) GROUP BY doc_id""")
+    SELECT doc_id, len(tokens) AS n_tokens, len(list_distinct(tokens)) AS n_different
+    FROM (SELECT doc_id, {TOKENS_SQL} AS tokens FROM documents)""")
 def ml_tokenize(t):
     tokens = Tokenizer(inputCol="text", outputCol="tokens").transform(t.documents.select("doc_id", "text"))
-    return tokens.select("doc_id", F.explode("tokens").alias("token")).groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_tokens"), F.countDistinct("token").alias("n_different")
+    return tokens.select(
+        "doc_id", F.size("tokens").cast("long").alias("n_tokens"),
+        F.size(F.array_distinct("tokens")).cast("long").alias("n_different"),
     )
 
 

@@ -110,10 +110,12 @@ def map_values(t):
     return pairs.withColumn("v", F.col("v") * 10)
 
 
-@query("map_partitions_index", "SELECT count(*) AS n_rows, 0 AS lowest FROM lineitem")
+@query("map_partitions_index", "SELECT count(*) AS n_rows, true AS indexes_fit FROM lineitem")
 def map_partitions_index(t):
-    sizes = partition_sizes(t.lineitem.select("l_orderkey"))
-    return sizes.agg(F.sum("n_rows").alias("n_rows"), F.min("partition_index").alias("lowest"))
+    lines = t.lineitem.select("l_orderkey")
+    index = F.col("partition_index")
+    fits = (F.min(index) >= 0) & (F.max(index) < lines.rdd.getNumPartitions())
+    return partition_sizes(lines).agg(F.sum("n_rows").alias("n_rows"), fits.alias("indexes_fit"))
 
 
 SPLIT_SQL = """

@@ -69,7 +69,7 @@ def udf_sql(t):
 
 
 @query("udtf_flat_map", f"""
-    SELECT doc_id, count(*) AS n_words, count(DISTINCT word) AS n_different
+    SELECT doc_id, count(*) AS n_words, CAST(sum(length(word)) AS BIGINT) AS n_letters
     FROM (SELECT doc_id, unnest({SPLIT_SQL}) AS word FROM documents) GROUP BY doc_id""")
 def udtf_flat_map(t):
     t.spark.udtf.register("spaced_words", SpacedWords)
@@ -77,5 +77,5 @@ def udtf_flat_map(t):
         "SELECT d.doc_id, w.word FROM {docs} d, LATERAL spaced_words(d.text) w", docs=t.documents.select("doc_id", "text")
     )
     return words.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_words"), F.countDistinct("word").alias("n_different")
+        F.count(F.lit(1)).alias("n_words"), F.sum(F.length("word")).alias("n_letters")
     )
