@@ -160,7 +160,9 @@ def drop_duplicates(t):
 
 def _log_state(batch: pd.DataFrame) -> pd.DataFrame:
     logs = batch.assign(log_sum=np.log(batch["l_quantity"]))
-    return logs.groupby("l_suppkey", as_index=False).agg(log_sum=("log_sum", "sum"), n=("log_sum", "size"))
+    return logs.groupby("l_suppkey", as_index=False, dropna=False).agg(
+        log_sum=("log_sum", "sum"), n=("log_sum", "count")
+    )
 
 
 @query("udaf_custom", """

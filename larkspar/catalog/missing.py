@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from larkspar.catalog.registry import query
 
 HOLES_SQL = """
-    (SELECT event_id, CASE WHEN user_id < 30 THEN NULL ELSE user_id END AS user_id,
+    (SELECT event_id, CASE WHEN user_id < 3 THEN NULL ELSE user_id END AS user_id,
             nullif(event_type, 'error') AS event_type,
             CASE WHEN value < 5 THEN 'NaN'::DOUBLE WHEN value > 20 THEN NULL ELSE value END AS value
      FROM events) h"""
@@ -21,7 +21,7 @@ def holes(t) -> DataFrame:
     value = F.col("value")
     return t.events.select(
         "event_id",
-        F.when(F.col("user_id") >= 30, F.col("user_id")).alias("user_id"),
+        F.when(F.col("user_id") >= 3, F.col("user_id")).alias("user_id"),
         F.nullif("event_type", F.lit("error")).alias("event_type"),
         F.when(value < 5, F.lit(float("nan"))).when(value <= 20, value).alias("value"),
     )

@@ -49,9 +49,9 @@ def proj_rand_column(t):
     return drawn.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(inside).alias("n_in_range"))
 
 
-@query("proj_rename", "SELECT n_nationkey AS id, n_name AS new_name, n_regionkey AS region FROM nation")
+@query("proj_rename", "SELECT s_suppkey AS id, s_name AS new_name, s_nationkey AS nation FROM supplier")
 def proj_rename(t):
-    return t.nation.withColumnRenamed("n_name", "new_name").toDF("id", "new_name", "region")
+    return t.supplier.drop("s_acctbal").withColumnRenamed("s_name", "new_name").toDF("id", "new_name", "nation")
 
 
 @query("proj_drop", "SELECT s_suppkey, s_name, s_nationkey FROM supplier")

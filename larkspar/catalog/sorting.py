@@ -6,8 +6,10 @@ from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from larkspar.catalog.registry import query
+from larkspar.operators.projections import partition_sizes
 from larkspar.operators.sampling import take_with_replacement, take_without_replacement
 from larkspar.plans.ordered import numbered
+from larkspar.plans.sizing import broadcast_if_small
 from larkspar.session import cut_lineage
 
 
@@ -35,11 +37,10 @@ def sort_nulls_last(t):
 
 @query("limit", "SELECT least(count(*), 100) AS n_rows, least(count(*), 100) AS n_known FROM orders")
 def limit(t):
-    some = t.orders.select("o_orderkey").limit(100)
-    known = t.orders.select(F.col("o_orderkey").alias("known_key"))
-    return some.join(known, F.col("o_orderkey") == F.col("known_key"), "left").agg(
-        F.count("o_orderkey").alias("n_rows"), F.count("known_key").alias("n_known")
-    )
+    """Any 100 rows: so many, and all of them from the table."""
+    some = cut_lineage(t.orders.select(F.col("o_orderkey").alias("some_key")).limit(100))
+    known = t.orders.join(broadcast_if_small(some), F.col("o_orderkey") == F.col("some_key"), "left_semi")
+    return known.agg(F.lit(some.count()).cast("long").alias("n_rows"), F.count("o_orderkey").alias("n_known"))
 
 
 @query("top_k", """
@@ -73,13 +74,11 @@ def take_sample(t):
     keys = t.orders.select("o_orderkey")
     once = take_without_replacement(keys, 40, 5).withColumn("kind", F.lit("once"))
     again = take_with_replacement(keys, 40, 5, ["o_orderkey"]).withColumn("kind", F.lit("again"))
-    known = keys.select(F.col("o_orderkey").alias("known_key"))
-    drawn = cut_lineage(once.unionByName(again))
-    return drawn.join(known, F.col("o_orderkey") == F.col("known_key"), "left").agg(
-        F.count_if(F.col("kind") == "once").cast("int").alias("n_once"),
-        F.countDistinct(F.when(F.col("kind") == "once", F.col("o_orderkey"))).cast("int").alias("n_different"),
-        F.count_if(F.col("kind") == "again").cast("int").alias("n_again"),
-        F.count("known_key").cast("int").alias("n_known"),
+    drawn = cut_lineage(once.unionByName(again)).withColumnRenamed("o_orderkey", "drawn_key")
+    once_key = F.when(F.col("kind") == "once", F.col("drawn_key"))
+    return keys.join(broadcast_if_small(drawn), F.col("o_orderkey") == F.col("drawn_key")).agg(
+        F.count(once_key).cast("int").alias("n_once"), F.countDistinct(once_key).cast("int").alias("n_different"),
+        F.count_if(F.col("kind") == "again").cast("int").alias("n_again"), F.count("o_orderkey").cast("int").alias("n_known"),
     )
 
 
@@ -122,27 +121,29 @@ def except_distinct(t):
     return _cheap(t).subtract(_dear(t))
 
 
-@query("coalesce", "SELECT count(*) AS n_rows, true AS not_more, true AS cannot_grow FROM orders")
+@query("coalesce", "SELECT count(*) AS n_rows, true AS halved, true AS cannot_grow FROM orders")
 def coalesce(t):
-    """Shrink without a shuffle; asking for more partitions than there are changes nothing."""
-    spread = t.orders.repartition(6)
-    before, shrunk, grown = (d.rdd.getNumPartitions() for d in (spread, spread.coalesce(2), spread.coalesce(64)))
-    return spread.coalesce(2).groupBy(F.spark_partition_id().alias("p")).count().agg(
-        F.sum("count").alias("n_rows"),
-        ((F.count(F.lit(1)) <= 2) & F.lit(shrunk == 2)).alias("not_more"),
-        F.lit(grown == before).alias("cannot_grow"),
+    """Halve the partitions without a shuffle; asking for more than there are changes nothing."""
+    n = 2 * t.orders.rdd.getNumPartitions() + 4
+    spread = t.orders.select("o_orderkey").repartition(n)
+    halved, grown = (spread.coalesce(m).rdd.getNumPartitions() for m in (n // 2, 2 * n))
+    sizes = partition_sizes(spread.coalesce(n // 2))
+    return sizes.agg(
+        F.sum("n_rows").alias("n_rows"),
+        ((F.count(F.lit(1)) <= n // 2) & F.lit(halved == n // 2)).alias("halved"),
+        F.lit(grown == n).alias("cannot_grow"),
     )
 
 
-@query("repartition", "SELECT count(*) AS n_rows, 12 AS n_partitions, 1 AS partitions_per_key FROM orders")
+@query("repartition", "SELECT count(*) AS n_rows, true AS as_asked, 1 AS partitions_per_key FROM orders")
 def repartition(t):
     """By number the rows are dealt out evenly; by a column every key is in one partition."""
-    dealt = t.orders.repartition(12)
-    placed = t.orders.repartition(12, "o_orderkey").select("o_orderkey", F.spark_partition_id().alias("p"))
+    n = 2 * t.orders.rdd.getNumPartitions() + 4
+    dealt = t.orders.repartition(n)
+    placed = t.orders.repartition(n, "o_orderkey").select("o_orderkey", F.spark_partition_id().alias("p"))
     per_key = placed.groupBy("o_orderkey").agg(F.countDistinct("p").alias("n_parts"), F.count(F.lit(1)).alias("n"))
     return per_key.agg(
-        F.sum("n").alias("n_rows"),
-        F.lit(dealt.rdd.getNumPartitions()).alias("n_partitions"),
+        F.sum("n").alias("n_rows"), F.lit(dealt.rdd.getNumPartitions() == n).alias("as_asked"),
         F.max("n_parts").cast("int").alias("partitions_per_key"),
     )
 

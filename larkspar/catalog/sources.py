@@ -143,12 +143,14 @@ def src_jdbc_partitioned(t):
     return rows.withColumn("n_partitions", F.lit(rows.rdd.getNumPartitions()))
 
 
-@query("src_hive_table", "SELECT s_suppkey, s_name FROM supplier WHERE s_acctbal > 0 ORDER BY 1")
+@query("src_hive_table", "SELECT s_suppkey, s_name, CASE WHEN s_acctbal > 0 THEN 'sql' ELSE 'table' END AS way FROM supplier")
 def src_hive_table(t):
+    """A catalog table read by name and by SQL."""
     name = unique("suppliers")
     t.supplier.write.option("path", t.folder("table")).saveAsTable(name)
-    by_sql = t.spark.sql(f"SELECT s_suppkey, s_acctbal FROM {name}").where("s_acctbal > 0")
-    return t.spark.table(name).join(by_sql.select("s_suppkey"), "s_suppkey", "left_semi").select("s_suppkey", "s_name")
+    by_sql = t.spark.sql(f"SELECT s_suppkey, s_name, 'sql' AS way FROM {name} WHERE s_acctbal > 0")
+    by_name = t.spark.table(name).where("s_acctbal <= 0").select("s_suppkey", "s_name", F.lit("table").alias("way"))
+    return by_sql.unionByName(by_name)
 
 
 @query("src_temp_view", """

@@ -175,11 +175,11 @@ def st_distinct(t):
 
 
 @query("st_na_fill", """
-    SELECT event_id, CASE WHEN user_id < 30 THEN 0 ELSE user_id END AS user_id,
+    SELECT event_id, CASE WHEN user_id < 3 THEN 0 ELSE user_id END AS user_id,
            CASE WHEN event_type = 'error' THEN 'none' ELSE event_type END AS event_type FROM events""")
 def st_na_fill(t):
     holes = event_stream(t).select(
-        "event_id", F.when(F.col("user_id") >= 30, F.col("user_id")).alias("user_id"),
+        "event_id", F.when(F.col("user_id") >= 3, F.col("user_id")).alias("user_id"),
         F.nullif("event_type", F.lit("error")).alias("event_type"),
     )
     return appended(holes.na.fill(0).na.fill("none"))
