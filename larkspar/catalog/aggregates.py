@@ -53,15 +53,15 @@ def agg_global(t):
 
 
 def sales(t) -> DataFrame:
-    """Sales by nation and order year, combined per customer and year before the joins."""
-    per_customer = t.orders.groupBy("o_custkey", F.year("o_orderdate").cast("long").alias("year")).agg(
-        F.sum("o_totalprice").alias("amount"), F.count(F.lit(1)).alias("n")
+    """Sales per nation and order year, combined by key before the nation names are added."""
+    customers = t.customer.select("c_custkey", "c_nationkey")
+    per_key = (
+        t.orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .groupBy("c_nationkey", F.year("o_orderdate").cast("long").alias("year"))
+        .agg(F.sum("o_totalprice").alias("amount"), F.count(F.lit(1)).alias("n"))
     )
-    return (
-        per_customer.join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy("c_nationkey", "year").agg(F.sum("amount").alias("amount"), F.sum("n").alias("n"))
-        .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(F.col("n_name").alias("nation"), "year", "amount", "n")
+    return per_key.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("n_name").alias("nation"), "year", "amount", "n"
     )
 
 

@@ -169,7 +169,7 @@ TOKENS_SQL = r"regexp_split_to_array(regexp_replace(lower(text), '\s+$', ''), '\
     SELECT doc_id, len(tokens) AS n_tokens, len(list_distinct(tokens)) AS n_different
     FROM (SELECT doc_id, {TOKENS_SQL} AS tokens FROM documents)""")
 def ml_tokenize(t):
-    tokens = Tokenizer(inputCol="text", outputCol="tokens").transform(t.documents.select("doc_id", "text"))
+    tokens = Tokenizer(inputCol="text", outputCol="tokens").transform(t.texts)
     return tokens.select(
         "doc_id", F.size("tokens").cast("long").alias("n_tokens"),
         F.size(F.array_distinct("tokens")).cast("long").alias("n_different"),
@@ -179,7 +179,7 @@ def ml_tokenize(t):
 @query("ml_hashing_tf", f"SELECT doc_id, CAST(len({TOKENS_SQL}) AS DOUBLE) AS total FROM documents")
 def ml_hashing_tf(t):
     """Hashing may merge words but keeps their number: the vector sums to the token count."""
-    tokens = Tokenizer(inputCol="text", outputCol="tokens").transform(t.documents.select("doc_id", "text"))
+    tokens = Tokenizer(inputCol="text", outputCol="tokens").transform(t.texts)
     hashed = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=4096).transform(tokens)
     total = F.aggregate(vector_to_array("tf"), F.lit(0.0), lambda a, x: a + x)
     return hashed.select("doc_id", total.alias("total"))
@@ -294,7 +294,7 @@ def ml_labeled_point(t):
 
 def labelled_texts(t) -> DataFrame:
     labels = t.labels.select("doc_id", F.col("quality").cast("double").alias("label"))
-    return t.documents.select("doc_id", "text").join(labels, "doc_id")
+    return t.texts.join(labels, "doc_id")
 
 
 N_LABELLED = "(SELECT count(*) FROM documents JOIN labels USING (doc_id))"

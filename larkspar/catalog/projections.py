@@ -124,7 +124,7 @@ SPLIT_SQL = """
 
 @query("flat_map_split", f"SELECT doc_id, unnest({SPLIT_SQL}) AS word FROM documents")
 def flat_map_split(t):
-    return explode_words(t.documents.select("doc_id", "text"), "text")
+    return explode_words(t.texts, "text")
 
 
 def _doubled(df: DataFrame) -> DataFrame:
@@ -171,7 +171,7 @@ def rdd_to_df_3ways(t):
 @query("word_count", f"""
     SELECT word, count(*) AS n FROM (SELECT unnest({SPLIT_SQL}) AS word FROM documents) GROUP BY word""")
 def word_count_query(t):
-    return word_count(t.documents, "text")
+    return word_count(t.texts, "text")
 
 
 @query("filter_lambda", "SELECT l_orderkey, l_quantity FROM lineitem WHERE l_quantity > 30")

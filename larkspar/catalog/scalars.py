@@ -74,7 +74,7 @@ def udf_sql(t):
 def udtf_flat_map(t):
     t.spark.udtf.register("spaced_words", SpacedWords)
     words = t.spark.sql(
-        "SELECT d.doc_id, w.word FROM {docs} d, LATERAL spaced_words(d.text) w", docs=t.documents.select("doc_id", "text")
+        "SELECT d.doc_id, w.word FROM {docs} d, LATERAL spaced_words(d.text) w", docs=t.texts
     )
     return words.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_words"), F.sum(F.length("word")).alias("n_letters")

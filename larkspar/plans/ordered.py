@@ -1,23 +1,29 @@
 """Running totals and row numbers inside groups of any size.
 
-A plain window sorts each group in one task, so a group with a third of all rows
-stalls the job. Here the rows are range-partitioned by (keys, order), which cuts a
-large group into many slices. Totals run inside each slice, and what earlier
-slices of the same group add up to is carried over. At most one group per slice
-continues from an earlier slice, so the carried table never has more rows than
-there are slices and may be broadcast.
+A window function sorts each group in one task, which is fine until a group holds a
+large share of all rows. Such groups are found by counting, and only they take the
+longer way: their rows are range-partitioned by (keys, order), which cuts a group
+into many slices. Totals run inside each slice, and what earlier slices of the same
+group add up to is carried over. At most one group per slice continues from an
+earlier slice, so the carried table never has more rows than there are slices and
+may be broadcast.
+
+Inputs are evaluated more than once and must be deterministic.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larkspar.plans.sizing import broadcast_if_small
 from larkspar.session import cut_lineage
 
 SLICE = "_slice"
+HOT_ROWS = 2_000_000
 
 
 def join_same(left: DataFrame, right: DataFrame, names: list[str], how: str) -> DataFrame:
@@ -28,6 +34,27 @@ def join_same(left: DataFrame, right: DataFrame, names: list[str], how: str) ->
     return joined.drop(*[f"_right_{n}" for n in names])
 
 
+def by_group_size(
+    df: DataFrame,
+    keys: list[str],
+    hot_rows: int,
+    whole: Callable[[DataFrame], DataFrame],
+    sliced: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """``sliced`` for groups of more than ``hot_rows`` rows, ``whole`` for all others.
+
+    Without keys everything is one group and is sliced.
+    """
+    if not keys:
+        return sliced(df)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = cut_lineage(sizes.where(F.col("_rows") > hot_rows).select(*keys))
+    if hot.isEmpty():
+        return whole(df)
+    hot = broadcast_if_small(hot)
+    return whole(join_same(df, hot, keys, "left_anti")).unionByName(sliced(join_same(df, hot, keys, "left_semi")))
+
+
 def slices(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """Rows in (keys, order) ranges with a frozen slice number.
 
@@ -38,11 +65,8 @@ def slices(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return cut_lineage(laid.withColumn(SLICE, F.spark_partition_id()))
 
 
-def running(df: DataFrame, keys: list[str], order: list[Column], totals: dict[str, Column]) -> DataFrame:
-    """Add, per name in ``totals``, the sum of its expression up to the current row.
-
-    ``order`` must not leave ties, or the order of tied rows is arbitrary.
-    """
+def sliced_running(df: DataFrame, keys: list[str], order: list[Column], totals: dict[str, Column]) -> DataFrame:
+    """Add, per name in ``totals``, the sum of its expression up to the current row, slice by slice."""
     laid = slices(df, keys, order)
     place = [SLICE, *keys]
     inside = Window.partitionBy(*place).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -66,15 +90,32 @@ def running(df: DataFrame, keys: list[str], order: list[Column], totals: dict[st
     return joined.select(*df.columns, *[e.alias(n) for n, e in summed.items()])
 
 
-def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str = "rn") -> DataFrame:
+def running(
+    df: DataFrame, keys: list[str], order: list[Column], totals: dict[str, Column], hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Add, per name in ``totals``, the sum of its expression up to the current row.
+
+    ``order`` must not leave ties, or the order of tied rows is arbitrary.
+    """
+    upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return by_group_size(
+        df, keys, hot_rows,
+        lambda part: part.select("*", *[F.sum(e).over(upto).alias(n) for n, e in totals.items()]),
+        lambda part: sliced_running(part, keys, order, totals),
+    )
+
+
+def numbered(
+    df: DataFrame, keys: list[str], order: list[Column], name: str = "rn", hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Consecutive numbers from 1 inside each group; with no keys, over the whole input."""
-    return running(df, keys, order, {name: F.lit(1).cast("long")})
+    return running(df, keys, order, {name: F.lit(1).cast("long")}, hot_rows)
 
 
 def peer_totals(
     df: DataFrame, keys: list[str], by: list[str], order: list[Column], value: Column | None = None
 ) -> DataFrame:
-    """One row per (keys, by) with its rank, dense rank and running sum over peers.
+    """One row per (keys, by) with its rank, dense rank and running sum over peers, slice by slice.
 
     Tied rows are combined before anything is sorted, so no tie is too large.
     ``order`` sorts the ``by`` columns.
@@ -82,7 +123,7 @@ def peer_totals(
     peers = df.groupBy(*keys, *by).agg(
         F.count(F.lit(1)).alias("_n"), F.sum(F.lit(0) if value is None else value).alias("_s")
     )
-    totals = running(
+    totals = sliced_running(
         peers, keys, order, {"_upto": F.col("_n"), "_groups": F.lit(1).cast("long"), "_sum": F.col("_s")}
     )
     return totals.select(

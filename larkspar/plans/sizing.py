@@ -27,5 +27,14 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
     return F.broadcast(df) if size <= max_bytes else df
 
 
+def use_all_cores(df: DataFrame) -> DataFrame:
+    """Deal out a batch scan of fewer partitions than there are cores, before costly row work.
+
+    A scan that already has enough partitions is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def file_count(rows: int, rows_per_file: int) -> int:
     return max(1, ceil(rows / rows_per_file))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspar.plans.sizing import use_all_cores
 from larkspar.session import new_folder
 
 NAMES = (
@@ -28,6 +29,11 @@ class Tables:
     def folder(self, label: str) -> str:
         return new_folder(self.spark, label)
 
+    @property
+    def texts(self) -> DataFrame:
+        """Document ids and texts, spread over all cores for work on words."""
+        return use_all_cores(self.documents.select("doc_id", "text"))
+
     @property
     def timed_events(self) -> DataFrame:
         """Events with ``ts`` as an instant: watermarks reject zone-less timestamps."""

@@ -34,6 +34,11 @@ def table(many_slices, rows):
     return many_slices.createDataFrame(shuffled, "id long, k string, v long, w double").repartition(5)
 
 
+@pytest.fixture(params=[0, 300, 1_000_000], ids=["all sliced", "hot sliced", "all whole"])
+def hot(request):
+    return request.param
+
+
 def frame(rows):
     df = pd.DataFrame(rows, columns=["id", "k", "v", "w"])
     df["k"] = df["k"].fillna("<null>")
@@ -51,8 +56,8 @@ def test_hot_group_is_cut(table):
     assert max(per_slice.values()) < 800
 
 
-def test_row_numbers(table, rows):
-    got = by_id(numbered(table, ["k"], [F.desc("v"), F.asc("id")], "n"), "n")
+def test_row_numbers(table, rows, hot):
+    got = by_id(numbered(table, ["k"], [F.desc("v"), F.asc("id")], "n", hot), "n")
     want = frame(rows).sort_values(["v", "id"], ascending=[False, True])
     want["n"] = want.groupby("k").cumcount() + 1
     assert got == {i: (n,) for i, n in zip(want["id"], want["n"])}
@@ -64,8 +69,8 @@ def test_numbers_over_everything(table, rows):
     assert got == {r[0]: (n + 1,) for n, r in enumerate(want)}
 
 
-def test_ranks_with_a_huge_tie(table, rows):
-    got = by_id(ranks(table, ["k"], ["v"], [F.desc("v")]), "rank", "dense_rank")
+def test_ranks_with_a_huge_tie(table, rows, hot):
+    got = by_id(ranks(table, ["k"], ["v"], [F.desc("v")], hot), "rank", "dense_rank")
     df = frame(rows)
     by = df.groupby("k")["v"]
     df["r"] = by.rank("min", ascending=False).astype(int)
@@ -73,9 +78,9 @@ def test_ranks_with_a_huge_tie(table, rows):
     assert got == {i: (r, d) for i, r, d in zip(df["id"], df["r"], df["d"])}
 
 
-def test_running_sums_skip_nulls(table, rows):
+def test_running_sums_skip_nulls(table, rows, hot):
     order = [F.asc("v"), F.asc("id")]
-    got = by_id(running(table, ["k"], order, {"s": F.col("w")}), "s")
+    got = by_id(running(table, ["k"], order, {"s": F.col("w")}, hot), "s")
     want, total = {}, {}
     for i, k, _, w in sorted(rows, key=lambda r: (r[2], r[0])):
         if w is not None:
@@ -84,15 +89,15 @@ def test_running_sums_skip_nulls(table, rows):
     assert got == want
 
 
-def test_running_over_peers(table, rows):
-    got = by_id(running_over_peers(table, ["k"], ["v"], [F.asc("v")], F.col("id")), "running_sum")
+def test_running_over_peers(table, rows, hot):
+    got = by_id(running_over_peers(table, ["k"], ["v"], [F.asc("v")], F.col("id"), hot), "running_sum")
     want = {i: (sum(r[0] for r in rows if r[1] == k and r[2] <= v),) for i, k, v, _ in rows}
     assert got == want
 
 
 @pytest.mark.parametrize("steps", [1, 3, -2])
-def test_shifted(table, rows, steps):
-    got = by_id(shifted(table, ["k"], [F.asc("v"), F.asc("id")], "w", steps, "other"), "other")
+def test_shifted(table, rows, steps, hot):
+    got = by_id(shifted(table, ["k"], [F.asc("v"), F.asc("id")], "w", steps, "other", hot), "other")
     groups: dict = {}
     for r in sorted(rows, key=lambda r: (r[2], r[0])):
         groups.setdefault(r[1], []).append(r)
