@@ -314,3 +314,33 @@ def test_measurement_pipeline(spark):
         done = models.measurement_pipeline("class", names, 1, categorical).fit(data).transform(data)
         flat = [r["selected"].toArray().tolist() for r in done.collect()]
         assert len(flat) == 90 and all(len(x) == 1 and -1e-9 <= x[0] <= 1 + 1e-9 for x in flat)
+
+
+def test_user_functions_pass_nulls_on(spark):
+    from larkspar.functions.udfs import SpacedWords, dollars
+
+    amounts = spark.createDataFrame([(5,), (None,)], "a long").select(dollars("a").alias("d"))
+    assert sorted((r["d"] for r in amounts.collect()), key=str) == ["$5", None]
+    spark.udtf.register("spaced_words_test", SpacedWords)
+    lines = spark.createDataFrame([(1, "a  b "), (2, None), (3, "  "), (4, "")], "id int, line string")
+    got = spark.sql("SELECT id, w.word FROM {l}, LATERAL spaced_words_test(line) w", l=lines)
+    assert sorted(tuple(r) for r in got.collect()) == [(1, ""), (1, "a"), (1, "b"), (4, "")]
+
+
+def test_user_defined_aggregate_over_many_batches(spark):
+    from larkspar.operators.aggregates import combine_by_key
+
+    def partial(batch):
+        return batch.groupby("k", as_index=False, dropna=False).agg(s=("v", "sum"), n=("v", "count"))
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = spark.range(200).select((F.col("id") % 3).alias("k"), F.col("id").cast("double").alias("v"))
+        done = combine_by_key(
+            df, "k", partial, "k long, s double, n long", merge={"s": F.sum("s"), "n": F.sum("n")},
+            finish={"mean": F.col("s") / F.col("n")},
+        )
+        got = {r["k"]: r["mean"] for r in done.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {k: sum(range(k, 200, 3)) / len(range(k, 200, 3)) for k in range(3)}

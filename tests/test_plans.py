@@ -111,3 +111,10 @@ def test_lookup_combines_the_table_first(spark):
     fact = spark.range(5).toDF("x")
     dim = spark.range(5).select(F.col("id").alias("y"), F.lit("a").alias("name"), F.lit(1).alias("at"))
     assert "Aggregate" in plan(lookup(fact, dim, "x", "y", "name", "at"))
+
+
+def test_all_cores_only_for_narrow_scans(spark):
+    from larkspar.plans.sizing import use_all_cores
+
+    assert use_all_cores(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == 4
+    assert "Exchange" not in plan(use_all_cores(spark.range(0, 10, 1, 6)))
