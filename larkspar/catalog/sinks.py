@@ -111,7 +111,7 @@ def sink_table_bucketed(t):
 
 
 @query("ddl_partitioned_table", """
-    SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(12,2)) AS price, strftime(o_orderdate, '%Y-%m') AS dt
+    SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS price, strftime(o_orderdate, '%Y-%m') AS dt
     FROM orders WHERE o_totalprice > 20000""")
 def ddl_partitioned_table(t):
     table = unique("orders_text")
@@ -121,7 +121,7 @@ def ddl_partitioned_table(t):
         F.date_format("o_orderdate", "yyyy-MM").alias("dt"),
     )
     insert_into(rows.hint("rebalance", "dt"), table)
-    return t.spark.table(table)
+    return t.spark.table(table).withColumn("price", F.col("price").cast("double"))
 
 
 @query("sink_insert_into", """

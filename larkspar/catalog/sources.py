@@ -165,17 +165,16 @@ def src_temp_view(t):
 
 def customer_store(t):
     """Customers as hashes, their orders as lists, segments per nation as sets, totals as strings."""
-    text = F.col
     hashes = keyvalue.to_hashes(t.customer.select("c_custkey", "c_name", "c_mktsegment"), "customer", "c_custkey")
     placed = numbered(t.orders.select("o_custkey", "o_orderkey"), ["o_custkey"], [F.asc("o_orderkey")], "at")
     lists = placed.select(*keyvalue.entry(
-        F.concat(F.lit("customer:"), text("o_custkey"), F.lit(":orders")), "list", text("at"), text("o_orderkey")
+        F.concat(F.lit("customer:"), F.col("o_custkey"), F.lit(":orders")), "list", F.col("at"), F.col("o_orderkey")
     ))
     sets = t.customer.select(*keyvalue.entry(
-        F.concat(F.lit("nation:"), text("c_nationkey"), F.lit(":segments")), "set", F.lit(None), text("c_mktsegment")
+        F.concat(F.lit("nation:"), F.col("c_nationkey"), F.lit(":segments")), "set", F.lit(None), F.col("c_mktsegment")
     )).distinct()
     strings = t.customer.groupBy("c_mktsegment").count().select(*keyvalue.entry(
-        F.concat(F.lit("segment:"), text("c_mktsegment")), "string", F.lit(None), text("count")
+        F.concat(F.lit("segment:"), F.col("c_mktsegment")), "string", F.lit(None), F.col("count")
     ))
     return hashes.unionByName(lists).unionByName(sets).unionByName(strings)
 

@@ -153,7 +153,7 @@ def st_word_count(t):
 
 
 @query("st_json_agg", """
-    SELECT true AS has_person, CAST(ts AS DATE) AS start_time, count(*) AS n FROM events
+    SELECT true AS has_person, CAST(CAST(ts AS DATE) AS VARCHAR) AS start_time, count(*) AS n FROM events
     WHERE event_type <> 'error' GROUP BY CAST(ts AS DATE)""")
 def st_json_agg(t):
     """Nested camera messages: parse, pick fields by path, filter, count."""
@@ -165,7 +165,8 @@ def st_json_agg(t):
     camera = F.struct(F.col("user_id").cast("string").alias("device_id"), event.alias("last_event"))
     body = F.to_json(F.struct(F.struct(camera.alias("cameras")).alias("devices")))
     staged = stage(t.timed_events.select(body.alias("value")), t.folder("cameras"), "text", 4)
-    return completed(camera_counts(read_staged(t, staged, "text", "value string")))
+    counted = completed(camera_counts(read_staged(t, staged, "text", "value string")))
+    return counted.withColumn("start_time", F.col("start_time").cast("string"))
 
 
 @query("st_distinct", "SELECT DISTINCT user_id, event_type FROM events")

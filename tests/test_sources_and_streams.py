@@ -166,3 +166,43 @@ def test_stream_equals_batch(spark, ticks, batches):
     rows = lambda df: sorted(tuple(r) for r in df.collect())
     assert rows(completed(total(stream))) == rows(total(ticks))
     assert rows(appended(stream)) == rows(ticks)
+
+
+def _words(spark, path):
+    return spark.readStream.schema("word string").option("maxFilesPerTrigger", 2).json(path)
+
+
+def test_user_given_state_update(spark):
+    from larkspar.streaming.state import fold_batches
+
+    saved = spark.createDataFrame([("hadoop", 100), ("spark", 25)], "word string, n long")
+    words = spark.range(90).select(F.when(F.col("id") % 3 == 0, "flink").otherwise("spark").alias("word"))
+    drops, path, log = (new_folder(spark, name) for name in ("drops", "state", "stream-log"))
+
+    def run():
+        stage(words, drops, "json", 4)
+        zero = F.lit(0).cast("long")
+        got = fold_batches(
+            _words(spark, drops), "word", saved, {"n": F.count(F.lit(1))},
+            {"n": F.coalesce("old_n", zero) + F.coalesce("new_n", zero)}, path, log,
+        )
+        return {r["word"]: r["n"] for r in got.collect()}
+
+    assert run() == {"hadoop": 100, "spark": 85, "flink": 30}
+    assert run() == {"hadoop": 100, "spark": 145, "flink": 60}
+
+
+def test_state_without_new_input_is_found_again(spark):
+    from larkspar.streaming.state import fold_batches
+
+    saved = spark.createDataFrame([("a", 1)], "word string, n long")
+    drops, path, log = (new_folder(spark, name) for name in ("drops", "state", "stream-log"))
+    spark.createDataFrame([("a",), ("b",)], "word string").coalesce(1).write.json(drops)
+
+    def run():
+        best = F.greatest("old_n", "new_n")
+        got = fold_batches(_words(spark, drops), "word", saved, {"n": F.count(F.lit(1)) + 5}, {"n": best}, path, log)
+        return {r["word"]: r["n"] for r in got.collect()}
+
+    assert run() == {"a": 6, "b": 6}
+    assert run() == {"a": 6, "b": 6}
