@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from larkspar.session import ship_package
 from larkspar.tables import Tables
 
 JOBS: dict[str, Callable[[Tables], DataFrame]] = {}
@@ -28,6 +29,7 @@ def query(key: str, sql: str | None = None):
 
 def runnable(job: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
         return job(Tables(spark, sf_dir))
 
     run.__name__ = job.__name__

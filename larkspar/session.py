@@ -2,12 +2,34 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Functions run by workers are found by module name there, so the package must be
+    importable on every executor, wherever the driver was started from.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = shutil.make_archive(
+        f"{tempfile.mkdtemp(prefix='larkspar-')}/{package.name}", "zip", root_dir=package.parent, base_dir=package.name
+    )
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def build_session(app: str = "larkspar", master: str | None = None, conf: dict | None = None) -> SparkSession:
     """A session with the settings the operators rely on; ``conf`` wins over them."""
     builder = SparkSession.builder.appName(app)
@@ -26,7 +48,9 @@ def build_session(app: str = "larkspar", master: str | None = None, conf: dict |
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def shared_root(spark: SparkSession) -> str:

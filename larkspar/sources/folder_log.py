@@ -8,6 +8,7 @@ failed attempts are never seen.
 from __future__ import annotations
 
 import json
+import sys
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -15,6 +16,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
     DataSource,
@@ -116,6 +118,12 @@ class FolderLog(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """Make ``format("folder_log")`` known to the session.
+
+    The classes travel by value: the process that plans a stream source does not
+    see the files shipped to the workers.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(FolderLog)
 
 

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import json
+import subprocess
+import sys
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -206,3 +209,23 @@ def test_state_without_new_input_is_found_again(spark):
 
     assert run() == {"a": 6, "b": 6}
     assert run() == {"a": 6, "b": 6}
+
+
+FROM_ELSEWHERE = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession
+from __spark_entry__ import queries
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+for key in ("map_partitions", "src_stream_custom"):
+    print(key, queries()[key](spark, "/root/testdata/sf0.001").count())
+"""
+
+
+def test_python_workers_find_the_package_from_any_folder(tmp_path):
+    root = str(Path(__file__).resolve().parents[1])
+    done = subprocess.run(
+        [sys.executable, "-c", FROM_ELSEWHERE, root], cwd=tmp_path, capture_output=True, text=True, timeout=240
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "map_partitions 6000" in done.stdout and "src_stream_custom 1000" in done.stdout
