@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from larkspar.llm.words import byte_sums, chunks, mix, span_hashes, utf8
 
-#: Pieces of text a worker remembers the ids of, about 60 bytes each.
-REMEMBERED = 1_500_000
+#: Pieces of text a worker remembers the ids of, about 45 bytes each.
+REMEMBERED = 1_000_000
 STRIPE_BYTES = 16 << 20
 _LOADED: dict[str, Encoder] = {}
 _OTHER_CODES = mix(np.arange(1001, 1257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
@@ -77,7 +77,7 @@ class Encoder:
 
     def forget(self) -> None:
         self.hashes = self.checks = np.zeros(0, dtype=np.uint64)
-        self.starts = self.lengths = np.zeros(0, dtype=np.int64)
+        self.starts = self.lengths = np.zeros(0, dtype=np.uint32)
         self.pool = np.zeros(0, dtype=np.int32)
 
     def find(self, hashes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,13 +95,13 @@ class Encoder:
             found += [x.ids for x in some]
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         new = np.fromiter(itertools.chain.from_iterable(found), dtype=np.int32, count=int(lengths.sum()))
-        starts = len(self.pool) + np.cumsum(lengths) - lengths
+        starts = (len(self.pool) + np.cumsum(lengths) - lengths).astype(np.uint32)
         order = np.argsort(hashes)
         place = np.searchsorted(self.hashes, hashes[order])
         self.hashes = np.insert(self.hashes, place, hashes[order])
         self.checks = np.insert(self.checks, place, checks[order])
         self.starts = np.insert(self.starts, place, starts[order])
-        self.lengths = np.insert(self.lengths, place, lengths[order])
+        self.lengths = np.insert(self.lengths, place, lengths[order].astype(np.uint32))
         self.pool = np.concatenate([self.pool, new])
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -125,9 +125,9 @@ class Encoder:
             whole = data.tobytes()
             self.learn([whole[a:b].decode() for a, b in zip(starts[new], ends[new])], hashes[new], checks[new])
             at, _ = self.find(hashes, checks)
-        lengths = self.lengths[at]
+        lengths = self.lengths[at].astype(np.int64)
         sums = np.append(0, np.cumsum(lengths))
-        ids = self.pool[ranges(self.starts[at], lengths)]
+        ids = self.pool[ranges(self.starts[at].astype(np.int64), lengths)]
         return ids, np.diff(sums[np.searchsorted(starts, offsets)])
 
 

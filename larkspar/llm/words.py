@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts handled at once, in bytes; one longer text is handled alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -45,7 +45,7 @@ _BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64) * _MULTIPLIER)
 _LOWER_CODES = _BYTE_CODES[_LOWER]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse, modulo 2 to the 64."""
     inverse = pow(int(_MULTIPLIER), -1, 1 << 64)
@@ -53,20 +53,25 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     for base in (int(_MULTIPLIER), inverse):
         steps = np.full(size, base, dtype=np.uint64)
         steps[0] = 1
-        out.append(np.cumprod(steps, dtype=np.uint64))
+        out.append(np.cumprod(steps, dtype=np.uint64, out=steps))
     return out[0], out[1]
 
 
+def _table_size(length: int) -> int:
+    """One table serves all texts up to a chunk; longer ones get tables of their own."""
+    return max(CHUNK_BYTES, length) + 1
+
+
 def byte_sums(data: np.ndarray, codes: np.ndarray = _BYTE_CODES) -> np.ndarray:
     """Prefix sums from which ``span_hashes`` takes the hash of any span of ``data``."""
-    powers, _ = _powers(1 << max(16, int(len(data)).bit_length()))
+    powers, _ = _powers(_table_size(len(data)))
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(codes[data] * powers[: len(data)], out=sums[1:])
     return sums
 
 
 def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    _, inverse = _powers(1 << max(16, int(len(sums) - 1).bit_length()))
+    _, inverse = _powers(_table_size(len(sums) - 1))
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
