@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from larkspar.catalog.registry import runnable
+from larkspar.llm.html_text import extract_main_text
 from larkspar.llm.line_dedup import drop_site_lines
 from larkspar.llm.mixing import mix_sources
 from larkspar.llm.token_output import read_token_ids, write_token_ids
+from larkspar.llm.warc import read_warc, write_warc
 from larkspar.tables import Tables
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -59,8 +61,18 @@ def op6_token_ids(t: Tables) -> DataFrame:
     return read_token_ids(t.spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op8_main_text(t: Tables) -> DataFrame:
+    return extract_main_text(t.pages)
+
+
+def op10_warc(t: Tables) -> DataFrame:
+    folder = t.folder("warc")
+    write_warc(t.pages, folder)
+    return read_warc(t.spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 JOBS: dict[str, Callable[[Tables], DataFrame]] = {
-    job.__name__: job for job in (op1_source_mix, op3_site_line_dedup, op6_token_ids)
+    job.__name__: job for job in (op1_source_mix, op3_site_line_dedup, op6_token_ids, op8_main_text, op10_warc)
 }
 SQL = {"op3_site_line_dedup": " ".join(OP3_SQL.split())}
 
