@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from larkspar.catalog.registry import runnable
+from larkspar.llm.decontamination import find_passages
+from larkspar.llm.exact_topk import top_k
 from larkspar.llm.html_text import extract_main_text
 from larkspar.llm.line_dedup import drop_site_lines
 from larkspar.llm.mixing import mix_sources
@@ -61,6 +64,18 @@ def op6_token_ids(t: Tables) -> DataFrame:
     return read_token_ids(t.spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op4_exact_top_k(t: Tables) -> DataFrame:
+    return top_k(t.embeddings, F.pmod(F.col("vec_id"), F.lit(50)) == 0, t.folder("queries"))
+
+
+def op7_decontaminate(t: Tables) -> DataFrame:
+    found = find_passages(t.documents.select("doc_id", "text"), t.benchmark, t.folder("items"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op8_main_text(t: Tables) -> DataFrame:
     return extract_main_text(t.pages)
 
@@ -72,7 +87,7 @@ def op10_warc(t: Tables) -> DataFrame:
 
 
 JOBS: dict[str, Callable[[Tables], DataFrame]] = {
-    job.__name__: job for job in (op1_source_mix, op3_site_line_dedup, op6_token_ids, op8_main_text, op10_warc)
+    job.__name__: job for job in (op1_source_mix, op3_site_line_dedup, op4_exact_top_k, op6_token_ids, op7_decontaminate, op8_main_text, op10_warc)
 }
 SQL = {"op3_site_line_dedup": " ".join(OP3_SQL.split())}
 
