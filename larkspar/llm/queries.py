@@ -11,6 +11,7 @@ from larkspar.catalog.registry import runnable
 from larkspar.llm.decontamination import find_passages
 from larkspar.llm.exact_topk import top_k
 from larkspar.llm.html_text import extract_main_text
+from larkspar.llm.jaccard_join import link_documents
 from larkspar.llm.line_dedup import drop_site_lines
 from larkspar.llm.mixing import mix_sources
 from larkspar.llm.token_output import read_token_ids, write_token_ids
@@ -80,6 +81,10 @@ def op8_main_text(t: Tables) -> DataFrame:
     return extract_main_text(t.pages)
 
 
+def op9_jaccard_join(t: Tables) -> DataFrame:
+    return link_documents(t.documents, words=3, num=90, den=100)
+
+
 def op10_warc(t: Tables) -> DataFrame:
     folder = t.folder("warc")
     write_warc(t.pages, folder)
@@ -87,7 +92,7 @@ def op10_warc(t: Tables) -> DataFrame:
 
 
 JOBS: dict[str, Callable[[Tables], DataFrame]] = {
-    job.__name__: job for job in (op1_source_mix, op3_site_line_dedup, op4_exact_top_k, op6_token_ids, op7_decontaminate, op8_main_text, op10_warc)
+    job.__name__: job for job in (op1_source_mix, op3_site_line_dedup, op4_exact_top_k, op6_token_ids, op7_decontaminate, op8_main_text, op9_jaccard_join, op10_warc)
 }
 SQL = {"op3_site_line_dedup": " ".join(OP3_SQL.split())}
 
