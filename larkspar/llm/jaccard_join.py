@@ -4,17 +4,17 @@ Documents with equal shingle sets form a class; classes are joined. A parity ske
 bit per shingle, so the Hamming distance of two sketches is at most the size of the symmetric
 difference of their sets. Sizes fall into overlapping bands, such that two sets that may be
 similar share a band, and in a band the symmetric difference of a similar pair is at most
-d. The shingles of a set are dealt to d + 2 or more blocks, each with the fingerprint (XOR of
-hashes) of a very long parity sketch: by the pigeonhole principle a similar pair has two
-equal blocks at least. Sets without enough non-empty blocks also emit their empty ones;
+d. The shingles of a set are dealt to more than d blocks, each with the fingerprint (XOR of
+hashes) of a very long parity sketch: by the pigeonhole principle a similar pair has an
+equal block. Sets without enough non-empty blocks also emit their empty ones;
 all others leave them out, so no block is shared for being empty.
 
-Equal blocks make candidates, never all pairs of a group: first each class meets the least
-class of its block, and verified links are closed to components. Then only classes of
-different components that still share a block meet, in groups of more than ``GROUP_ROWS``
-members only if they share a second block. Candidates must pass the size and Hamming bounds
-of 256-bit sketches before their texts are fetched and compared. All links between
-different components are found, so components are exact.
+Equal blocks make candidates, but the pairs of a group are not emitted. In ``ROUNDS`` rounds
+each class meets ``HUBS`` members of each of its blocks, chosen by hash; verified links are
+closed to components. Then only classes of different components that still share a
+block are compared. Every comparison is a join condition, the size and Hamming bounds of
+256-bit parity sketches, so only pairs that pass are emitted; their texts are fetched and
+compared. All links between different components are found, so components are exact.
 
 Shingles are compared by 64-bit hashes of their words. Words have A-Z lowered.
 
@@ -38,10 +38,12 @@ from larkspar.llm.components import components
 from larkspar.llm.words import SPACED, chunks, lower_word_hashes, mix
 from larkspar.session import cut_lineage, new_folder
 
-#: Members of a block's group that meet directly; rows of a measured broadcast.
-GROUP_ROWS = 100
+#: Rounds of meeting hubs, hubs of a block in each round; rows of a measured broadcast.
+ROUNDS = 2
+HUBS = 6
 BROADCAST_ROWS = 100_000
 SKETCH_BITS = 256
+_SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -92,13 +94,13 @@ class Bands:
     def keys(self, shingles: np.ndarray) -> np.ndarray:
         out = []
         for band, d in self.of(len(shingles)):
-            count = d + 2 + d // 8
+            count = d + 1 + (d + 7) // 8
             block = (mix(shingles + np.uint64(band)) >> np.uint64(32)) % np.uint64(count)
             order = np.argsort(block, kind="stable")
             cuts = np.flatnonzero(np.diff(block[order], prepend=np.uint64(count)))
             prints = np.bitwise_xor.reduceat(mix(shingles[order] ^ _ODD), cuts)
             blocks = block[order][cuts]
-            if len(blocks) < d + 2:
+            if len(blocks) <= d:
                 empty = np.setdiff1d(np.arange(count, dtype=np.uint64), blocks)
                 blocks = np.concatenate([blocks, empty])
                 prints = np.concatenate([prints, np.zeros(len(empty), dtype=np.uint64)])
@@ -162,23 +164,23 @@ class _Join:
         self.classes = cut_lineage(
             self.rows.where("n > 0").groupBy("cls").agg(
                 F.first("n").alias("n"), F.min(F.struct("key", "hash")).alias("row"),
-                *[F.first(F.col("sketch")[i]).alias(f"s{i}") for i in range(SKETCH_BITS // 64)],
+                *[F.first(F.col("sketch")[i]).alias(n) for i, n in enumerate(_SKETCH)],
             )
         )
 
-    def close(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) that pass the size and Hamming bounds."""
-        names = ["n", *[f"s{i}" for i in range(SKETCH_BITS // 64)]]
-        side = lambda x: self.classes.select(F.col("cls").alias(x), *[F.col(n).alias(f"{x}_{n}") for n in names])
-        sized = pairs.join(side("a"), "a").join(side("b"), "b")
-        apart: Column = sum((F.bit_count(F.col(f"a_{n}").bitwiseXOR(F.col(f"b_{n}"))) for n in names[1:]), F.lit(0))
-        most = (F.col("a_n") + F.col("b_n")) * (self.den - self.num)
-        small, large = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
-        return sized.where((small * self.den >= large * self.num) & (apart * (self.den + self.num) <= most)).select("a", "b")
+    def near(self, left: str, right: str) -> Column:
+        """Whether columns of two classes pass the size and Hamming bounds and differ in component."""
+        col = lambda side, name: F.col(f"{side}.{name}")
+        apart: Column = sum((F.bit_count(col(left, n).bitwiseXOR(col(right, n))) for n in _SKETCH), F.lit(0))
+        n, m = col(left, "n"), col(right, "n")
+        return (
+            (col(left, "label") != col(right, "label")) & (n * self.den >= m * self.num) & (m * self.den >= n * self.num)
+            & (apart * (self.den + self.num) <= (n + m) * (self.den - self.num))
+        )
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose shingle sets are similar enough."""
-        pairs = cut_lineage(self.close(pairs))
+        pairs = cut_lineage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         wanted = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
         found = cut_lineage(wanted.join(self.classes, wanted["a"] == self.classes["cls"]).select("cls", "row.key", "row.hash"))
         if found.count() <= BROADCAST_ROWS:
@@ -191,45 +193,46 @@ class _Join:
         both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
         return cut_lineage(both.mapInArrow(_verifier(self.words, self.num, self.den), "a long, b long"))
 
-    def labels(self) -> DataFrame:
-        """``node`` and ``label`` of all classes that link with another."""
+    def members(self) -> DataFrame:
+        """Classes of each block that several classes share, with sizes and sketches."""
         emitted = self.rows.select("cls", F.explode("keys").alias("block"))
         shared = emitted.groupBy("block").agg(F.min("cls").alias("least"), F.max("cls").alias("most"))
-        shared = shared.where("least <> most").drop("most")
+        shared = shared.where("least <> most").select("block")
         folder = new_folder(self.spark, "blocks")
-        emitted.join(shared, "block").distinct().write.parquet(folder)
-        members = self.spark.read.parquet(folder)
-
-        hubs = members.where("cls <> least").select(F.col("least").alias("a"), F.col("cls").alias("b")).distinct()
-        edges = self.verified(hubs)
-        labels = cut_lineage(components(edges))
-
-        named = members.join(labels, members["cls"] == labels["node"], "left").select(
-            "block", "cls", F.coalesce("label", "cls").alias("label")
-        )
-        mixed = lambda df, by: df.groupBy(*by).agg(
-            F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size")
-        ).where("low <> high").drop("low", "high")
-        rest = cut_lineage(named.join(mixed(named, ["block"]), "block"))
-        pairs = self._across(rest.where(F.col("size") <= GROUP_ROWS), ["block"])
-        crowd = rest.where(F.col("size") > GROUP_ROWS).drop("size")
-        if not crowd.isEmpty():
-            asked = crowd.select("cls").distinct()
-            second = self.rows.join(asked, "cls", "left_semi").select("cls", F.explode("keys").alias("second")).distinct()
-            finer = crowd.join(second, "cls").where("second <> block")
-            finer = finer.join(mixed(finer, ["block", "second"]), ["block", "second"])
-            pairs = pairs.unionByName(self._across(finer, ["block", "second"])).distinct()
-        more = self.verified(pairs)
-        if more.isEmpty():
-            return labels
-        return components(edges.unionByName(more))
+        members = emitted.join(shared, "block").distinct()
+        members.join(self.classes.drop("row"), "cls").write.parquet(folder)
+        return self.spark.read.parquet(folder)
 
     @staticmethod
-    def _across(groups: DataFrame, by: list[str]) -> DataFrame:
-        """Pairs of one group whose components differ so far."""
-        left = groups.select(*by, F.col("cls").alias("a"), F.col("label").alias("la"))
-        right = groups.select(*by, F.col("cls").alias("b"), F.col("label").alias("lb"))
-        return left.join(right, by).where("la < lb").select("a", "b").distinct()
+    def named(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+        """Members with their component so far, of the blocks that hold more than one."""
+        if labels is None:
+            return members.withColumn("label", F.col("cls"))
+        named = members.join(labels, members["cls"] == labels["node"], "left")
+        named = cut_lineage(named.select(*[members[c] for c in members.columns], F.coalesce("label", "cls").alias("label")))
+        mixed = named.groupBy("block").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+        return named.join(mixed.select("block"), "block")
+
+    def labels(self) -> DataFrame:
+        """``node`` and ``label`` of all classes that link with another."""
+        members = self.members()
+        edges = labels = None
+        for turn in range(ROUNDS + 1):
+            named = self.named(members, labels)
+            if turn < ROUNDS:
+                member = F.struct("cls", "label", "n", *_SKETCH)
+                chosen = [F.max_by(member, F.xxhash64("cls", F.lit(HUBS * turn + i))) for i in range(HUBS)]
+                hubs = named.groupBy("block").agg(F.array_distinct(F.array(*chosen)).alias("hubs"))
+                others = hubs.select("block", F.explode("hubs").alias("o")).select("block", "o.*")
+            else:
+                others = named
+            met = named.alias("x").join(
+                others.alias("y"), (F.col("x.block") == F.col("y.block")) & self.near("x", "y")
+            )
+            more = self.verified(met.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")))
+            edges = more if edges is None else cut_lineage(edges.unionByName(more))
+            labels = cut_lineage(components(edges))
+        return labels
 
 
 def _rows(docs: DataFrame, key: str, words: int, num: int, den: int) -> DataFrame:
