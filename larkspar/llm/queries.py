@@ -15,6 +15,7 @@ from larkspar.llm.jaccard_join import link_documents
 from larkspar.llm.line_dedup import drop_site_lines
 from larkspar.llm.mixing import mix_sources
 from larkspar.llm.token_output import read_token_ids, write_token_ids
+from larkspar.llm.toxicity import score_documents
 from larkspar.llm.warc import read_warc, write_warc
 from larkspar.tables import Tables
 
@@ -59,6 +60,12 @@ SELECT page_id, host, len(lines)::BIGINT AS n_lines, (len(lines) - len(good))::B
 """
 
 
+def op5_toxicity(t: Tables) -> DataFrame:
+    return score_documents(t.documents.select("doc_id", "text"), t.labels).select(
+        "doc_id", "held_out", "score", "predicted"
+    )
+
+
 def op6_token_ids(t: Tables) -> DataFrame:
     folder = t.folder("token-ids")
     write_token_ids(t.documents, folder, tokenizer_path())
@@ -92,7 +99,7 @@ def op10_warc(t: Tables) -> DataFrame:
 
 
 JOBS: dict[str, Callable[[Tables], DataFrame]] = {
-    job.__name__: job for job in (op1_source_mix, op3_site_line_dedup, op4_exact_top_k, op6_token_ids, op7_decontaminate, op8_main_text, op9_jaccard_join, op10_warc)
+    job.__name__: job for job in (op1_source_mix, op3_site_line_dedup, op4_exact_top_k, op5_toxicity, op6_token_ids, op7_decontaminate, op8_main_text, op9_jaccard_join, op10_warc)
 }
 SQL = {"op3_site_line_dedup": " ".join(OP3_SQL.split())}
 
