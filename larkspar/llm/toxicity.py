@@ -43,6 +43,8 @@ TERMS = 2_000
 LEAST_DOCS = 5
 LEAST_RATIO = 2.3
 STEMS = (4, 5, 6)
+#: Share of toxic documents of the words whose misspellings are looked for.
+FREQUENT = 0.02
 WINDOW = 8
 THRESHOLD = 0.3
 REMEMBERED = 300_000
@@ -106,10 +108,10 @@ class Trie:
 class Lexicon:
     """Looks words up: 2 for a term or a stem, 1 for a misspelled term, 0 otherwise."""
 
-    def __init__(self, terms: list[str]):
+    def __init__(self, terms: list[str], frequent: list[str]):
         self.words = {t for t in terms if not t.endswith("*")}
         self.stems = {t[:-1] for t in terms if t.endswith("*")}
-        long = [w for w in self.words if len(w) >= 5]
+        long = [w for w in frequent if len(w) >= 5]
         self.trie = Trie(long)
         self.shortest, self.longest = min(map(len, long), default=0), max(map(len, long), default=0)
         self.parts = {edits: self._parts(long, edits) for edits in (1, 2)}
@@ -200,14 +202,17 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, key: str) -> tuple[DataFra
     return docs.join(sample, docs[key] == F.col("_key")).select(docs["text"], "toxic"), sizes
 
 
-def learn_lexicon(rows: DataFrame, toxic: int, clean: int) -> list[str]:
-    """At most ``TERMS`` words and stems ("abc*") typical of toxic rows, strongest first."""
+def learn_lexicon(rows: DataFrame, toxic: int, clean: int) -> tuple[list[str], list[str]]:
+    """At most ``TERMS`` words and stems ("abc*") typical of toxic rows, and the frequent words among them."""
     counted = rows.mapInArrow(_counter, "term string, toxic long, clean long")
     counted = counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     ratio = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
     strong = counted.where(F.col("toxic") >= LEAST_DOCS).withColumn("ratio", ratio).where(F.col("ratio") >= LEAST_RATIO)
     best = strong.orderBy(F.desc(F.col("ratio") * F.log1p("toxic")), "term").limit(TERMS).collect()
-    return _without_covered({r["term"]: r["toxic"] for r in best})
+    documents = {r["term"]: r["toxic"] for r in best}
+    terms = _without_covered(documents)
+    frequent = [t for t in terms if not t.endswith("*") and documents[t] >= FREQUENT * toxic]
+    return terms, frequent
 
 
 def _without_covered(documents: dict[str, int]) -> list[str]:
@@ -223,9 +228,9 @@ def _without_covered(documents: dict[str, int]) -> list[str]:
     return sorted(words + [f"{s}*" for s in stems if not covered(s)])
 
 
-def _featurizer(lexicon: list[str]):
+def _featurizer(lexicon: tuple[list[str], list[str]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = Lexicon(lexicon)
+        found = Lexicon(*lexicon)
         for piece in chunks(batches, "text"):
             rows = [found.features(x) for x in piece.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -235,12 +240,12 @@ def _featurizer(lexicon: list[str]):
     return run
 
 
-def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> tuple[list[str], list[float], float]:
+def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> tuple[tuple[list[str], list[str]], list[float], float]:
     """The lexicon, the weights of the features and the intercept."""
     rows, sizes = labelled_rows(docs, labels, key)
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
-        return [], [0.0] * FEATURES, 50.0 if toxic else -50.0
+        return ([], []), [0.0] * FEATURES, 50.0 if toxic else -50.0
     drawn = {1: min(toxic, TOXIC_ROWS), 0: min(clean, CLEAN_ROWS)}
     lexicon = learn_lexicon(rows, drawn[1], drawn[0])
     weight = F.when(F.col("toxic") == 1, toxic / drawn[1]).otherwise(clean / drawn[0])
@@ -260,7 +265,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", kee
     names = [f.name for f in fields] + ["score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = Lexicon(lexicon)
+        found = Lexicon(*lexicon)
         for piece in chunks(batches, "text"):
             sums = [
                 intercept + sum(w * x for w, x in zip(weights, found.features(t)))
