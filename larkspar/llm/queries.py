@@ -14,6 +14,7 @@ from larkspar.llm.html_text import extract_main_text
 from larkspar.llm.jaccard_join import link_documents
 from larkspar.llm.line_dedup import drop_site_lines
 from larkspar.llm.mixing import mix_sources
+from larkspar.llm.suffix_dedup import remove_repeats
 from larkspar.llm.token_output import read_token_ids, write_token_ids
 from larkspar.llm.toxicity import score_documents
 from larkspar.llm.warc import read_warc, write_warc
@@ -34,6 +35,10 @@ def op1_source_mix(t: Tables) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(t: Tables) -> DataFrame:
+    return remove_repeats(t.documents).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_site_line_dedup(t: Tables) -> DataFrame:
     return drop_site_lines(t.pages).select("page_id", "host", "n_lines", "n_dropped", "kept_text")
 
@@ -99,7 +104,7 @@ def op10_warc(t: Tables) -> DataFrame:
 
 
 JOBS: dict[str, Callable[[Tables], DataFrame]] = {
-    job.__name__: job for job in (op1_source_mix, op3_site_line_dedup, op4_exact_top_k, op5_toxicity, op6_token_ids, op7_decontaminate, op8_main_text, op9_jaccard_join, op10_warc)
+    job.__name__: job for job in (op1_source_mix, op2_suffix_dedup, op3_site_line_dedup, op4_exact_top_k, op5_toxicity, op6_token_ids, op7_decontaminate, op8_main_text, op9_jaccard_join, op10_warc)
 }
 SQL = {"op3_site_line_dedup": " ".join(OP3_SQL.split())}
 
