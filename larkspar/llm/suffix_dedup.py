@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from larkspar.llm.decontamination import expand, suffix_array
 from larkspar.llm.words import byte_sums, chunks, mix, span_hashes, utf8
-from larkspar.session import cut_lineage
+from larkspar.session import cut_lineage, new_folder
 
 LENGTH = 400
 ANCHOR = 32
@@ -205,12 +205,12 @@ def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """Per row ``key``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and the ``kept`` bytes.
-
-    Rows of ``docs`` must come in a fixed order, as from files, since they are numbered by it.
-    """
+    """Per row ``key``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and the ``kept`` bytes."""
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(docs[key].alias("key"), docs[text].alias("text")).withColumn("row", F.monotonically_increasing_id())
+    folder = new_folder(docs.sparkSession, "numbered")
+    rows.write.parquet(folder)  # the numbers must not change between the passes
+    rows = docs.sparkSession.read.parquet(folder)
     regions = rows.select("row", "text").mapInArrow(
         _regions(length), "row long, anchor long, region long, start int, offset int, bytes binary"
     )
