@@ -58,7 +58,7 @@ def sales(t) -> DataFrame:
     per_key = (
         t.orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("c_nationkey", F.year("o_orderdate").cast("long").alias("year"))
-        .agg(F.sum("o_totalprice").alias("amount"), F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("o_totalprice").alias("amount"), F.count("o_totalprice").alias("n"))
     )
     return per_key.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("n_name").alias("nation"), "year", "amount", "n"
@@ -68,7 +68,7 @@ def sales(t) -> DataFrame:
 def sales_sql(grouping: str) -> str:
     return f"""
         SELECT n_name AS nation, year(o_orderdate) AS year, round(sum(o_totalprice), 2) AS sum_amount,
-               round(sum(o_totalprice), 2) / count(*) AS avg_amount
+               round(sum(o_totalprice), 2) / count(o_totalprice) AS avg_amount
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
         GROUP BY {grouping}"""
 
@@ -100,7 +100,7 @@ def agg_group_by_key(t):
 
 
 @query("agg_combine_by_key_avg", """
-    SELECT o_custkey, round(sum(o_totalprice), 2) / count(*) AS mean_price FROM orders GROUP BY o_custkey""")
+    SELECT o_custkey, round(sum(o_totalprice), 2) / count(o_totalprice) AS mean_price FROM orders GROUP BY o_custkey""")
 def agg_combine_by_key_avg(t):
     combined = t.orders.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("s"), F.count("o_totalprice").alias("n"))
     return combined.select("o_custkey", (F.round("s", 2) / F.col("n")).alias("mean_price"))
@@ -166,7 +166,7 @@ def _log_state(batch: pd.DataFrame) -> pd.DataFrame:
 
 
 @query("udaf_custom", """
-    SELECT l_suppkey, round(exp(sum(ln(l_quantity)) / count(*)), 6) AS geo_mean FROM lineitem GROUP BY l_suppkey""")
+    SELECT l_suppkey, round(exp(sum(ln(l_quantity)) / count(l_quantity)), 6) AS geo_mean FROM lineitem GROUP BY l_suppkey""")
 def udaf_custom(t):
     """Geometric mean as a user-defined aggregate with partial states."""
     return combine_by_key(

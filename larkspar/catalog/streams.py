@@ -384,7 +384,7 @@ def sink_stream_batch(t):
 def sink_stream_partition_batch(t):
     """One connection and one commit per partition, rows inserted in batches."""
     clicks = event_stream(t).where("event_type = 'click'").select("event_id", "value")
-    return _in_database(t, clicks, batchsize=1000, numPartitions=4)
+    return _in_database(t, clicks, batchsize=1000)
 
 
 @query("sink_stream_registered", "SELECT event_id, event_type, value FROM events")

@@ -42,7 +42,7 @@ def read_partitioned(
 
 def write_table(df: DataFrame, url: str, table: str, mode: str = "overwrite", **options) -> None:
     """Write with one connection, batched inserts and one transaction per partition."""
-    settings = {"batchsize": 5000, "numPartitions": 8, **options}
+    settings = {"batchsize": 5000, **options}
     df.write.format("jdbc").options(url=url, dbtable=table, **settings).mode(mode).save()
 
 

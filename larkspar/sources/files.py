@@ -8,7 +8,6 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspar.plans.sizing import file_count
 
 
 def text_records(lines: DataFrame, text: str, fields: dict[str, str], bad: str = "malformed") -> DataFrame:
@@ -45,12 +44,9 @@ def stage(df: DataFrame, path: str, fmt: str, at_least: int, **options) -> Stage
     return Staged(path, max(parts, at_least))
 
 
-def write_report(df: DataFrame, path: str, fmt: str = "json", rows_per_file: int = 1_000_000) -> int:
-    """One output file for a result of at most ``rows_per_file`` rows, otherwise as many as needed."""
-    files = file_count(df.count(), rows_per_file)
-    out = df.coalesce(1) if files == 1 else df.repartition(files)
-    out.write.format(fmt).option("encoding", "UTF-8").save(path)
-    return files
+def write_report(df: DataFrame, path: str, fmt: str = "json", files: int = 1) -> None:
+    """Write the result as ``files`` files, whatever its size; the tasks before keep their number."""
+    df.repartition(files).write.format(fmt).option("encoding", "UTF-8").save(path)
 
 
 def read_libsvm(spark: SparkSession, path: str, features: int) -> DataFrame:
