@@ -38,7 +38,7 @@ LENGTH = 400
 ANCHOR = 32
 BLOCK = 16
 SHARDS = 4
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 1 << 20
 
 
 def window_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -139,8 +139,10 @@ def repeated_starts(regions: list[bytes], offsets: np.ndarray, length: int) -> l
     starts = starts.ravel()
     good = (starts >= 0) & (starts + length <= sizes[region])
     region, starts = region[good], starts[good]
-    places = np.unique(np.stack([region, starts], axis=1), axis=0)
-    region, starts = places[:, 0], places[:, 1]
+    places = np.sort(origin[region] + starts)
+    places = places[np.append(True, places[1:] != places[:-1])] if len(places) else places
+    region = np.searchsorted(origin, places, side="right") - 1
+    starts = places - origin[region]
     strings = span_hashes(sums, origin[region] + starts, origin[region] + starts + length)
     _, same, count = np.unique(strings, return_inverse=True, return_counts=True)
     hit = count[same] > 1
