@@ -3,7 +3,8 @@
 Each start of such a string belongs to an anchor: the place in its window whose 32-byte
 hash is least. Equal strings have equal anchors at equal offsets, so the starts of an anchor
 hash are decided apart from all others. Only anchors whose hash repeats go on; equal
-regions around an anchor are combined before they meet, with their number.
+regions around an anchor are combined before they meet, with their number. Up to there
+regions are hashes and places; bytes are cut from the texts for one region of each kind only.
 
 The regions of an anchor come together in buckets of bounded size, cut into blocks of
 ``BLOCK`` bytes aligned at the anchor, and dealt to shards. Each shard has the
@@ -39,6 +40,9 @@ ANCHOR = 32
 BLOCK = 16
 SHARDS = 4
 BUCKET_BYTES = 1 << 20
+REGION = {
+    "row": pa.int64(), "anchor": pa.int64(), "region": pa.int64(), "start": pa.int32(), "offset": pa.int32(), "size": pa.int32(),
+}
 
 
 def window_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -57,9 +61,8 @@ def _regions(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in chunks(batches, "text", 1 << 20):
             data, offsets = utf8(piece.column("text"))
-            whole = data.tobytes()
             sums = byte_sums(data)
-            rows = {c: [] for c in ("row", "anchor", "region", "start", "offset", "bytes")}
+            parts = []
             for row, a, b in zip(piece.column("row").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
                 if b - a < length:
                     continue
@@ -71,14 +74,11 @@ def _regions(length: int):
                 place = anchors[cuts]
                 begin, end = a + cuts, a + lasts + length
                 same = mix(span_hashes(sums, begin, end) + (place - cuts).astype(np.uint64))
-                rows["row"] += [row] * len(cuts)
-                rows["anchor"] += grams[place].view(np.int64).tolist()
-                rows["region"] += same.view(np.int64).tolist()
-                rows["start"] += cuts.tolist()
-                rows["offset"] += (place - cuts).tolist()
-                rows["bytes"] += [whole[i:j] for i, j in zip(begin.tolist(), end.tolist())]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows.values(), kinds)], list(rows))
+                parts.append(
+                    (np.full(len(cuts), row), grams[place].view(np.int64), same.view(np.int64), cuts, place - cuts, end - begin)
+                )
+            columns = [np.concatenate(c) for c in zip(*parts)] if parts else [[]] * len(REGION)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, REGION.values())], list(REGION))
 
     return run
 
@@ -182,6 +182,20 @@ def _deciding(length: int):
     return run
 
 
+def _slicer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of the wanted regions of each text."""
+    for piece in chunks(batches, "text", 1 << 20):
+        out = {c: [] for c in ("anchor", "region", "n", "offset", "bytes")}
+        for text, wanted in zip(piece.column("text").to_pylist(), piece.column("wanted").to_pylist()):
+            data = text.encode()
+            for w in wanted:
+                for c in ("anchor", "region", "n", "offset"):
+                    out[c].append(w[c])
+                out["bytes"].append(data[w["start"] : w["start"] + w["size"]])
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out.values(), kinds)], list(out))
+
+
 def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece in chunks(batches, "text"):
         out = []
@@ -213,15 +227,23 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     folder = new_folder(docs.sparkSession, "numbered")
     rows.write.parquet(folder)  # the numbers must not change between the passes
     rows = docs.sparkSession.read.parquet(folder)
-    regions = rows.select("row", "text").mapInArrow(
-        _regions(length), "row long, anchor long, region long, start int, offset int, bytes binary"
+    folder = new_folder(docs.sparkSession, "regions")
+    rows.select("row", "text").mapInArrow(
+        _regions(length), "row long, anchor long, region long, start int, offset int, size int"
+    ).write.parquet(folder)
+    regions = docs.sparkSession.read.parquet(folder)
+    # equal regions have equal offsets and sizes; any of their places will do
+    distinct = regions.groupBy("anchor", "region").agg(
+        F.count(F.lit(1)).alias("n"), F.min("offset").alias("offset"), F.min("size").alias("size"),
+        F.first("row").alias("row"), F.first("start").alias("start"),
     )
-    repeated = cut_lineage(regions.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"))
-    kept = regions.join(repeated, "anchor", "left_semi")
-    distinct = kept.groupBy("anchor", "region").agg(
-        F.first("offset").alias("offset"), F.count(F.lit(1)).alias("n"), F.first("bytes").alias("bytes")
+    repeated = regions.groupBy("anchor").agg(F.count(F.lit(1)).alias("all")).where("all > 1").select("anchor")
+    kinds = cut_lineage(distinct.join(repeated, "anchor", "left_semi"))
+    wanted = kinds.groupBy("row").agg(F.collect_list(F.struct("anchor", "region", "n", "start", "offset", "size")).alias("wanted"))
+    cut = rows.select("row", "text").join(wanted, "row").select("text", "wanted").mapInArrow(
+        _slicer, "anchor long, region long, n long, offset int, bytes binary"
     )
-    decided = distinct.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
+    decided = cut.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
         _deciding(length), "anchor long, region long, spans array<struct<low:int,high:int>>"
     )
     decided = cut_lineage(decided.where(F.size("spans") > 0))
