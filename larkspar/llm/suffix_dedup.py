@@ -146,8 +146,9 @@ def repeated_starts(regions: list[bytes], offsets: np.ndarray, length: int) -> l
     strings = span_hashes(sums, origin[region] + starts, origin[region] + starts + length)
     _, same, count = np.unique(strings, return_inverse=True, return_counts=True)
     hit = count[same] > 1
+    starts = starts[hit]
     cut = np.searchsorted(region[hit], np.arange(len(regions) + 1))
-    return [starts[hit][a:b] for a, b in zip(cut, cut[1:])]
+    return [starts[a:b] for a, b in zip(cut, cut[1:])]
 
 
 def _deciding(length: int):
