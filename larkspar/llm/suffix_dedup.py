@@ -226,12 +226,12 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(docs[key].alias("key"), docs[text].alias("text")).withColumn("row", F.monotonically_increasing_id())
     folder = new_folder(docs.sparkSession, "numbered")
-    rows.write.parquet(folder)  # the numbers must not change between the passes
+    rows.write.option("compression", "zstd").parquet(folder)  # the numbers must not change between the passes
     rows = docs.sparkSession.read.parquet(folder)
     folder = new_folder(docs.sparkSession, "regions")
     rows.select("row", "text").mapInArrow(
         _regions(length), "row long, anchor long, region long, start int, offset int, size int"
-    ).write.parquet(folder)
+    ).write.option("compression", "zstd").parquet(folder)
     regions = docs.sparkSession.read.parquet(folder)
     # equal regions have equal offsets and sizes; any of their places will do
     distinct = regions.groupBy("anchor", "region").agg(
