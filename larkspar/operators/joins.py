@@ -7,19 +7,16 @@ here cover what it does not split.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspar.plans.ordered import join_same
 from larkspar.plans.sizing import BROADCAST_BYTES, broadcast_if_small
 
 
-def _padded(df: DataFrame, like: DataFrame) -> DataFrame:
-    """Add the columns of ``like`` that ``df`` lacks, as nulls of the right type."""
-    types = {f.name: f.dataType for f in like.schema.fields}
-    return df.select(
-        *[F.col(n) if n in df.columns else F.lit(None).cast(types[n]).alias(n) for n in like.columns]
-    )
+def _nulls(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` as nulls of the same names and types."""
+    return [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]
 
 
 def outer_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str) -> DataFrame:
@@ -27,18 +24,19 @@ def outer_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
 
     The matched part is an inner join, which may be split on both sides. The
     unmatched part looks up the distinct keys of the other side, so a hot key
-    there is a single row.
+    there is a single row. Columns are matched by position, so both sides may have
+    columns of the same name; null keys match nothing.
     """
     matched = left.join(right, left[left_key] == right[right_key], "inner")
     result = matched
     if how in ("left", "full"):
         keys = right.select(F.col(right_key).alias("_key")).distinct()
         alone = left.join(keys, left[left_key] == keys["_key"], "left_anti")
-        result = result.unionAll(_padded(alone, matched))
+        result = result.unionAll(alone.select("*", *_nulls(right)))
     if how in ("right", "full"):
         keys = left.select(F.col(left_key).alias("_key")).distinct()
         alone = right.join(keys, right[right_key] == keys["_key"], "left_anti")
-        result = result.unionAll(_padded(alone, matched))
+        result = result.unionAll(alone.select(*_nulls(left), "*"))
     return result
 
 

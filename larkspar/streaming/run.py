@@ -7,7 +7,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from larkspar.session import new_folder
@@ -48,8 +50,13 @@ def batch_folder(path: str, batch_id: int) -> str:
 
 
 def completed(stream: DataFrame, checkpoint: str | None = None) -> DataFrame:
-    """The last full result of a stream in complete mode; a repeated batch replaces its own folder."""
-    path = new_folder(stream.sparkSession, "stream-result")
+    """The last full result of a stream in complete mode; a repeated batch replaces its own folder.
+
+    Results lie beside a named checkpoint, so a restart without new input gives the last
+    one there. A stream that never had input gives no rows.
+    """
+    spark = stream.sparkSession
+    path = f"{checkpoint.rstrip('/')}-result" if checkpoint else new_folder(spark, "stream-result")
     last: list[int] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -57,7 +64,22 @@ def completed(stream: DataFrame, checkpoint: str | None = None) -> DataFrame:
         last[:] = [batch_id]
 
     for_each_batch(stream, write, "complete", checkpoint)
-    return stream.sparkSession.read.schema(stream.schema).parquet(batch_folder(path, last[0]))
+    if not last:
+        last = _earlier_batch(spark, path)
+    if not last:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(batch_folder(path, last[0]))
+
+
+def _earlier_batch(spark: SparkSession, path: str) -> list[int]:
+    """The number of the newest batch below ``path``, if there is one."""
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/batch_id=*")
+        number = F.regexp_extract("path", r"batch_id=(\d+)/", 1).cast("int")
+        newest = files.agg(F.max(number)).head()[0]
+    except AnalysisException:  # no such folder
+        return []
+    return [] if newest is None else [newest]
 
 
 def updates(stream: DataFrame, checkpoint: str | None = None, path: str | None = None) -> DataFrame:

@@ -183,3 +183,11 @@ def test_samples_of_fixed_size(table, rows):
     assert len(once) == len(set(once)) == 50 and set(once) <= ids
     again = [r["id"] for r in take_with_replacement(table.limit(2000), 3000, 1, ["id"]).collect()]
     assert len(again) == 3000 and set(again) <= ids and len(set(again)) < 2000
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_outer_join_with_equal_column_names(spark, how):
+    left = spark.createDataFrame([(1, "L1"), (2, "L2"), (None, "L3"), (2, "L4")], "id int, name string")
+    right = spark.createDataFrame([(2, "R2"), (3, "R3"), (None, "R4")], "id int, name string")
+    want = Counter(tuple(r) for r in left.join(right, left["id"] == right["id"], how).collect())
+    assert Counter(tuple(r) for r in outer_join(left, right, "id", "id", how).collect()) == want

@@ -232,3 +232,19 @@ def test_python_workers_find_the_package_from_any_folder(tmp_path):
     )
     assert done.returncode == 0, done.stderr[-2000:]
     assert "map_partitions 6000" in done.stdout and "src_stream_custom 1000" in done.stdout
+
+
+def test_restart_without_input_gives_the_last_result(spark, tmp_path):
+    from larkspar.streaming.run import completed
+
+    source, log = str(tmp_path / "in"), str(tmp_path / "log")
+    (tmp_path / "in").mkdir()
+
+    def totals():
+        return completed(spark.readStream.schema("k string").json(source).groupBy("k").count(), checkpoint=log)
+
+    assert totals().count() == 0
+    (tmp_path / "in" / "a.json").write_text('{"k": "x"}\n{"k": "x"}\n{"k": null}\n')
+    first = sorted(map(tuple, totals().collect()), key=str)
+    assert first == [("x", 2), (None, 1)] or first == [(None, 1), ("x", 2)]
+    assert sorted(map(tuple, totals().collect()), key=str) == first
