@@ -5,6 +5,7 @@ hash is least. Equal strings have equal anchors at equal offsets, so the starts
 hash are decided apart from all others. Only anchors whose hash repeats go on; equal
 regions around an anchor are combined before they meet, with their number. Up to there
 regions are hashes and places; bytes are cut from the texts for one region of each kind only.
+A row is named by two hashes (96 bits) of its key and text, the same in each pass.
 
 The regions of an anchor come together in buckets of bounded size, cut into blocks of
 ``BLOCK`` bytes aligned at the anchor, and dealt to shards. Each shard has the
@@ -25,24 +26,24 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspar.llm.decontamination import expand, suffix_array
 from larkspar.llm.words import byte_sums, chunks, mix, span_hashes, utf8
-from larkspar.session import cut_lineage, new_folder
+from larkspar.session import new_folder
 
 LENGTH = 400
 ANCHOR = 32
 BLOCK = 16
 SHARDS = 4
 BUCKET_BYTES = 1 << 20
-REGION = {
-    "row": pa.int64(), "anchor": pa.int64(), "region": pa.int64(), "start": pa.int32(), "offset": pa.int32(), "size": pa.int32(),
-}
+ROW = ["id", "id2"]
+REGION = {"anchor": pa.int64(), "region": pa.int64(), "start": pa.int32(), "offset": pa.int32(), "size": pa.int32()}
 
 
 def window_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -63,7 +64,7 @@ def _regions(length: int):
             data, offsets = utf8(piece.column("text"))
             sums = byte_sums(data)
             parts = []
-            for row, a, b in zip(piece.column("row").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
+            for row, (a, b) in enumerate(pairwise(offsets.tolist())):
                 if b - a < length:
                     continue
                 at = np.arange(a, b - ANCHOR + 1)
@@ -77,8 +78,11 @@ def _regions(length: int):
                 parts.append(
                     (np.full(len(cuts), row), grams[place].view(np.int64), same.view(np.int64), cuts, place - cuts, end - begin)
                 )
-            columns = [np.concatenate(c) for c in zip(*parts)] if parts else [[]] * len(REGION)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, REGION.values())], list(REGION))
+            rows, *columns = [np.concatenate(c) for c in zip(*parts)] if parts else [[]] * (1 + len(REGION))
+            names = [piece.column(c).take(pa.array(rows, pa.int64())) for c in ROW]
+            yield pa.RecordBatch.from_arrays(
+                names + [pa.array(c, k) for c, k in zip(columns, REGION.values())], ROW + list(REGION)
+            )
 
     return run
 
@@ -170,11 +174,17 @@ def _deciding(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
+        anchor, met = None, set()
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "region", "offset", "n", "bytes"))):
-                if size >= BUCKET_BYTES and held[-1][0] != row[0]:
-                    yield decide(held)
-                    held, size = [], 0
+                if row[0] != anchor:
+                    anchor, met = row[0], set()
+                    if size >= BUCKET_BYTES:
+                        yield decide(held)
+                        held, size = [], 0
+                if row[1] in met:  # cut from several equal rows
+                    continue
+                met.add(row[1])
                 held.append(row)
                 size += len(row[4])
         if held:
@@ -221,36 +231,42 @@ def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a table in the shared folder, smaller than a checkpoint of them."""
+    folder = new_folder(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """Per row ``key``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and the ``kept`` bytes."""
     kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(docs[key].alias("key"), docs[text].alias("text")).withColumn("row", F.monotonically_increasing_id())
-    folder = new_folder(docs.sparkSession, "numbered")
-    rows.write.option("compression", "zstd").parquet(folder)  # the numbers must not change between the passes
-    rows = docs.sparkSession.read.parquet(folder)
-    folder = new_folder(docs.sparkSession, "regions")
-    rows.select("row", "text").mapInArrow(
-        _regions(length), "row long, anchor long, region long, start int, offset int, size int"
-    ).write.option("compression", "zstd").parquet(folder)
-    regions = docs.sparkSession.read.parquet(folder)
+    rows = docs.select(docs[key].alias("key"), docs[text].alias("text"))
+    rows = rows.withColumns({"id": F.xxhash64("key", "text"), "id2": F.hash("key", "text")})
+    regions = _stored(
+        rows.select(*ROW, "text").mapInArrow(
+            _regions(length), "id long, id2 int, anchor long, region long, start int, offset int, size int"
+        ),
+        "regions",
+    )
     # equal regions have equal offsets and sizes; any of their places will do
     distinct = regions.groupBy("anchor", "region").agg(
         F.count(F.lit(1)).alias("n"), F.min("offset").alias("offset"), F.min("size").alias("size"),
-        F.first("row").alias("row"), F.first("start").alias("start"),
+        *[F.first(c).alias(c) for c in (*ROW, "start")],
     )
-    repeated = regions.groupBy("anchor").agg(F.count(F.lit(1)).alias("all")).where("all > 1").select("anchor")
-    kinds = cut_lineage(distinct.join(repeated, "anchor", "left_semi"))
-    wanted = kinds.groupBy("row").agg(F.collect_list(F.struct("anchor", "region", "n", "start", "offset", "size")).alias("wanted"))
-    cut = rows.select("row", "text").join(wanted, "row").select("text", "wanted").mapInArrow(
+    seen = F.sum("n").over(Window.partitionBy("anchor"))
+    kinds = _stored(distinct.withColumn("seen", seen).where("seen > 1").drop("seen"), "kinds")
+    wanted = kinds.groupBy(*ROW).agg(F.collect_list(F.struct("anchor", "region", "n", "start", "offset", "size")).alias("wanted"))
+    cut = rows.select(*ROW, "text").join(wanted, ROW).select("text", "wanted").mapInArrow(
         _slicer, "anchor long, region long, n long, offset int, bytes binary"
     )
     decided = cut.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
         _deciding(length), "anchor long, region long, spans array<struct<low:int,high:int>>"
     )
-    decided = cut_lineage(decided.where(F.size("spans") > 0))
-    hits = regions.select("row", "anchor", "region", "start").join(decided, ["anchor", "region"])
+    decided = _stored(decided.where(F.size("spans") > 0), "decided")
+    hits = regions.select(*ROW, "anchor", "region", "start").join(decided, ["anchor", "region"])
     moved = F.transform("spans", lambda s: F.struct((s["low"] + F.col("start")).alias("low"), (s["high"] + F.col("start")).alias("high")))
-    by_row = hits.select("row", moved.alias("spans")).groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    return rows.join(by_row, "row", "left").select("key", "text", "spans").mapInArrow(
+    by_row = hits.select(*ROW, moved.alias("spans")).groupBy(*ROW).agg(F.flatten(F.collect_set("spans")).alias("spans"))
+    return rows.join(by_row, ROW, "left").select("key", "text", "spans").mapInArrow(
         _cutter, f"key {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     ).withColumnRenamed("key", key)

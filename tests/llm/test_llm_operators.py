@@ -80,6 +80,7 @@ def removed_by_hand(rows, length):
 
 def test_suffix_dedup(spark):
     rows = texts(2) + [(90, "ab" * 600, "a", "x"), (91, "x" + "ab" * 300, "a", "x"), (92, "q" * 401, "a", "x")]
+    rows += [(93, "one document kept twice, " * 20, "a", "x")] * 3 + [(None, "no id " + "z" * 450, "a", "x")] * 2
     found = remove_repeats(table(spark, rows)).drop("kept").collect()
     assert Counter(map(tuple, found)) == removed_by_hand(rows, 400)
     assert remove_repeats(table(spark, []), length=400).count() == 0
