@@ -11,8 +11,8 @@ Labels are learned from at most about ``TOXIC_ROWS`` + ``CLEAN_ROWS`` rows, chos
 score is a function of the text alone and covers whole texts of all documents.
 
 Rows: a null or empty text has no hits and gets the score of such texts. Labels that are null
-or not 0 or 1 are not learned; of several labels of an id the largest counts. Without
-toxic or without clean labels every score is the share of toxic labels (0 without any). Rows
+or not 0 or 1 are not learned; of several labels of an id the largest counts. Where
+labels of documents are all toxic or all clean, every score is about 1 or 0 (0 without any). Rows
 without id are never held out. Repeated rows get equal results. An empty table gives an
 empty result. Other columns are kept; ``held_out``, ``score`` and ``predicted`` are replaced.
 """
@@ -253,6 +253,9 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> tuple[tupl
         F.col("toxic").cast("double").alias("label"), array_to_vector("features").alias("features"), weight.alias("weight")
     )
     table = cut_lineage(table)
+    met = dict(table.groupBy("label").count().collect())
+    if len(met) < 2:  # labels of one kind, or none, have documents
+        return ([], []), [0.0] * FEATURES, 50.0 if 1.0 in met else -50.0
     model = LogisticRegression(regParam=1e-3, weightCol="weight", maxIter=50, standardization=True).fit(table)
     return lexicon, [float(x) for x in model.coefficients], float(model.intercept)
 
