@@ -2,8 +2,11 @@
 
 The lexicon is learned from labelled rows: words, and word beginnings (stems), that are much
 more frequent in toxic documents. Each word of a text is looked up: as it is, by its stems, and
-by the Levenshtein automaton of the word, run over the trie of lexicon words in bit-parallel
-states, so misspelled terms are found without comparing them one by one. Around each
+by the Levenshtein automaton of the word, run over the tries of lexicon words and of stems in
+bit-parallel states, so misspelled terms are found without comparing them one by one. All words
+of the lexicon of four letters or more are in the trie, also those that a stem covers. A word
+meets the automaton only if it shares a string with a term after so many deletions, which all
+misspellings do. Around each
 hit a window of words tells quotation (quote marks on both sides, reporting words) from
 abuse (other hits near by). A logistic regression over these features gives the score.
 
@@ -23,7 +26,6 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import pairwise
 
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
@@ -43,8 +45,8 @@ TERMS = 2_000
 LEAST_DOCS = 5
 LEAST_RATIO = 2.3
 STEMS = (4, 5, 6)
-#: Share of toxic documents of the words whose misspellings are looked for.
-FREQUENT = 0.02
+#: Letters of the shortest words and stems whose misspellings are looked for.
+SHORTEST = 4
 WINDOW = 8
 THRESHOLD = 0.3
 REMEMBERED = 300_000
@@ -60,10 +62,20 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def deletions(word: str, edits: int) -> set[str]:
+    """The word without up to ``edits`` characters; words so many edits apart have one of these in common."""
+    found = new = {word}
+    for _ in range(edits):
+        new = {w[:i] + w[i + 1 :] for w in new for i in range(len(w))}
+        found = found | new
+    return found
+
+
 class Trie:
-    """Lexicon words as nested dicts; the key None marks the end of a word."""
+    """Lexicon words as nested dicts; the key None marks the end of a word. With ``prefix``, words only begin like these."""
 
-    def __init__(self, words: list[str]):
+    def __init__(self, words: list[str], prefix: bool = False):
+        self.prefix = prefix
         self.root: dict = {}
         for word in words:
             node = self.root
@@ -72,7 +84,7 @@ class Trie:
             node[None] = True
 
     def within(self, word: str, edits: int) -> bool:
-        """Whether a word of the trie is at most ``edits`` insertions, deletions or substitutions away.
+        """Whether a word of the trie is at most ``edits`` insertions, deletions or substitutions from it, or its beginning.
 
         Bit i of state e: i characters of ``word`` are read with e edits.
         """
@@ -89,7 +101,7 @@ class Trie:
             node, states = stack.pop()
             for c, child in node.items():
                 if c is None:
-                    if any(s & end for s in states):
+                    if self.prefix or any(s & end for s in states):
                         return True
                     continue
                 equal = at.get(c, 0)
@@ -108,29 +120,29 @@ class Trie:
 class Lexicon:
     """Looks words up: 2 for a term or a stem, 1 for a misspelled term, 0 otherwise."""
 
-    def __init__(self, terms: list[str], frequent: list[str]):
+    def __init__(self, terms: list[str], words: list[str]):
         self.words = {t for t in terms if not t.endswith("*")}
         self.stems = {t[:-1] for t in terms if t.endswith("*")}
-        long = [w for w in frequent if len(w) >= 5]
-        self.trie = Trie(long)
-        self.shortest, self.longest = min(map(len, long), default=0), max(map(len, long), default=0)
-        self.parts = {edits: self._parts(long, edits) for edits in (1, 2)}
+        long = [w for w in words if len(w) >= SHORTEST]
+        self.trie, self.beginnings = Trie(long), Trie(sorted(self.stems), prefix=True)
+        self.longest = max(map(len, long), default=0)
+        self.near = {edits: set().union(*(deletions(w, edits) for w in long)) for edits in (1, 2)}
+        self.near_stems = set().union(*(deletions(x, 1) for x in self.stems))
         self.known: dict[str, int] = {}
 
-    @staticmethod
-    def _parts(words: list[str], edits: int) -> re.Pattern:
-        """Finds any of edits + 1 parts of the words: that many edits leave one of a word's parts whole."""
-        cuts = lambda w: [len(w) * i // (edits + 1) for i in range(edits + 2)]
-        parts = {w[a:b] for w in words for a, b in pairwise(cuts(w))}
-        return re.compile("|".join(map(re.escape, sorted(parts))))
-
     def _find(self, word: str) -> int:
         if word in self.words or any(word[:n] in self.stems for n in STEMS if len(word) >= n):
             return 2
-        edits = 1 if len(word) < 9 else 2
-        if len(word) < 4 or not self.shortest - edits <= len(word) <= self.longest + edits:
+        if len(word) < SHORTEST - 1:
             return 0
-        return int(bool(self.parts[edits].search(word)) and self.trie.within(word, edits))
+        edits = 1 if len(word) < 9 else 2
+        if len(word) <= self.longest + edits and not self.near[edits].isdisjoint(deletions(word, edits)):
+            if self.trie.within(word, edits):
+                return 1
+        # the beginnings that are one edit from a stem, and each of them without one character
+        begun = deletions(word[: STEMS[-1] + 1], 1)
+        begun = {x[:n] for x in begun for n in range(STEMS[0] - 1, STEMS[-1] + 1)}
+        return int(not self.near_stems.isdisjoint(begun) and self.beginnings.within(word, 1))
 
     def kinds(self, words: list[str]) -> list[int]:
         known = self.known
@@ -203,16 +215,14 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, key: str) -> tuple[DataFra
 
 
 def learn_lexicon(rows: DataFrame, toxic: int, clean: int) -> tuple[list[str], list[str]]:
-    """At most ``TERMS`` words and stems ("abc*") typical of toxic rows, and the frequent words among them."""
+    """At most ``TERMS`` words and stems ("abc*") typical of toxic rows, and all words, with those that a stem covers."""
     counted = rows.mapInArrow(_counter, "term string, toxic long, clean long")
     counted = counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     ratio = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
     strong = counted.where(F.col("toxic") >= LEAST_DOCS).withColumn("ratio", ratio).where(F.col("ratio") >= LEAST_RATIO)
     best = strong.orderBy(F.desc(F.col("ratio") * F.log1p("toxic")), "term").limit(TERMS).collect()
     documents = {r["term"]: r["toxic"] for r in best}
-    terms = _without_covered(documents)
-    frequent = [t for t in terms if not t.endswith("*") and documents[t] >= FREQUENT * toxic]
-    return terms, frequent
+    return _without_covered(documents), sorted(t for t in documents if not t.endswith("*"))
 
 
 def _without_covered(documents: dict[str, int]) -> list[str]:

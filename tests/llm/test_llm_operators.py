@@ -20,7 +20,7 @@ from larkspar.llm.mixing import mix_sources, mixed_documents
 from larkspar.llm.queries import tokenizer_path
 from larkspar.llm.suffix_dedup import remove_repeats
 from larkspar.llm.token_output import read_token_ids, write_token_ids
-from larkspar.llm.toxicity import Trie, held_out, score_documents
+from larkspar.llm.toxicity import Lexicon, Trie, held_out, learn_lexicon, score_documents
 from larkspar.llm.warc import BadRecord, read_archive, read_warc, record, write_warc
 from larkspar.session import new_folder
 from pyspark.sql import functions as F
@@ -150,6 +150,17 @@ def test_toxicity_on_held_out_rows(spark):
     assert docs.where(held_out(F.lit(None))).count() == 0
 
 
+def test_misspellings_of_all_terms(spark):
+    rows = [(f"w{i % 40} moroni{'abcdef'[i % 6]}", 1) for i in range(300)] + [("scumbag jerk w1", 1)] * 5
+    rows += [(f"w{i % 40} plain", 0) for i in range(400)]
+    terms, words = learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"), 305, 400)
+    assert any(t.endswith("*") and "moronic".startswith(t[:-1]) for t in terms) and "moronic" not in terms
+    found = Lexicon(terms, words)
+    assert found.kinds(["moronic", "scumbag", "jerk"]) == [2, 2, 2]
+    assert found.kinds(["xoronic", "mronic", "moxonic", "scunbag", "sumbag", "jerx", "jrk"]) == [1] * 7
+    assert found.kinds(["xoroniquement", "plain", "w1", "mo", "z" * 5000]) == [1, 0, 0, 0, 0]
+
+
 def test_token_ids(spark):
     from tokenizers import Tokenizer
 
