@@ -63,11 +63,13 @@ def held_out(key: Column) -> Column:
 
 
 def deletions(word: str, edits: int) -> set[str]:
-    """The word without up to ``edits`` characters; words so many edits apart have one of these in common."""
-    found = new = {word}
-    for _ in range(edits):
-        new = {w[:i] + w[i + 1 :] for w in new for i in range(len(w))}
-        found = found | new
+    """The word without up to ``edits`` (0 to 2) characters; words so many edits apart have one of these in common."""
+    found = {word}
+    if edits:
+        found.update([word[:i] + word[i + 1 :] for i in range(len(word))])
+    if edits > 1:
+        ends = [word[j + 1 :] for j in range(len(word))]
+        found.update([word[:i] + word[i + 1 : j] + ends[j] for i in range(len(word)) for j in range(i + 1, len(word))])
     return found
 
 
@@ -124,25 +126,48 @@ class Lexicon:
         self.words = {t for t in terms if not t.endswith("*")}
         self.stems = {t[:-1] for t in terms if t.endswith("*")}
         long = [w for w in words if len(w) >= SHORTEST]
-        self.trie, self.beginnings = Trie(long), Trie(sorted(self.stems), prefix=True)
+        self.tries: dict[frozenset, Trie] = {}
+        self.beginnings = Trie(sorted(self.stems), prefix=True)
         self.longest = max(map(len, long), default=0)
-        self.near = {edits: set().union(*(deletions(w, edits) for w in long)) for edits in (1, 2)}
+        self.near: dict[int, dict[str, list[str]]] = {1: {}, 2: {}}
+        for edits, near in self.near.items():
+            for w in long:
+                for x in deletions(w, edits):
+                    near.setdefault(x, []).append(w)
         self.near_stems = set().union(*(deletions(x, 1) for x in self.stems))
+        self.begun: dict[str, bool] = {}
         self.known: dict[str, int] = {}
 
+    def _misspelled(self, word: str, edits: int) -> bool:
+        """The automaton of the word over a trie of the terms that share a string with it after deletions."""
+        near = self.near[edits]
+        if len(word) > self.longest + edits:
+            return False
+        shared = near.keys() & deletions(word, edits)
+        if not shared:
+            return False
+        terms = frozenset(w for x in shared for w in near[x])
+        if terms not in self.tries:
+            if len(self.tries) > REMEMBERED // 10:
+                self.tries.clear()
+            self.tries[terms] = Trie(sorted(terms))
+        return self.tries[terms].within(word, edits)
+
+    def _begins(self, start: str) -> bool:
+        """Whether a stem is one edit from a beginning; ``start`` is as long as such beginnings get."""
+        if start not in self.begun:
+            if len(self.begun) > REMEMBERED:
+                self.begun.clear()
+            cut = {x[:n] for x in deletions(start, 1) for n in range(STEMS[0] - 1, STEMS[-1] + 1)}
+            self.begun[start] = not self.near_stems.isdisjoint(cut) and self.beginnings.within(start, 1)
+        return self.begun[start]
+
     def _find(self, word: str) -> int:
         if word in self.words or any(word[:n] in self.stems for n in STEMS if len(word) >= n):
             return 2
         if len(word) < SHORTEST - 1:
             return 0
-        edits = 1 if len(word) < 9 else 2
-        if len(word) <= self.longest + edits and not self.near[edits].isdisjoint(deletions(word, edits)):
-            if self.trie.within(word, edits):
-                return 1
-        # the beginnings that are one edit from a stem, and each of them without one character
-        begun = deletions(word[: STEMS[-1] + 1], 1)
-        begun = {x[:n] for x in begun for n in range(STEMS[0] - 1, STEMS[-1] + 1)}
-        return int(not self.near_stems.isdisjoint(begun) and self.beginnings.within(word, 1))
+        return int(self._begins(word[: STEMS[-1] + 1]) or self._misspelled(word, 1 if len(word) < 9 else 2))
 
     def kinds(self, words: list[str]) -> list[int]:
         known = self.known
