@@ -9,12 +9,9 @@ hashes) of a very long parity sketch: by the pigeonhole principle a similar pair
 equal block. Sets without enough non-empty blocks also emit their empty ones;
 all others leave them out, so no block is shared for being empty.
 
-Equal blocks make candidates, but the pairs of a group are not emitted. In ``ROUNDS`` rounds
-each class meets ``HUBS`` members of each of its blocks, chosen by hash; verified links are
-closed to components. Then only classes of different components that still share a
-block are compared. Every comparison is a join condition, the size and Hamming bounds of
-256-bit parity sketches, so only pairs that pass are emitted; their texts are fetched and
-compared. All links between different components are found, so components are exact.
+Equal blocks make candidates (see ``links``); only pairs within the size and Hamming bounds of
+256-bit parity sketches are emitted, and their texts are fetched and compared. All links between
+different components are found, so components are exact.
 
 Shingles are compared by 64-bit hashes of their words. Words have A-Z lowered.
 
@@ -31,19 +28,12 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from larkspar.llm.components import components
+from larkspar.llm.links import Links, component_rows, first_seen, long_lists, one_of_each, set_verifier, slim
 from larkspar.llm.words import SPACED, chunks, lower_word_hashes, mix
-from larkspar.session import cut_lineage, new_folder
 
-#: Rounds of meeting hubs, hubs of a block in each round; rows of a measured broadcast.
-ROUNDS = 2
-HUBS = 6
-BROADCAST_ROWS = 100_000
 SKETCH_BITS = 256
-_SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -116,16 +106,17 @@ def _sketch(shingles: np.ndarray) -> np.ndarray:
 def _prepared(words: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(num, den)
-        longs = lambda xs: pa.array([x.view(np.int64) for x in xs], pa.list_(pa.int64()))
+        emitted: set[int] = set()
         for piece in chunks(batches, "text"):
             sets = shingle_sets(piece.column("text"), words)
             sizes = np.array([len(s) for s in sets], dtype=np.uint64)
             sums = np.array([np.add.reduce(mix(s + _ODD)) if len(s) else 0 for s in sets], dtype=np.uint64)
+            classes = mix(sums + sizes * _ODD).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    piece.column("key"), piece.column("hash"), pa.array(sizes.astype(np.int64)),
-                    pa.array(mix(sums + sizes * _ODD).view(np.int64)), longs([_sketch(s) for s in sets]),
-                    longs([bands.keys(s) for s in sets]),
+                    piece.column("key"), piece.column("hash"), pa.array(sizes.astype(np.int64)), pa.array(classes),
+                    long_lists([_sketch(s).view(np.uint64) for s in sets]),
+                    long_lists([bands.keys(s) if new else s[:0] for s, new in zip(sets, first_seen(classes, emitted))]),
                 ],
                 ["key", "hash", "n", "cls", "sketch", "keys"],
             )
@@ -133,139 +124,18 @@ def _prepared(words: int, num: int, den: int):
     return run
 
 
-def _verifier(words: int, num: int, den: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in chunks(iter([batch]), "text_a", 1 << 20):
-                good = []
-                for row in chunks(iter([piece]), "text_b", 1 << 20):
-                    pairs = zip(shingle_sets(row.column("text_a"), words), shingle_sets(row.column("text_b"), words))
-                    for x, y in pairs:
-                        both = len(np.intersect1d(x, y, assume_unique=True))
-                        good.append(den * both >= num * (len(x) + len(y) - both))
-                yield piece.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return run
-
-
-class _Join:
-    """State of one join: the prepared classes and where the texts are."""
-
-    def __init__(self, docs: DataFrame, words: int, num: int, den: int):
-        self.words, self.num, self.den = words, num, den
-        self.spark = docs.sparkSession
-        self.docs = docs
-        kind = docs.schema["key"].dataType.simpleString()
-        folder = new_folder(self.spark, "shingles")
-        docs.mapInArrow(
-            _prepared(words, num, den), f"key {kind}, hash long, n long, cls long, sketch array<long>, keys array<long>"
-        ).write.parquet(folder)
-        self.rows = self.spark.read.parquet(folder)
-        self.classes = cut_lineage(
-            self.rows.where("n > 0").groupBy("cls").agg(
-                F.first("n").alias("n"), F.min(F.struct("key", "hash")).alias("row"),
-                *[F.first(F.col("sketch")[i]).alias(n) for i, n in enumerate(_SKETCH)],
-            )
-        )
-
-    def near(self, left: str, right: str) -> Column:
-        """Whether columns of two classes pass the size and Hamming bounds and differ in component."""
-        col = lambda side, name: F.col(f"{side}.{name}")
-        apart: Column = sum((F.bit_count(col(left, n).bitwiseXOR(col(right, n))) for n in _SKETCH), F.lit(0))
-        n, m = col(left, "n"), col(right, "n")
-        return (
-            (col(left, "label") != col(right, "label")) & (n * self.den >= m * self.num) & (m * self.den >= n * self.num)
-            & (apart * (self.den + self.num) <= (n + m) * (self.den - self.num))
-        )
-
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose shingle sets are similar enough."""
-        pairs = cut_lineage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        wanted = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
-        found = cut_lineage(wanted.join(self.classes, wanted["a"] == self.classes["cls"]).select("cls", "row.key", "row.hash"))
-        if found.count() <= BROADCAST_ROWS:
-            found = F.broadcast(found)
-        same = self.docs["key"].eqNullSafe(found["key"]) & (self.docs["hash"] == found["hash"])
-        folder = new_folder(self.spark, "texts")
-        self.docs.join(found, same).select(found["cls"], self.docs["text"]).dropDuplicates(["cls"]).write.parquet(folder)
-        texts = self.spark.read.parquet(folder)
-        side = lambda x: texts.select(F.col("cls").alias(x), F.col("text").alias(f"text_{x}"))
-        both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
-        return cut_lineage(both.mapInArrow(_verifier(self.words, self.num, self.den), "a long, b long"))
-
-    def members(self) -> DataFrame:
-        """Classes of each block that several classes share, with sizes and sketches."""
-        emitted = self.rows.select("cls", F.explode("keys").alias("block"))
-        shared = emitted.groupBy("block").agg(F.min("cls").alias("least"), F.max("cls").alias("most"))
-        shared = shared.where("least <> most").select("block")
-        folder = new_folder(self.spark, "blocks")
-        members = emitted.join(shared, "block").distinct()
-        members.join(self.classes.drop("row"), "cls").write.parquet(folder)
-        return self.spark.read.parquet(folder)
-
-    @staticmethod
-    def named(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-        """Members with their component so far, of the blocks that hold more than one."""
-        if labels is None:
-            return members.withColumn("label", F.col("cls"))
-        named = members.join(labels, members["cls"] == labels["node"], "left")
-        named = cut_lineage(named.select(*[members[c] for c in members.columns], F.coalesce("label", "cls").alias("label")))
-        mixed = named.groupBy("block").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        return named.join(mixed.select("block"), "block")
-
-    def labels(self) -> DataFrame:
-        """``node`` and ``label`` of all classes that link with another."""
-        members = self.members()
-        edges = labels = None
-        for turn in range(ROUNDS + 1):
-            named = self.named(members, labels)
-            if turn < ROUNDS:
-                member = F.struct("cls", "label", "n", *_SKETCH)
-                chosen = [F.max_by(member, F.xxhash64("cls", F.lit(HUBS * turn + i))) for i in range(HUBS)]
-                hubs = named.groupBy("block").agg(F.array_distinct(F.array(*chosen)).alias("hubs"))
-                others = hubs.select("block", F.explode("hubs").alias("o")).select("block", "o.*")
-            else:
-                others = named
-            met = named.alias("x").join(
-                others.alias("y"), (F.col("x.block") == F.col("y.block")) & self.near("x", "y")
-            )
-            more = self.verified(met.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")))
-            edges = more if edges is None else cut_lineage(edges.unionByName(more))
-            labels = cut_lineage(components(edges))
-        return labels
-
-
-def _rows(docs: DataFrame, key: str, words: int, num: int, den: int) -> DataFrame:
-    """key, hash (of the text), n and the class label of each row."""
-    slim = docs.select(docs[key].alias("key"), F.xxhash64(docs["text"]).alias("hash"), docs["text"].alias("text"))
-    join = _Join(slim, words, num, den)
-    labels = join.labels()
-    rows = join.rows.select("key", "hash", "n", "cls")
-    return rows.join(labels, rows["cls"] == labels["node"], "left").select(
-        "key", "hash", "n", F.coalesce("label", "cls").alias("label")
-    )
+def _search(docs: DataFrame, key: str, words: int, num: int, den: int) -> DataFrame:
+    return Links(
+        slim(docs, key), _prepared(words, num, den), set_verifier(lambda texts: shingle_sets(texts, words), num, den),
+        num, den, SKETCH_BITS // 64, lambda distance, sizes: distance * (den + num) <= sizes * (den - num),
+    ).labelled_rows()
 
 
 def link_documents(docs: DataFrame, key: str = "doc_id", words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """Per row ``key``, ``n_shingles`` and ``component_id``, the least key that links reach."""
-    rows = cut_lineage(_rows(docs, key, words, num, den))
-    least = rows.where("n > 0").groupBy("label").agg(F.min("key").alias("least"))
-    filled = rows.where("n > 0").join(least, "label").select("key", "n", "least")
-    empty = rows.where("n = 0").select("key", "n", F.col("key").alias("least"))
-    return filled.unionByName(empty).select(
-        F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("least").alias("component_id")
-    )
+    return component_rows(_search(docs, key, words, num, den), key)
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` without near copies: of each component the one with the least key, and all without shingles."""
-    rows = _rows(docs, key, words, num, den)
-    stays = rows.where("n > 0").groupBy("label").agg(F.min(F.struct("key", "hash")).alias("row"))
-    stays = stays.select("row.key", "row.hash", F.lit(False).alias("empty")).unionByName(
-        rows.where("n = 0").select("key", "hash", F.lit(True).alias("empty")).distinct()
-    )
-    hashed = docs.withColumn("_hash", F.xxhash64(docs["text"]))
-    kept = hashed.join(stays, hashed[key].eqNullSafe(stays["key"]) & (hashed["_hash"] == stays["hash"]))
-    kept = kept.select(*[hashed[c] for c in hashed.columns], stays["empty"].alias("_empty"))
-    same = Window.partitionBy(key, "_hash").orderBy(F.lit(0))
-    return kept.withColumn("_nth", F.row_number().over(same)).where("_empty or _nth = 1").select(*docs.columns)
+    return one_of_each(docs, _search(docs, key, words, num, den), key)

@@ -13,6 +13,7 @@ from larkspar.llm.exact_topk import top_k
 from larkspar.llm.html_text import extract_main_text
 from larkspar.llm.jaccard_join import link_documents
 from larkspar.llm.line_dedup import drop_site_lines
+from larkspar.llm.minhash import near_duplicates
 from larkspar.llm.mixing import mix_sources
 from larkspar.llm.suffix_dedup import remove_repeats
 from larkspar.llm.token_output import read_token_ids, write_token_ids
@@ -103,8 +104,15 @@ def op10_warc(t: Tables) -> DataFrame:
     return read_warc(t.spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_near_duplicates(t: Tables) -> DataFrame:
+    return near_duplicates(t.documents, words=4, num=80, den=100)
+
+
 JOBS: dict[str, Callable[[Tables], DataFrame]] = {
-    job.__name__: job for job in (op1_source_mix, op2_suffix_dedup, op3_site_line_dedup, op4_exact_top_k, op5_toxicity, op6_token_ids, op7_decontaminate, op8_main_text, op9_jaccard_join, op10_warc)
+    job.__name__: job for job in (
+        op1_source_mix, op2_suffix_dedup, op3_site_line_dedup, op4_exact_top_k, op5_toxicity, op6_token_ids,
+        op7_decontaminate, op8_main_text, op9_jaccard_join, op10_warc, op11_near_duplicates,
+    )
 }
 SQL = {"op3_site_line_dedup": " ".join(OP3_SQL.split())}
 
