@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspar.catalog.registry import runnable
+from larkspar.llm.centroids import cluster_vectors
 from larkspar.llm.decontamination import find_passages
 from larkspar.llm.exact_topk import top_k
 from larkspar.llm.html_text import extract_main_text
@@ -108,10 +109,14 @@ def op11_near_duplicates(t: Tables) -> DataFrame:
     return near_duplicates(t.documents, words=4, num=80, den=100)
 
 
+def op12_centroid_clusters(t: Tables) -> DataFrame:
+    return cluster_vectors(t.embeddings)
+
+
 JOBS: dict[str, Callable[[Tables], DataFrame]] = {
     job.__name__: job for job in (
         op1_source_mix, op2_suffix_dedup, op3_site_line_dedup, op4_exact_top_k, op5_toxicity, op6_token_ids,
-        op7_decontaminate, op8_main_text, op9_jaccard_join, op10_warc, op11_near_duplicates,
+        op7_decontaminate, op8_main_text, op9_jaccard_join, op10_warc, op11_near_duplicates, op12_centroid_clusters,
     )
 }
 SQL = {"op3_site_line_dedup": " ".join(OP3_SQL.split())}
