@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspar.catalog.registry import runnable
+from larkspar.llm.alignment import align_documents
 from larkspar.llm.centroids import cluster_vectors
 from larkspar.llm.decontamination import find_passages
 from larkspar.llm.exact_topk import top_k
@@ -23,6 +24,7 @@ from larkspar.llm.warc import read_warc, write_warc
 from larkspar.tables import Tables
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -113,10 +115,15 @@ def op12_centroid_clusters(t: Tables) -> DataFrame:
     return cluster_vectors(t.embeddings)
 
 
+def op13_token_alignment(t: Tables) -> DataFrame:
+    return align_documents(t.documents, tokenizer_path(), tokenizer_path(PIECES))
+
+
 JOBS: dict[str, Callable[[Tables], DataFrame]] = {
     job.__name__: job for job in (
         op1_source_mix, op2_suffix_dedup, op3_site_line_dedup, op4_exact_top_k, op5_toxicity, op6_token_ids,
         op7_decontaminate, op8_main_text, op9_jaccard_join, op10_warc, op11_near_duplicates, op12_centroid_clusters,
+        op13_token_alignment,
     )
 }
 SQL = {"op3_site_line_dedup": " ".join(OP3_SQL.split())}

@@ -75,6 +75,13 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.forget()
 
+    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where the texts may be cut besides their starts."""
+        return borders(data, offsets)
+
+    def ids_of(self, pieces: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
     def forget(self) -> None:
         self.hashes = self.checks = np.zeros(0, dtype=np.uint64)
         self.starts = self.lengths = np.zeros(0, dtype=np.uint32)
@@ -91,8 +98,7 @@ class Encoder:
     def learn(self, pieces: list[str], hashes: np.ndarray, checks: np.ndarray) -> None:
         found = []
         for start in range(0, len(pieces), 20_000):
-            some = self.tokenizer.encode_batch_fast(pieces[start : start + 20_000], add_special_tokens=False)
-            found += [x.ids for x in some]
+            found += self.ids_of(pieces[start : start + 20_000])
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         new = np.fromiter(itertools.chain.from_iterable(found), dtype=np.int32, count=int(lengths.sum()))
         starts = (len(self.pool) + np.cumsum(lengths) - lengths).astype(np.uint32)
@@ -108,7 +114,7 @@ class Encoder:
         """Ids of all texts, and the number of ids of each."""
         data, offsets = utf8(column)
         filled = offsets[:-1][np.diff(offsets) > 0]
-        starts = np.sort(np.concatenate([filled, borders(data, offsets)]))
+        starts = np.sort(np.concatenate([filled, self.cuts(data, offsets)]))
         if not len(starts):
             return np.zeros(0, dtype=np.int32), np.zeros(len(column), dtype=np.int64)
         ends = np.append(starts[1:], len(data))
