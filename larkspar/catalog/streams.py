@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,17 +12,20 @@ from larkspar.catalog.sources import unique
 from larkspar.sources import folder_log, messages
 from larkspar.sources.databases import database_url, delete_batch, read_table, write_table
 from larkspar.sources.files import Staged, stage
+from larkspar.sources.manifests import open_folder
 from larkspar.streaming.row_writer import LineWriter
 from larkspar.streaming.run import (
     append_to_files,
     appended,
+    appended_every,
     batch_folder,
     completed,
     finish,
     for_each_batch,
     updates,
 )
-from larkspar.streaming.transforms import camera_counts, windowed, with_gaps, with_saved_totals, word_totals
+from larkspar.streaming.state import fold_stream, summed
+from larkspar.streaming.transforms import camera_counts, windowed, with_gaps, word_totals
 
 EVENT_DDL = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
@@ -84,10 +88,10 @@ CUSTOM_DDL = "event_id bigint, user_id bigint, event_type string, value double"
 
 @query("src_stream_custom", "SELECT event_id, user_id, event_type, value FROM events")
 def src_stream_custom(t):
-    """User-defined source over a folder; every file can be read again after a failure."""
-    path = stage(t.events.select("event_id", "user_id", "event_type", "value"), t.folder("log"), "parquet", 4).path
-    folder_log.register(t.spark)
-    return appended(t.spark.readStream.format("folder_log").options(path=path, ddl=CUSTOM_DDL).load())
+    """User-defined source over a folder, a few files per batch; every file can be read again after a failure."""
+    staged = stage(t.events.select("event_id", "user_id", "event_type", "value"), t.folder("log"), "parquet", 4)
+    stream = folder_log.read_stream(t.spark, staged.path, CUSTOM_DDL, t.folder("source-log"), staged.per_trigger(2))
+    return appended_every(stream, t.folder("custom"), t.folder("stream-log"))
 
 
 def message_stream(t) -> DataFrame:
@@ -232,12 +236,13 @@ STATE_SQL = """
 
 @query("st_update_state", STATE_SQL)
 def st_update_state(t):
-    """Running sum per key that starts from saved totals; every key is emitted."""
-    saved = t.folder("saved")
-    t.customer.groupBy(F.col("c_mktsegment").alias("key")).agg(F.lit(100).cast("long").alias("n")).write.parquet(saved)
+    """Running sum per key by a user-given update that starts from saved totals; keys without input stay."""
+    saved = t.customer.groupBy(F.col("c_mktsegment").alias("key")).agg(F.lit(100).cast("long").alias("n"))
     counted = event_stream(t, batches=2).select(F.col("event_type").alias("key"), F.lit(1).cast("long").alias("n"))
-    first = t.spark.readStream.schema("key string, n bigint").parquet(saved)
-    return completed(with_saved_totals(first, counted, "key", "n"))
+    return fold_stream(
+        counted, "key", "n long", lambda old, rows: ((old.n if old else 0) + sum(r.n for r in rows),),
+        combine=summed("key", "n"), saved=saved,
+    )
 
 
 @query("st_state_restart", "SELECT event_type, CAST(2 * count(*) AS BIGINT) AS n FROM events GROUP BY event_type")
@@ -287,19 +292,6 @@ def st_triggers(t):
     )
 
 
-def appended_every(stream: DataFrame, path: str, log: str) -> DataFrame:
-    """Run on a fixed interval until all input is processed, then stop."""
-    running = (
-        stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", log)
-        .trigger(processingTime="1 second").start()
-    )
-    try:
-        running.processAllAvailable()
-    finally:
-        running.stop()
-    return stream.sparkSession.read.schema(stream.schema).parquet(path)
-
-
 @query("st_file_rate_limit", "SELECT true AS files_per_batch_kept, count(*) AS n_rows FROM events")
 def st_file_rate_limit(t):
     """No micro-batch takes more files than the limit, and none is smaller than it must be."""
@@ -322,8 +314,8 @@ def st_file_rate_limit(t):
 def st_ignore_partial_files(t):
     """Copies still being written, under a temporary name or suffix, are not read."""
     path = stage(t.events.select("event_id"), t.folder("copies"), "json", 3).path
-    system, root = folder_log.open_folder(path)
-    whole = [i for i in system.get_file_info(folder_log.fs.FileSelector(root)) if i.base_name.endswith(".json")]
+    system, root = open_folder(path)
+    whole = [i for i in system.get_file_info(fs.FileSelector(root)) if i.base_name.endswith(".json")]
     for info in whole[:2]:
         system.copy_file(info.path, f"{info.path}._COPYING_")
         system.copy_file(info.path, f"{info.path}.tmp")
@@ -359,7 +351,7 @@ def sink_stream_messages(t):
 def sink_stream_foreach(t):
     path = t.folder("lines")
     stream = event_stream(t, batches=2).select("event_id", "event_type", "value")
-    finish(stream.writeStream.foreach(LineWriter(path)), t.folder("stream-log"))
+    finish(stream.writeStream.foreach(LineWriter.into(t.spark, path)), t.folder("stream-log"))
     return t.spark.read.schema(stream.schema).json(path)
 
 
@@ -389,12 +381,14 @@ def sink_stream_partition_batch(t):
 
 @query("sink_stream_registered", "SELECT event_id, event_type, value FROM events")
 def sink_stream_registered(t):
-    """A sink chosen by its registered name."""
+    """A sink chosen by its registered name, and its committed batches read back as a stream."""
     folder_log.register(t.spark)
-    path = t.folder("log-out")
+    path = folder_log.qualified(t.spark, t.folder("log-out"))
     stream = event_stream(t, batches=2).select("event_id", "event_type", "value")
     finish(stream.writeStream.format("folder_log").option("path", path), t.folder("stream-log"))
-    return folder_log.read_committed(t.spark, path, stream.schema)
+    return appended(folder_log.read_stream(
+        t.spark, path, "event_id bigint, event_type string, value double", t.folder("source-log")
+    ))
 
 
 @query("sink_console", """

@@ -35,6 +35,23 @@ def appended(stream: DataFrame) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(append_to_files(stream))
 
 
+def appended_every(stream: DataFrame, path: str, log: str, interval: str = "1 second") -> DataFrame:
+    """Run on a fixed interval until all input is processed, then stop.
+
+    A source that limits its batches by itself is drained this way: a single
+    "available now" run takes one of its batches.
+    """
+    running = (
+        stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", log)
+        .trigger(processingTime=interval).start()
+    )
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return stream.sparkSession.read.schema(stream.schema).parquet(path)
+
+
 def for_each_batch(
     stream: DataFrame, write: Callable[[DataFrame, int], None], mode: str = "append", checkpoint: str | None = None
 ) -> None:

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from larkspar.catalog import JOBS, SQL
 from larkspar.tables import NAMES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -34,22 +35,23 @@ def comparable(names, rows):
 
 
 def test_every_query_has_sql_or_is_listed():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
-    assert set(oracle_sql()) <= set(queries())
+    assert set(JOBS) - set(SQL) == ROWS_ONLY
+    assert set(SQL) <= set(JOBS) <= set(queries())
+    assert set(SQL) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
     assert entry(spark).columns == ["nation", "year", "sum_amount", "avg_amount"]
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(JOBS))
 def test_query(key, spark, db):
     df = queries()[key](spark, FOLDER)
     rows = df.collect()
     assert rows
     if key in ROWS_ONLY:
         return
-    cursor = db.execute(oracle_sql()[key])
+    cursor = db.execute(SQL[key])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == sorted(df.columns)
     assert comparable(df.columns, rows) == comparable(names, cursor.fetchall())

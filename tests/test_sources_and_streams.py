@@ -17,8 +17,9 @@ from larkspar.session import new_folder
 from larkspar.sources import databases, folder_log, messages
 from larkspar.sources.catalog_tables import setting
 from larkspar.sources.files import stage, write_report
+from larkspar.sources.manifests import ManifestLog, open_folder
 from larkspar.streaming.row_writer import LineWriter
-from larkspar.streaming.run import appended, completed
+from larkspar.streaming.run import appended, appended_every, completed
 from larkspar.streaming.transforms import camera_counts, windowed, with_gaps, with_saved_totals
 
 
@@ -89,28 +90,101 @@ def test_staged_files_follow_the_input(spark):
     assert (wide.files, narrow.files, wide.per_trigger(3)) == (9, 4, 3)
 
 
-def test_folder_log_ignores_files_of_failed_attempts(spark):
-    path = new_folder(spark, "log")
+def test_manifests_survive_snapshots_and_repeats(tmp_path):
+    log = ManifestLog(str(tmp_path / "log"), every=3)
+    assert log.last() == -1 and list(log.entries()) == []
+    for number in range(11):
+        log.add(number, [{"file": f"{number}-{i}"} for i in range(number % 3)])
+        log.add(number, [{"file": f"{number}-{i}"} for i in range(number % 3)])  # a repeated batch
+    want = [(n, f"{n}-{i}") for n in range(11) for i in range(n % 3)]
+    read = lambda *span: [(e["number"], e["file"]) for e in log.entries(*span)]
+    assert log.last() == 10 and read() == want
+    for after in range(-1, 11):
+        for until in range(after, 11):
+            assert read(after, until) == [w for w in want if after < w[0] <= until]
+    left = sorted(f.name for f in (tmp_path / "log").iterdir())
+    assert sum(n.endswith(".snapshot") for n in left) <= 2 and sum(n.endswith(".json") for n in left) <= 2 * 3
+
+
+def _put(folder, name, ids, age=0):
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    folder.mkdir(exist_ok=True)
+    pq.write_table(pa.table({"id": pa.array(ids, pa.int64())}), folder / name)
+    os.utime(folder / name, (1_700_000_000 - age, 1_700_000_000 - age))
+
+
+def _ids(reader, start, end):
+    return sorted(i for p in reader.partitions(start, end) for b in reader.read(p) for i in b.column("id").to_pylist())
+
+
+def test_source_with_late_equally_old_and_deleted_files(tmp_path):
+    """No id is lost or repeated, whatever the times of the files, and a batch takes no more than its limit."""
+    folder, log = tmp_path / "in", str(tmp_path / "log")
+    make = lambda: folder_log.FolderReader(str(folder), log, max_files=2, every=2)
+    reader = make()
+    start = reader.initialOffset()
+    assert reader.latestOffset() == start  # no folder yet
+    for name in "cab":
+        _put(folder, f"{name}.parquet", [ord(name)])
+    first = reader.latestOffset()
+    assert len(reader.partitions(start, first)) == 2 and _ids(reader, start, first) == [97, 98]
+    _put(folder, "older.parquet", [1], age=1000)
+    second = reader.latestOffset()
+    assert _ids(reader, first, second) == [1, 99]
+    (folder / "a.parquet").unlink()  # deleted after it was read: later batches do not move
+    _put(folder, "same-time.parquet", [2])
+    _put(folder, "_hidden.parquet", [3])
+    reader = make()  # a restart
+    third = reader.latestOffset()
+    assert _ids(reader, second, third) == [2] and _ids(reader, first, second) == [1, 99]
+    assert reader.latestOffset() == third and reader.partitions(third, third) == []
+    with pytest.raises(FileNotFoundError):
+        _ids(reader, start, first)
+
+
+def test_source_with_a_limit_drains_in_several_batches(spark):
+    path, out = new_folder(spark, "in"), new_folder(spark, "out")
+    spark.range(0, 60, 1, 6).write.parquet(path)
+
+    def drained():
+        stream = folder_log.read_stream(spark, path, "id long", f"{out}-source", max_files=2, snapshot_every=2)
+        return sorted(r["id"] for r in appended_every(stream, out, f"{out}-log").collect())
+
+    assert drained() == list(range(60))
+    spark.range(60, 70, 1, 1).write.mode("append").parquet(path)
+    assert drained() == list(range(70))
+    assert ManifestLog(folder_log.qualified(spark, f"{out}-source")).last() == 3
+    assert spark.read.text(f"{out}-log/commits").count() >= 4
+
+
+def test_source_over_sink(spark):
+    """Committed batches only: partitions without rows write nothing, files of failed attempts stay unseen."""
+    path = folder_log.qualified(spark, new_folder(spark, "log"))
     folder_log.register(spark)
     source = stage(spark.range(40), new_folder(spark, "ids"), "json", 4)
-    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 2).json(source.path)
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).json(source.path).where("id < 30")
     run = stream.writeStream.format("folder_log").option("path", path).option("checkpointLocation", new_folder(spark, "cp"))
-    run.trigger(availableNow=True).start().awaitTermination()
-    system, root = folder_log.open_folder(path)
+    run.option("snapshot_every", 2).trigger(availableNow=True).start().awaitTermination()
+    system, root = open_folder(path)
     good = [i.path for i in system.get_file_info(folder_log.fs.FileSelector(root)) if i.base_name.endswith(".parquet")]
+    assert 3 <= len(good) <= 4
     system.copy_file(good[0], f"{root}/left-over.parquet")
-    got = folder_log.read_committed(spark, path, stream.schema)
-    assert sorted(r["id"] for r in got.collect()) == list(range(40))
+    assert sorted(r["id"] for r in folder_log.read_committed(spark, path, stream.schema).collect()) == list(range(30))
+    again = folder_log.read_stream(spark, path, "id long", new_folder(spark, "source-log"))
+    assert sorted(r["id"] for r in appended(again).collect()) == list(range(30))
 
 
-def test_folder_log_offsets_only_move_forward(spark, tmp_path):
-    spark.range(10).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
-    reader = folder_log.FolderReader(str(tmp_path / "log"))
-    first = reader.latestOffset()
-    earlier = [p.path for p in reader.partitions(reader.initialOffset(), first)]
-    spark.range(5).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
-    assert [p.path for p in reader.partitions(reader.initialOffset(), first)] == earlier
-    assert sum(b.num_rows for p in reader.partitions(first, reader.latestOffset()) for b in reader.read(p)) == 5
+def test_bare_paths_follow_the_shared_folder(spark, monkeypatch):
+    from larkspar import session
+
+    for root, want in (("hdfs://name:9/cp", "hdfs://name:9/x/y"), ("s3a://b/cp", "s3a://b/x/y"), ("file:/cp", "file:/x/y"), ("file:///cp", "file:///x/y"), ("/cp", "file:/x/y")):
+        monkeypatch.setattr(session, "shared_root", lambda _, root=root: root)
+        assert folder_log.qualified(spark, "/x/y") == want
+        assert folder_log.qualified(spark, "gs://b/x") == "gs://b/x"
 
 
 def test_row_writer_replaces_a_repeated_attempt(tmp_path):
@@ -120,6 +194,10 @@ def test_row_writer_replaces_a_repeated_attempt(tmp_path):
         for i in rows:
             writer.process(Row(id=i))
         writer.close(None)
+    failed = LineWriter(str(tmp_path))
+    failed.open(0, 7)
+    failed.process(Row(id=9))
+    failed.close(ValueError("lost"))
     (only,) = tmp_path.iterdir()
     assert [json.loads(line)["id"] for line in only.read_text().splitlines()] == [1, 2, 3]
 
@@ -178,40 +256,67 @@ def _words(spark, path):
     return spark.readStream.schema("word string").option("maxFilesPerTrigger", 2).json(path)
 
 
-def test_user_given_state_update(spark):
-    from larkspar.streaming.state import fold_batches
+def _longest(old, rows):
+    """A state of two columns that no sum could keep: the longest run of one key, and its rows so far."""
+    best, n = (old.best, old.n) if old else (None, 0)
+    for row in rows:
+        n += row.n
+        best = max(x for x in (best, row.n) if x is not None)
+    return None if best == 13 else (best, n)
 
-    saved = spark.createDataFrame([("hadoop", 100), ("spark", 25)], "word string, n long")
-    words = spark.range(90).select(F.when(F.col("id") % 3 == 0, "flink").otherwise("spark").alias("word"))
-    drops, path, log = (new_folder(spark, name) for name in ("drops", "state", "stream-log"))
 
-    def run():
-        stage(words, drops, "json", 4)
-        zero = F.lit(0).cast("long")
-        got = fold_batches(
-            _words(spark, drops), "word", saved, {"n": F.count(F.lit(1))},
-            {"n": F.coalesce("old_n", zero) + F.coalesce("new_n", zero)}, path, log,
-        )
-        return {r["word"]: r["n"] for r in got.collect()}
+def test_user_given_state_update(spark):
+    """Saved values, null keys, keys without input, forgotten keys and a restart."""
+    from larkspar.streaming.state import PROVIDER, fold_stream
 
-    assert run() == {"hadoop": 100, "spark": 85, "flink": 30}
-    assert run() == {"hadoop": 100, "spark": 145, "flink": 60}
+    saved = spark.createDataFrame([("hadoop", 100, 7), (None, 1, 1), ("spark", 2, 5)], "word string, best long, n long")
+    drops, log = new_folder(spark, "drops"), new_folder(spark, "stream-log")
+    before = spark.conf.get(PROVIDER)
 
+    def run(rows):
+        if rows:
+            spark.createDataFrame(rows, "word string, n long").coalesce(1).write.mode("append").json(drops)
+        stream = spark.readStream.schema("word string, n long").option("maxFilesPerTrigger", 1).json(drops)
+        got = fold_stream(stream, "word", "best long, n long", _longest, saved=saved, checkpoint=log)
+        assert got.columns == ["word", "best", "n"]
+        return {r["word"]: (r["best"], r["n"]) for r in got.collect()}
 
-def test_state_without_new_input_is_found_again(spark):
-    from larkspar.streaming.state import fold_batches
+    first = {"hadoop": (100, 7), None: (4, 6), "spark": (9, 16), "flink": (3, 3)}
+    assert run([("spark", 9), ("spark", 2), (None, 4), (None, 1), ("flink", 3)]) == first
+    assert run([]) == first
+    assert run([("flink", 13), (None, 2)]) == {"hadoop": (100, 7), None: (4, 8), "spark": (9, 16)}
+    assert run([("flink", 1)])["flink"] == (1, 1)
+    assert spark.conf.get(PROVIDER) == before
 
-    saved = spark.createDataFrame([("a", 1)], "word string, n long")
-    drops, path, log = (new_folder(spark, name) for name in ("drops", "state", "stream-log"))
-    spark.createDataFrame([("a",), ("b",)], "word string").coalesce(1).write.json(drops)
 
-    def run():
-        best = F.greatest("old_n", "new_n")
-        got = fold_batches(_words(spark, drops), "word", saved, {"n": F.count(F.lit(1)) + 5}, {"n": best}, path, log)
-        return {r["word"]: r["n"] for r in got.collect()}
+def test_state_of_a_stream_without_input_is_the_saved_one(spark, tmp_path):
+    from larkspar.streaming.state import fold_stream
 
-    assert run() == {"a": 6, "b": 6}
-    assert run() == {"a": 6, "b": 6}
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema("word string, n long").json(str(tmp_path / "in"))
+    keep = lambda old, rows: (sum(r.n for r in rows),)
+    saved = spark.createDataFrame([("a", 1), (None, 2)], "word string, n long")
+    assert sorted(map(tuple, fold_stream(stream, "word", "n long", keep, saved=saved).collect()), key=str) == [("a", 1), (None, 2)]
+    assert fold_stream(stream, "word", "n long", keep).collect() == []
+
+
+def test_rows_of_a_frequent_key_are_combined_before_they_are_dealt_out(spark):
+    import pyarrow as pa
+
+    from larkspar.streaming.state import fold_stream, summed
+
+    large = 2**61 + 1
+    rows = pa.table({"k": ["a", None, "a", None, "b"], "n": [large, None, 5, 7, None]})
+    assert {r["k"]: r["n"] for r in summed("k", "n")(rows).to_pylist()} == {"a": large + 5, None: 7, "b": 0}
+    drops = new_folder(spark, "drops")
+    keyed = spark.range(40_000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.lit(1).cast("long").alias("n"))
+    keyed.repartition(4).write.json(drops)
+    seen = lambda old, rows: tuple(a + b for a, b in zip(old or (0, 0), map(sum, zip(*((r.n, 1) for r in rows)))))
+    stream = spark.readStream.schema("k string, n long").json(drops)
+    got = {r["k"]: r for r in fold_stream(stream, "k", "n long, parts long", seen, combine=summed("k", "n")).collect()}
+    hot = keyed.where("k = 'hot'").count()
+    assert got["hot"]["n"] == hot and got["hot"]["parts"] <= 8
+    assert len(got) == keyed.select("k").distinct().count() and sum(r["n"] for r in got.values()) == 40_000
 
 
 FROM_ELSEWHERE = """
