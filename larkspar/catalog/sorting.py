@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from larkspar.catalog.registry import query
 from larkspar.operators.projections import partition_sizes
-from larkspar.operators.sampling import take_with_replacement, take_without_replacement
+from larkspar.operators.sampling import take_sample as draw
 from larkspar.plans.ordered import numbered
 from larkspar.plans.sizing import broadcast_if_small
 from larkspar.session import cut_lineage
@@ -23,8 +23,9 @@ def sort_by(t):
     SELECT s_suppkey, s_nationkey, s_acctbal,
            row_number() OVER (ORDER BY s_nationkey ASC, s_acctbal DESC, s_suppkey) AS position FROM supplier""")
 def order_by(t):
+    """Sorted by range slices in partition order; the position proves the order."""
     order = [F.asc("s_nationkey"), F.desc("s_acctbal"), F.asc("s_suppkey")]
-    return numbered(t.supplier.drop("s_name"), [], order, "position").orderBy("position")
+    return numbered(t.supplier.drop("s_name"), [], order, "position")
 
 
 @query("sort_nulls_last", """
@@ -32,7 +33,7 @@ def order_by(t):
     FROM (SELECT event_id, nullif(event_type, 'error') AS kind FROM events)""")
 def sort_nulls_last(t):
     kinds = t.events.select("event_id", F.nullif("event_type", F.lit("error")).alias("kind"))
-    return numbered(kinds, [], [F.desc_nulls_last("kind"), F.asc_nulls_last("event_id")], "position").orderBy("position")
+    return numbered(kinds, [], [F.desc_nulls_last("kind"), F.asc_nulls_last("event_id")], "position")
 
 
 @query("limit", "SELECT least(count(*), 100) AS n_rows, least(count(*), 100) AS n_known FROM orders")
@@ -72,8 +73,8 @@ def sample(t):
     SELECT 40 AS n_once, 40 AS n_different, 40 AS n_again, 80 AS n_known FROM region LIMIT 1""")
 def take_sample(t):
     keys = t.orders.select("o_orderkey")
-    once = take_without_replacement(keys, 40, 5).withColumn("kind", F.lit("once"))
-    again = take_with_replacement(keys, 40, 5, ["o_orderkey"]).withColumn("kind", F.lit("again"))
+    once = draw(keys, 40, 5).withColumn("kind", F.lit("once"))
+    again = draw(keys, 40, 5, again=True).withColumn("kind", F.lit("again"))
     drawn = cut_lineage(once.unionByName(again)).withColumnRenamed("o_orderkey", "drawn_key")
     once_key = F.when(F.col("kind") == "once", F.col("drawn_key"))
     return keys.join(broadcast_if_small(drawn), F.col("o_orderkey") == F.col("drawn_key")).agg(
@@ -94,31 +95,31 @@ def random_split(t):
     )
 
 
-CHEAP_SQL = "SELECT o_custkey AS id FROM orders WHERE o_totalprice < 250000"
-DEAR_SQL = "SELECT o_custkey AS id FROM orders WHERE o_totalprice > 400000"
+BUYERS_SQL = "SELECT o_custkey AS id FROM orders"
+USERS_SQL = "SELECT user_id AS id FROM events"
 
 
-def _cheap(t):
-    return t.orders.where("o_totalprice < 250000").select(F.col("o_custkey").alias("id"))
+def _buyers(t):
+    return t.orders.select(F.col("o_custkey").alias("id"))
 
 
-def _dear(t):
-    return t.orders.where("o_totalprice > 400000").select(F.col("o_custkey").alias("id"))
+def _users(t):
+    return t.events.select(F.col("user_id").alias("id"))
 
 
-@query("union_all", f"{CHEAP_SQL} UNION ALL {DEAR_SQL}")
+@query("union_all", f"{BUYERS_SQL} UNION ALL {USERS_SQL}")
 def union_all(t):
-    return _cheap(t).union(_dear(t))
+    return _buyers(t).union(_users(t))
 
 
-@query("intersect", f"{CHEAP_SQL} INTERSECT {DEAR_SQL}")
+@query("intersect", f"{BUYERS_SQL} INTERSECT {USERS_SQL}")
 def intersect(t):
-    return _cheap(t).intersect(_dear(t))
+    return _buyers(t).intersect(_users(t))
 
 
-@query("except_distinct", f"{CHEAP_SQL} EXCEPT {DEAR_SQL}")
+@query("except_distinct", f"{BUYERS_SQL} EXCEPT {USERS_SQL}")
 def except_distinct(t):
-    return _cheap(t).subtract(_dear(t))
+    return _buyers(t).subtract(_users(t))
 
 
 @query("coalesce", "SELECT count(*) AS n_rows, true AS halved, true AS cannot_grow FROM orders")

@@ -10,34 +10,65 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspar.plans.ordered import join_same
+from larkspar.plans.ordered import HOT_ROWS, join_same
 from larkspar.plans.sizing import BROADCAST_BYTES, broadcast_if_small
+from larkspar.session import cut_lineage
 
 
-def _nulls(df: DataFrame) -> list[Column]:
-    """The columns of ``df`` as nulls of the same names and types."""
-    return [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]
-
+def _hot_keys(left: DataFrame, left_key: str, right: DataFrame, right_key: str, hot_rows: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows on a side: rows of both sides, whether both have the key, and its salts."""
+    count = lambda df, key, name: df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias(name))
+    counts = count(left, left_key, "n_left").join(count(right, right_key, "n_right"), "key", "full")
+    known = counts.where((F.col("n_left") > hot_rows) | (F.col("n_right") > hot_rows)).groupBy("key").agg(
+        F.max("n_left").alias("n_left"), F.max("n_right").alias("n_right")
+    )
+    most = F.greatest("n_left", "n_right")
+    return cut_lineage(known.select(
+        "key",
+        (F.col("key").isNotNull() & F.col("n_left").isNotNull() & F.col("n_right").isNotNull()).alias("both"),
+        (F.coalesce("n_left", F.lit(0)) >= F.coalesce("n_right", F.lit(0))).alias("left_larger"),
+        F.ceil(most / F.lit(max(1, hot_rows))).cast("int").alias("salts"),
+    ))
+
+
+def _salted(side: DataFrame, key: str, hot: DataFrame, larger: Column, name: str) -> DataFrame:
+    """Rows of hot keys dealt to salts, or repeated for all salts where the other side is the larger one."""
+    tagged = side.join(hot, side[key].eqNullSafe(hot["key"]), "left")
+    dealt = F.array(F.pmod(F.monotonically_increasing_id(), F.col("salts")).cast("int"))
+    copied = F.sequence(F.lit(0), F.col("salts") - 1)
+    salts = F.when(F.col("salts").isNull(), F.array(F.lit(0))).when(F.col("both") & ~larger, copied).otherwise(dealt)
+    return tagged.withColumn("dealt_to", salts).select(
+        *side.columns, F.explode("dealt_to").alias(f"{name}_salt"), F.coalesce("both", F.lit(False)).alias(f"{name}_both")
+    )
 
-def outer_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str) -> DataFrame:
-    """Left, right or full outer join as matched rows plus unmatched rows.
 
-    The matched part is an inner join, which may be split on both sides. The
-    unmatched part looks up the distinct keys of the other side, so a hot key
-    there is a single row. Columns are matched by position, so both sides may have
-    columns of the same name; null keys match nothing.
+def outer_join(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Left, right or full outer join that stays balanced when a key holds many rows of either side.
+
+    Keys are counted once per side. Without a hot key this is Spark's own outer join. Rows of a hot
+    key are dealt to salts on the side that has more of them, and repeated for each salt on the other;
+    rows of other keys have one salt, and one outer join on key and salt gives everything. A hot key that
+    both sides have leaves no row without a match, so copies that found none in their salt
+    are dropped; one that a single side has (null keys too, they match nothing) only needs dealing out.
+    Columns are matched by position, so both sides may have columns of the same name.
     """
-    matched = left.join(right, left[left_key] == right[right_key], "inner")
-    result = matched
-    if how in ("left", "full"):
-        keys = right.select(F.col(right_key).alias("_key")).distinct()
-        alone = left.join(keys, left[left_key] == keys["_key"], "left_anti")
-        result = result.unionAll(alone.select("*", *_nulls(right)))
-    if how in ("right", "full"):
-        keys = left.select(F.col(left_key).alias("_key")).distinct()
-        alone = right.join(keys, right[right_key] == keys["_key"], "left_anti")
-        result = result.unionAll(alone.select(*_nulls(left), "*"))
-    return result
+    names = left.columns, right.columns
+    at_left, at_right = f"l{left.columns.index(left_key)}", f"r{right.columns.index(right_key)}"
+    left = left.toDF(*[f"l{i}" for i in range(len(left.columns))])
+    right = right.toDF(*[f"r{i}" for i in range(len(right.columns))])
+    hot = _hot_keys(left, at_left, right, at_right, hot_rows)
+    same = F.col(at_left) == F.col(at_right)
+    if hot.isEmpty():
+        return left.join(right, same, how).toDF(*names[0], *names[1])
+    hot = broadcast_if_small(hot)
+    larger = F.col("left_larger")
+    x, y = _salted(left, at_left, hot, larger, "l"), _salted(right, at_right, hot, ~larger, "r")
+    joined = x.join(y, same & (F.col("l_salt") == F.col("r_salt")), how)
+    alone = (F.col("l_salt").isNull() & F.col("r_both")) | (F.col("r_salt").isNull() & F.col("l_both"))
+    kept = joined.where(~F.coalesce(alone, F.lit(False)))
+    return kept.select(*left.columns, *right.columns).toDF(*names[0], *names[1])
 
 
 def lookup(

@@ -102,9 +102,26 @@ def test_file_count_grows_with_rows():
     assert [file_count(n, 100) for n in (0, 1, 100, 101, 1000)] == [1, 1, 1, 2, 10]
 
 
-def test_outer_join_has_no_full_outer_node(spark):
-    a, b = spark.range(5).toDF("x"), spark.range(3, 9).toDF("y")
-    assert "FullOuter" not in plan(outer_join(a, b, "x", "y", "full"))
+def test_outer_join_reads_each_side_twice_at_most(spark, tmp_path):
+    for name, rows in (("a", spark.range(200).selectExpr("id % 2 AS x", "id")), ("b", spark.range(9).selectExpr("id AS y", "id"))):
+        rows.write.parquet(str(tmp_path / name))
+    a, b = (spark.read.parquet(str(tmp_path / n)) for n in "ab")
+    for hot_rows in (20, 1000):  # the counts are a job of their own, with one scan per side
+        text = plan(outer_join(a, b, "x", "y", "full", hot_rows))
+        assert text.count("FileScan parquet") == 2 and "NestedLoop" not in text
+
+
+def test_global_order_moves_the_rows_once(spark):
+    """One exchange of whole rows; the other one has a row per slice, and nothing is checkpointed."""
+    for key in ("order_by", "sort_nulls_last"):
+        text = query_plan(spark, key)
+        moved = [line for line in text.splitlines() if " Exchange " in line]
+        assert sum("shufflepartitionidpassthrough" in line for line in moved) == 1
+        assert "rangepartitioning" not in text and "ExistingRDD" not in text
+        others = [line for line in moved if "shufflepartitionidpassthrough" not in line]
+        assert all("hashpartitioning" in line or "SinglePartition" in line for line in others) and len(others) <= 2
+        positions = [r["position"] for r in queries()[key](spark, FOLDER).collect()]
+        assert positions == list(range(1, len(positions) + 1))
 
 
 def test_lookup_combines_the_table_first(spark):
@@ -160,10 +177,11 @@ def test_a_hot_key_is_split_in_joins(spark, hot_orders, how):
 
 
 def test_outer_join_splits_a_hot_key_on_the_other_side(spark, hot_orders):
-    """The built-in join cannot split the side that is not preserved; the composed one can."""
+    """The built-in join has all rows of the key in one task; the salted one deals them out."""
     customers = spark.range(0, 600).select(F.col("id").alias("c"))
     plain = hot_orders.join(customers, F.col("cust") == F.col("c"), "right")
-    composed = outer_join(hot_orders, customers, "cust", "c", "right")
-    assert "skew=true" not in executed(plain)
-    assert "skew=true" in executed(composed)
-    assert composed.count() == plain.count()
+    salted = outer_join(hot_orders, customers, "cust", "c", "right", hot_rows=1000)
+    largest = lambda df: df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    even = 60_000 / 4  # four partitions in tests
+    assert largest(salted) < 1.4 * even < largest(plain)
+    assert salted.count() == plain.count()

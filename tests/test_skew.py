@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from larkspar.operators.aggregates import keep_one, values_per_key
 from larkspar.operators.joins import bag_subtract, band_join, cogroup_bags, lookup, outer_join
-from larkspar.operators.sampling import take_with_replacement, take_without_replacement
+from larkspar.operators.sampling import take_sample
 from larkspar.operators.windows import end_values, ranks, running, running_over_peers, shifted
-from larkspar.plans.ordered import SLICE, numbered, slices
+from larkspar.plans.ordered import By, numbered, slice_number, slices
 from larkspar.sources.keyvalue import upsert
 
 
@@ -50,9 +50,10 @@ def by_id(df, *names):
 
 
 def test_hot_group_is_cut(table):
-    cut = slices(table, ["k"], [F.asc("v"), F.asc("id")])
-    per_slice = {r[SLICE]: r["count"] for r in cut.where("k = 'hot'").groupBy(SLICE).count().collect()}
-    assert len(per_slice) >= 3
+    _, cut = slices(table, ["k"], [F.asc("v"), F.asc("id")], "at")
+    per_slice = {r["at"]: r["count"] for r in cut.where("k = 'hot'").groupBy("at").count().collect()}
+    assert len(per_slice) >= 2
+    assert cut.where(F.spark_partition_id() != F.col("at")).isEmpty()
     assert max(per_slice.values()) < 800
 
 
@@ -177,12 +178,71 @@ def test_upsert(spark):
     assert {tuple(r) for r in upsert(old, new, ["k"], "at").collect()} == {("a", 1, 1), ("b", 7, 3), ("c", 6, 2)}
 
 
-def test_samples_of_fixed_size(table, rows):
+def test_samples_of_fixed_size(spark, table, rows, tmp_path):
     ids = {r[0] for r in rows}
-    once = [r["id"] for r in take_without_replacement(table, 50, 1).collect()]
+    once = [r["id"] for r in take_sample(table, 50, 1).collect()]
     assert len(once) == len(set(once)) == 50 and set(once) <= ids
-    again = [r["id"] for r in take_with_replacement(table.limit(2000), 3000, 1, ["id"]).collect()]
+    assert once == [r["id"] for r in take_sample(table, 50, 1).collect()] != [r["id"] for r in take_sample(table, 50, 2).collect()]
+    again = [r["id"] for r in take_sample(table, 3000, 1, again=True).collect()]
     assert len(again) == 3000 and set(again) <= ids and len(set(again)) < 2000
+    assert take_sample(table, 5000, 1).count() == 2000
+    for empty in (table.limit(0), spark.range(0)):
+        assert take_sample(empty, 5, 1).count() == take_sample(empty, 5, 1, again=True).count() == 0
+    table.write.parquet(str(tmp_path / "rows"))
+    scan = spark.read.parquet(str(tmp_path / "rows"))
+    drawn = Counter(r["id"] for i in range(40) for r in take_sample(scan, 500, i).collect())
+    assert set(drawn) == ids and max(drawn.values()) < 30  # 10 of 40 on average
+    plan = take_sample(scan, 20, 3, again=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange" not in plan.replace("BroadcastExchange", "")
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+@pytest.mark.parametrize("hot_rows", [1, 40, 1_000_000])
+def test_outer_join_with_hot_keys(spark, table, how, hot_rows):
+    """Keys hot on the left, on the right, on both, on one side alone, and null."""
+    left = table.select("id", "k", F.lit("left").alias("same"))
+    right = spark.createDataFrame(
+        [(i, k, "right") for i, k in enumerate(["hot"] * 3 + ["k3"] * 120 + ["k4"] * 50 + ["alone"] * 90 + [None] * 70 + ["k5", "z"])],
+        "id int, k string, same string",
+    )
+    for x, y in ((left, right), (right, left)):
+        want = Counter(tuple(r) for r in x.join(y, x["k"] == y["k"], how).collect())
+        got = outer_join(x, y, "k", "k", how, hot_rows)
+        assert got.columns == ["id", "k", "same"] * 2 and Counter(tuple(r) for r in got.collect()) == want
+
+
+ORDERS = {
+    "numbers": lambda: [F.asc("w"), F.desc("id")],
+    "nulls first": lambda: [F.desc_nulls_first("w"), F.asc("v"), F.asc("id")],
+    "nulls last": lambda: [F.desc("k"), F.asc_nulls_last("w"), F.asc("id")],
+    "plain": lambda: [F.col("id")],
+    "times, decimals and bytes": lambda: [F.desc("s"), F.asc("d"), F.asc("b"), F.asc("id")],
+}
+
+
+@pytest.mark.parametrize("kind", ORDERS)
+def test_slices_are_ranges_of_any_order(spark, table, kind):
+    """Nulls, ties, strings, times and bytes: the slice never falls along the order, and numbers are right."""
+    order = ORDERS[kind]()
+    wide = table.withColumns({
+        "s": F.expr("CASE WHEN id % 7 > 0 THEN timestamp_seconds(id % 11) END"), "d": F.expr("CAST(v AS DECIMAL(9, 2))"),
+        "b": F.expr("CAST(k AS BINARY)"), "_slice": F.lit(-1), "_rows": F.lit("own"),
+    })
+    rows = wide.withColumn("at", slice_number(wide, [], order, 7)).orderBy(*order).select("id", "at").collect()
+    at = [r["at"] for r in rows]
+    assert at == sorted(at) and len(set(at)) > 3
+    got = numbered(wide, [], order, "n").collect()
+    assert [r["n"] for r in got] == list(range(1, len(rows) + 1))
+    assert [r["id"] for r in got] == [r["id"] for r in rows]
+    assert {(r["_slice"], r["_rows"]) for r in got} == {(-1, "own")}
+
+
+def test_orders_are_read_from_columns(table):
+    assert By.of(F.desc_nulls_first("a b")) == By("a b", True, False)
+    assert By.of(F.col("a").asc_nulls_last()) == By("a", False, True) and By.of(F.col("a")) == By("a")
+    assert By.of(F.desc("a")) == By("a", True, True)
+    with pytest.raises(ValueError):
+        numbered(table, [], [F.desc(F.col("v") + 1)])
 
 
 @pytest.mark.parametrize("how", ["left", "right", "full"])
