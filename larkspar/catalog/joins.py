@@ -20,10 +20,10 @@ def big(t):
     return t.orders.where("o_totalprice > 400000")
 
 
-@query("join_inner", f"""
-    SELECT o_orderkey, o_totalprice, c_name FROM orders JOIN {RICH_SQL} c ON o_custkey = c_custkey""")
+@query("join_inner", """
+    SELECT o_orderkey, o_totalprice, c_name FROM orders JOIN customer ON o_custkey = c_custkey""")
 def join_inner(t):
-    customers = rich(t).select("c_custkey", "c_name")
+    customers = t.customer.select("c_custkey", "c_name")
     return t.orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "inner").select(
         "o_orderkey", "o_totalprice", "c_name"
     )
@@ -144,10 +144,10 @@ def join_nested_loop(t):
 
 @query("join_map_side_lookup", """
     SELECT s_suppkey, s_name, part_name FROM supplier JOIN (
-      SELECT p_size, arg_max(p_name, p_partkey) AS part_name FROM part WHERE p_size < 20 GROUP BY p_size
+      SELECT p_size, arg_max(p_name, p_partkey) AS part_name FROM part GROUP BY p_size
     ) ON s_nationkey = p_size""")
 def join_map_side_lookup(t):
-    entries = t.part.where("p_size < 20").withColumnRenamed("p_name", "part_name")
+    entries = t.part.select("p_size", "p_partkey", F.col("p_name").alias("part_name"))
     return lookup(t.supplier, entries, "s_nationkey", "p_size", "part_name", "p_partkey").select(
         "s_suppkey", "s_name", "part_name"
     )

@@ -18,7 +18,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspar.catalog.registry import query
@@ -30,6 +30,7 @@ from larkspar.features.stats import (
     goodness_of_fit,
     independence,
     long_vectors,
+    sparse_vectors,
 )
 from larkspar.session import cut_lineage
 
@@ -58,12 +59,13 @@ def ml_index_to_string(t):
 
 
 @query("ml_one_hot", f"""
-    SELECT event_id, CAST(p.place AS INTEGER) AS position, CASE WHEN p.place = own.place THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS hot
-    FROM events JOIN {INDEX_SQL} own USING (event_type), {INDEX_SQL} p""")
+    SELECT event_id, (SELECT count(*) FROM {INDEX_SQL})::INTEGER AS width, CAST(place AS INTEGER) AS position, 1.0::DOUBLE AS hot
+    FROM events JOIN {INDEX_SQL} USING (event_type)""")
 def ml_one_hot(t):
+    """The encoded vectors as they are stored: their width and the one place that is not zero."""
     _, indexed = indexed_events(t)
     encoder = OneHotEncoder(inputCol="type_index", outputCol="hot", dropLast=False)
-    return long_vectors(encoder.fit(indexed).transform(indexed), "event_id", "hot")
+    return sparse_vectors(encoder.fit(indexed).transform(indexed), "event_id", "hot")
 
 
 NUMBERS = ["o_totalprice", "o_custkey"]
@@ -288,8 +290,7 @@ def ml_row_matrix(t):
     SELECT vec_id, CAST(label AS DOUBLE) AS label, unnest(range(0, len(embedding)))::INTEGER AS position,
            CAST(unnest(embedding) AS DOUBLE) AS features FROM embeddings""")
 def ml_labeled_point(t):
-    points = embedding_rows(t)
-    return points.select("vec_id", "label").join(long_vectors(points, "vec_id", "features"), "vec_id")
+    return embedding_rows(t).select("vec_id", "label", F.posexplode(vector_to_array("features")).alias("position", "features"))
 
 
 def labelled_texts(t) -> DataFrame:
@@ -297,38 +298,62 @@ def labelled_texts(t) -> DataFrame:
     return t.texts.join(labels, "doc_id")
 
 
+def stored(data: DataFrame) -> DataFrame:
+    """Rows that training reads many times, in partitions of an even size: each iteration costs a task per partition."""
+    return cut_lineage(data.hint("rebalance"))
+
+
 N_LABELLED = "(SELECT count(*) FROM documents JOIN labels USING (doc_id))"
 
 
-@query("ml_logistic", f"SELECT {N_LABELLED} AS n_scored, true AS loss_falls, true AS learns FROM region LIMIT 1")
+PARTS = 5  # one of them is held out
+
+
+def split_sql(key: str, table: str) -> str:
+    part = models.hashed_part_sql(key, PARTS)
+    return f"count(*) FILTER ({part} > 0) AS n_fitted, count(*) FILTER ({part} = 0) AS n_scored FROM {table}"
+
+
+LABELLED = "(SELECT doc_id FROM documents JOIN labels USING (doc_id))"
+
+
+@query("ml_logistic", f"SELECT true AS loss_falls, true AS learns, {split_sql('doc_id', LABELLED)}")
 def ml_logistic(t):
-    """Text classifier: the loss falls in training and the fit beats the majority class."""
-    data = labelled_texts(t)
-    model = models.text_classifier(4096)[0].fit(data)
-    history = model.stages[-1].summary.objectiveHistory
-    falls = all(a >= b for a, b in zip(history, history[1:]))
-    scored = model.transform(data)
+    """Text classifier: the loss falls in training, and rows it has not seen are told better than by the larger class."""
+    data = stored(labelled_texts(t).withColumn("part", models.hashed_part("doc_id", PARTS)))
+    model = models.text_classifier()[0].fit(data.where("part > 0"))
+    losses = models.losses(t.spark, model.stages[-1])
+    step = Window.partitionBy(F.lit(1)).orderBy("iteration")  # a row per iteration
+    falls = losses.select((F.col("loss") <= F.lag("loss").over(step)).alias("falls")).agg(F.bool_and("falls").alias("falls"))
+    scored = model.transform(data.where("part = 0"))
     right = F.avg((F.col(models.PREDICTION) == F.col("label")).cast("double"))
     majority = F.greatest(F.avg("label"), 1 - F.avg("label"))
     return scored.agg(
-        F.count(models.PREDICTION).alias("n_scored"), F.lit(falls).alias("loss_falls"), (right >= majority).alias("learns")
+        F.lit(falls.first()["falls"]).alias("loss_falls"), (right >= majority).alias("learns"),
+        F.lit(data.where("part > 0").count()).alias("n_fitted"), F.count(models.PREDICTION).alias("n_scored"),
     )
 
 
 def priced_lines(t) -> DataFrame:
-    rows = t.lineitem.select("l_orderkey", (F.col("l_quantity") - 25).alias("q"), "l_tax", F.col("l_extendedprice").alias("label"))
-    return assembled(rows, ["q", "l_tax"])
+    """Net prices, with whether the gross price is above 50000 (it becomes 0 or 1) and the discount to tell them by."""
+    net = (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("label")
+    rows = t.lineitem.select("l_orderkey", (F.col("l_extendedprice") - 50_000).alias("above"), "l_discount", net)
+    return assembled(rows, ["above", "l_discount"])
 
 
-@query("ml_decision_tree", "SELECT count(*) AS n_scored, true AS within_range, true AS learns FROM lineitem")
+@query("ml_decision_tree", f"SELECT true AS within_range, true AS learns, {split_sql('l_orderkey', 'lineitem')}")
 def ml_decision_tree(t):
-    """Regression tree: leaves are means of labels and explain part of their spread."""
-    data = priced_lines(t)
-    model = models.tree_regressor()[0].fit(data)
-    p, y = F.col(models.PREDICTION), F.col("label")
-    return model.transform(data).agg(
-        F.count(p).alias("n_scored"), ((F.min(p) >= F.min(y)) & (F.max(p) <= F.max(y))).alias("within_range"),
-        (F.avg((p - y) ** 2) < F.var_pop(y)).alias("learns"),
+    """Regression tree: its error on rows it has not seen is below the spread of their labels."""
+    data = priced_lines(t).withColumn("part", models.hashed_part("l_orderkey", PARTS))
+    fitted, held = data.where("part > 0"), data.where("part = 0")
+    model = models.tree_regressor()[0].fit(fitted)
+    ends = fitted.agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")).first()
+    scored = model.transform(held)
+    error = models.rmse().evaluate(scored)
+    p = F.col(models.PREDICTION)
+    return scored.agg(
+        F.min(p.between(ends["low"], ends["high"])).alias("within_range"), (F.lit(error) < F.stddev_pop("label")).alias("learns"),
+        F.lit(ends["n"]).alias("n_fitted"), F.count(p).alias("n_scored"),
     )
 
 
@@ -344,31 +369,65 @@ def ml_pipeline(t):
     )
 
 
-GRID_SQL = f"""
-    SELECT CAST(i AS DOUBLE) AS maxIter, CAST(r AS DOUBLE) AS regParam, true AS scored, {N_LABELLED} AS n_rows
-    FROM (VALUES (101), (99), (110)) a(i), (VALUES (0.01), (0.001)) b(r)"""
+def search_sql(names: list[str], grids: list[str], folds: int, scored: str, table: str, key: str) -> str:
+    """A row per grid point and fold: sizes of the fold, whether it has a score, and that one best point has the best mean."""
+    part = models.hashed_part_sql(key, folds)
+    points = ", ".join(f"(VALUES {g}) g{i}({n})" for i, (n, g) in enumerate(zip(names, grids)))
+    values = ", ".join(f"CAST({n} AS DOUBLE) AS {n}" for n in names)
+    return f"""
+        SELECT {values}, fold, n_fitted, n_scored, true AS scored, 1 AS n_best, true AS best_has_best_mean
+        FROM {points}, (SELECT {part} AS fold, count(*) AS n_scored, (SELECT count(*) FROM {table}) - count(*) AS n_fitted
+          FROM {table} GROUP BY fold HAVING fold IN ({scored}))"""
+
+
+LR_GRID = ["(101), (99), (110)", "(0.01), (0.001)"]
+TREE_GRID = ["(2), (5), (10), (25)", "(10), (20), (30), (40)"]
+
+
+def _reported(search: models.Search, names: list[str], larger: bool) -> DataFrame:
+    """Scores per fold and grid point beside the best point."""
+    means = search.means()
+    is_best = F.lit(True)
+    for param, value in search.best.items():
+        is_best = is_best & (F.col(param.name) == float(value))
+    most = means.agg((F.max if larger else F.min)("mean_score").alias("best_mean"))
+    best = means.where(is_best).agg(F.count(F.lit(1)).cast("int").alias("n_best"), F.max("mean_score").alias("mean_score"))
+    verdict = best.join(most, best["mean_score"] == most["best_mean"], "left").select(
+        "n_best", F.col("best_mean").isNotNull().alias("best_has_best_mean")
+    ).first()
+    sound = (F.col("score") >= 0) & ((F.col("score") <= 1) | F.lit(not larger))
+    return search.scores.select(
+        *names, "fold", "n_fitted", "n_scored", sound.alias("scored"), F.lit(verdict[0]).alias("n_best"),
+        F.lit(verdict[1]).alias("best_has_best_mean"),
+    )
 
 
-def _searched(t, search) -> DataFrame:
+def _classifier_search(t, search) -> DataFrame:
     """Search over the classifier; the words are counted once, not for every fold and grid point."""
-    pipeline, lr = models.text_classifier(256)
+    pipeline, lr = models.text_classifier()
     counted = PipelineModel(pipeline.getStages()[:-1]).transform(labelled_texts(t))
-    data = cut_lineage(counted.select("label", "hashFeatures"))
+    data = stored(counted.select("doc_id", "label", "hashFeatures"))
     grid = ParamGridBuilder().addGrid(lr.maxIter, [101, 99, 110]).addGrid(lr.regParam, [0.01, 0.001]).build()
-    _, scores = search(lr, grid, models.accuracy(), data)
-    return scores.select(
-        "maxIter", "regParam", F.col("score").between(0.0, 1.0).alias("scored"), F.lit(data.count()).alias("n_rows")
-    )
+    return _reported(search(lr, grid, models.accuracy(), data, "doc_id"), ["maxIter", "regParam"], True)
 
 
-@query("ml_cross_validate", GRID_SQL)
+@query("ml_cross_validate", search_sql(["maxIter", "regParam"], LR_GRID, 3, "0, 1, 2", LABELLED, "doc_id"))
 def ml_cross_validate(t):
-    return _searched(t, models.cross_validated)
+    return _classifier_search(t, models.cross_validated)
 
 
-@query("ml_train_validation", GRID_SQL)
+@query("ml_train_validation", search_sql(["maxIter", "regParam"], LR_GRID, PARTS, "0", LABELLED, "doc_id"))
 def ml_train_validation(t):
-    return _searched(t, models.split_validated)
+    return _classifier_search(t, models.split_validated)
+
+
+@query("ml_tree_search", search_sql(["maxDepth", "maxBins"], TREE_GRID, PARTS, "0", "lineitem", "l_orderkey"))
+def ml_tree_search(t):
+    """Sixteen regression trees on a single split; the smallest error wins."""
+    pipeline, tree = models.tree_regressor()
+    data = stored(priced_lines(t).select("l_orderkey", "label", "features"))
+    grid = ParamGridBuilder().addGrid(tree.maxDepth, [2, 5, 10, 25]).addGrid(tree.maxBins, [10, 20, 30, 40]).build()
+    return _reported(models.split_validated(pipeline, grid, models.rmse(), data, "l_orderkey"), ["maxDepth", "maxBins"], False)
 
 
 @query("ml_evaluate", """
@@ -386,8 +445,8 @@ def ml_evaluate(t):
     SELECT 0.01::DOUBLE AS reg_param, 0.55::DOUBLE AS threshold, 101 AS max_iter, {N_LABELLED} AS n_scored FROM region LIMIT 1""")
 def ml_param_override(t):
     """Parameters passed to ``fit`` win over those set on the estimator."""
-    data = labelled_texts(t)
-    pipeline, lr = models.text_classifier(256)
+    data = stored(labelled_texts(t))
+    pipeline, lr = models.text_classifier()
     lr.setRegParam(0.5).setMaxIter(3)
     model = pipeline.fit(data, {lr.maxIter: 101, lr.regParam: 0.01, lr.threshold: 0.55})
     fitted = model.stages[-1]
@@ -399,7 +458,7 @@ def ml_param_override(t):
 
 @query("ml_model_persist", f"SELECT {N_LABELLED} AS n_scored, {N_LABELLED} AS n_equal FROM region LIMIT 1")
 def ml_model_persist(t):
-    data = labelled_texts(t)
-    model = models.text_classifier(256)[0].fit(data)
+    data = stored(labelled_texts(t))
+    model = models.text_classifier()[0].fit(data)
     again = models.saved_and_loaded(model, t.folder("model"))
     return models.same_predictions(model.transform(data), again.transform(data), "doc_id")

@@ -10,7 +10,7 @@ from larkspar.catalog.sources import SUPPLIER_CATALOG, unique
 from larkspar.plans.ordered import numbered
 from larkspar.sources import cells, keyvalue
 from larkspar.sources.catalog_tables import create_partitioned_text, insert_into, save_bucketed
-from larkspar.sources.databases import database_url, read_table, write_table
+from larkspar.sources.databases import database_url, read_parallel, write_table
 from larkspar.sources.files import write_report
 
 
@@ -106,17 +106,17 @@ def sink_table_modes(t):
 def sink_table_bucketed(t):
     table = unique("orders_bucketed")
     orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
-    save_bucketed(orders, table, t.folder("bucketed"), "o_orderstatus", "o_orderkey")
+    save_bucketed(orders, table, t.folder("bucketed"), "o_orderstatus", "o_orderkey", buckets=12)
     return t.spark.table(table)
 
 
 @query("ddl_partitioned_table", """
     SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS price, strftime(o_orderdate, '%Y-%m') AS dt
-    FROM orders WHERE o_totalprice > 20000""")
+    FROM orders""")
 def ddl_partitioned_table(t):
     table = unique("orders_text")
     create_partitioned_text(t.spark, table, "o_orderkey BIGINT, price DECIMAL(12,2)", "dt", t.folder("ddl"))
-    rows = t.orders.where("o_totalprice > 20000").select(
+    rows = t.orders.select(
         "o_orderkey", F.col("o_totalprice").cast("decimal(12,2)").alias("price"),
         F.date_format("o_orderdate", "yyyy-MM").alias("dt"),
     )
@@ -148,7 +148,7 @@ def sink_jdbc(t):
     rows = t.supplier.select("s_suppkey", "s_acctbal")
     write_table(rows, url, table)
     write_table(rows.where("s_acctbal > 0"), url, table, mode="overwrite", batchsize=1000)
-    return read_table(t.spark, url, table)
+    return read_parallel(t.spark, url, table, "s_suppkey")
 
 
 @query("sink_kv_list", """

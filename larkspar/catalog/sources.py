@@ -11,7 +11,7 @@ from larkspar.catalog.registry import query
 from larkspar.plans.ordered import numbered
 from larkspar.plans.sizing import broadcast_if_small
 from larkspar.sources import cells, keyvalue
-from larkspar.sources.databases import database_url, read_partitioned, read_table, write_table
+from larkspar.sources.databases import database_url, read_parallel, read_partitioned, write_table
 from larkspar.sources.files import read_libsvm, text_records
 
 
@@ -109,7 +109,8 @@ def src_libsvm(t):
     t.embeddings.select(F.col("label").cast("double").alias("label"), vector.alias("features")).write.format(
         "libsvm"
     ).save(path)
-    rows = read_libsvm(t.spark, path, 64).select("label", F.posexplode(vector_to_array("features")).alias("dim", "x"))
+    width = t.embeddings.agg(F.max(F.size("embedding"))).first()[0]
+    rows = read_libsvm(t.spark, path, width).select("label", F.posexplode(vector_to_array("features")).alias("dim", "x"))
     return rows.groupBy("label", F.col("dim").cast("long").alias("dim")).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("x"), 6).alias("total")
     )
@@ -125,13 +126,14 @@ def customers_in_database(t) -> tuple[str, str]:
 @query("src_jdbc_table", "SELECT c_custkey, c_name, c_acctbal FROM customer")
 def src_jdbc_table(t):
     url, table = customers_in_database(t)
-    return read_table(t.spark, url, table)
+    return read_parallel(t.spark, url, table, "c_custkey")
 
 
 @query("src_jdbc_subquery", "SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 5000")
 def src_jdbc_subquery(t):
     url, table = customers_in_database(t)
-    return read_table(t.spark, url, f'(SELECT "c_custkey", "c_name" FROM {table} WHERE "c_acctbal" > 5000) rich')
+    rich = f'(SELECT "c_custkey", "c_name" FROM {table} WHERE "c_acctbal" > 5000) rich'
+    return read_parallel(t.spark, url, rich, "c_custkey")
 
 
 @query("src_jdbc_partitioned", "SELECT c_custkey, c_name, c_acctbal, 10 AS n_partitions FROM customer")
@@ -187,13 +189,13 @@ def customer_store(t):
         PARTITION BY o_custkey ORDER BY o_orderkey) AS VARCHAR), CAST(o_orderkey AS VARCHAR) FROM orders
       UNION ALL SELECT DISTINCT 'nation:' || c_nationkey || ':segments', 'set', NULL, c_mktsegment FROM customer
       UNION ALL SELECT 'segment:' || c_mktsegment, 'string', NULL, CAST(count(*) AS VARCHAR) FROM customer GROUP BY ALL)
-    WHERE key GLOB 'customer:*' OR key GLOB 'nation:?:segments' OR key IN ('segment:BUILDING', 'segment:MACHINERY')""")
+    WHERE key GLOB 'customer:*' OR key GLOB 'nation:[0-9]:segments' OR key IN ('segment:BUILDING', 'segment:MACHINERY')""")
 def src_kv_scan(t):
     path = t.folder("kv")
     customer_store(t).write.partitionBy("kind").parquet(path)
     store = t.spark.read.parquet(path).select(*keyvalue.COLUMNS)
     by_glob = keyvalue.keys_like(store, "customer:*").unionByName(
-        keyvalue.keys_like(keyvalue.of_kind(store, "set"), "nation:?:segments")
+        keyvalue.keys_like(keyvalue.of_kind(store, "set"), "nation:[0-9]:segments")
     )
     return by_glob.unionByName(keyvalue.keys_in(store, ["segment:BUILDING", "segment:MACHINERY"]))
 

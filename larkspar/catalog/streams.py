@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,9 +9,8 @@ from larkspar.catalog.projections import SPLIT_SQL
 from larkspar.catalog.registry import query
 from larkspar.catalog.sources import unique
 from larkspar.sources import folder_log, messages
-from larkspar.sources.databases import database_url, delete_batch, read_table, write_table
+from larkspar.sources.databases import database_url, delete_batch, read_parallel, write_table
 from larkspar.sources.files import Staged, stage
-from larkspar.sources.manifests import open_folder
 from larkspar.streaming.row_writer import LineWriter
 from larkspar.streaming.run import (
     append_to_files,
@@ -22,10 +20,11 @@ from larkspar.streaming.run import (
     completed,
     finish,
     for_each_batch,
+    preview,
     updates,
 )
 from larkspar.streaming.state import fold_stream, summed
-from larkspar.streaming.transforms import camera_counts, windowed, with_gaps, word_totals
+from larkspar.streaming.transforms import camera_counts, distinct_within, windowed, with_gaps, word_totals
 
 EVENT_DDL = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
@@ -60,11 +59,12 @@ def src_stream_json(t):
     return plain_time(appended(event_stream(t, batches=3, files=6)))
 
 
-@query("src_stream_csv", "SELECT * EXCLUDE (props) FROM events")
+@query("src_stream_csv", "SELECT * FROM events")
 def src_stream_csv(t):
-    rows = t.timed_events.drop("props")
-    staged = stage(rows, t.folder("events-csv"), "csv", 4, sep=",", **EXACT)
-    return plain_time(appended(read_staged(t, staged, "csv", EVENT_DDL.rsplit(",", 1)[0], sep=",", **EXACT)))
+    """All columns; texts with quotes, separators and line breaks are quoted and read back whole."""
+    layout = {"sep": ",", "quote": '"', "escape": '"', "multiLine": "true", **EXACT}
+    staged = stage(t.timed_events, t.folder("events-csv"), "csv", 4, **layout)
+    return plain_time(appended(read_staged(t, staged, "csv", EVENT_DDL, **layout)))
 
 
 LINES_SQL = "SELECT unnest(string_split(text, chr(10))) AS value FROM documents"
@@ -173,10 +173,14 @@ def st_json_agg(t):
     return counted.withColumn("start_time", F.col("start_time").cast("string"))
 
 
+#: Longer than the time the events of any scale folder span.
+HORIZON = "10 years"
+
+
 @query("st_distinct", "SELECT DISTINCT user_id, event_type FROM events")
 def st_distinct(t):
-    pairs = event_stream(t, batches=2).select("user_id", "event_type")
-    return appended(pairs.dropDuplicates(["user_id", "event_type"]))
+    """Pairs once each; the horizon is longer than the events reach, so no pair comes back."""
+    return appended(distinct_within(event_stream(t, batches=2), ["user_id", "event_type"], "ts", HORIZON))
 
 
 @query("st_na_fill", """
@@ -314,11 +318,9 @@ def st_file_rate_limit(t):
 def st_ignore_partial_files(t):
     """Copies still being written, under a temporary name or suffix, are not read."""
     path = stage(t.events.select("event_id"), t.folder("copies"), "json", 3).path
-    system, root = open_folder(path)
-    whole = [i for i in system.get_file_info(fs.FileSelector(root)) if i.base_name.endswith(".json")]
-    for info in whole[:2]:
-        system.copy_file(info.path, f"{info.path}._COPYING_")
-        system.copy_file(info.path, f"{info.path}.tmp")
+    events = t.events.select(F.to_json(F.struct("event_id")).alias("value"))
+    for name in ("_COPYING_", ".half.json", "0.json.tmp"):  # whole copies of the table under names that are not read
+        events.write.text(f"{path}/{name}")
     stream = t.spark.readStream.schema("event_id bigint").option("pathGlobFilter", "*.json").json(path)
     return appended(stream).agg(F.count(F.lit(1)).alias("n"))
 
@@ -356,7 +358,7 @@ def sink_stream_foreach(t):
 
 
 def _in_database(t, stream: DataFrame, **options) -> DataFrame:
-    """Each micro-batch to a table, tagged with its number; a repeated batch replaces its rows."""
+    """Each micro-batch to a table, tagged with its number; a repeated batch replaces its rows. Read back by ``event_id``."""
     url, table = database_url(t.spark), unique("BATCHES").upper()
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -364,7 +366,7 @@ def _in_database(t, stream: DataFrame, **options) -> DataFrame:
         write_table(batch.withColumn("batch_id", F.lit(batch_id).cast("long")), url, table, mode="append", **options)
 
     for_each_batch(stream, write)
-    return read_table(t.spark, url, table).drop("batch_id")
+    return read_parallel(t.spark, url, table, "event_id").drop("batch_id")
 
 
 @query("sink_stream_batch", "SELECT event_id, user_id, value FROM events")
@@ -372,11 +374,10 @@ def sink_stream_batch(t):
     return _in_database(t, event_stream(t, batches=2).select("event_id", "user_id", "value"))
 
 
-@query("sink_stream_partition_batch", "SELECT event_id, value FROM events WHERE event_type = 'click'")
+@query("sink_stream_partition_batch", "SELECT event_id, value FROM events")
 def sink_stream_partition_batch(t):
     """One connection and one commit per partition, rows inserted in batches."""
-    clicks = event_stream(t).where("event_type = 'click'").select("event_id", "value")
-    return _in_database(t, clicks, batchsize=1000)
+    return _in_database(t, event_stream(t).select("event_id", "value"), batchsize=1000)
 
 
 @query("sink_stream_registered", "SELECT event_id, event_type, value FROM events")
@@ -391,12 +392,13 @@ def sink_stream_registered(t):
     ))
 
 
-@query("sink_console", """
-    SELECT event_type, count(*) AS n FROM events GROUP BY event_type ORDER BY n DESC, event_type LIMIT 20""")
+#: Rows that a console shows unless told otherwise.
+PREVIEW_ROWS = 20
+
+
+@query("sink_console", f"""
+    SELECT event_type, count(*) AS n FROM events GROUP BY event_type ORDER BY n DESC, event_type LIMIT {PREVIEW_ROWS}""")
 def sink_console(t):
-    """Preview of a running result: its first 20 rows in a queryable in-memory table."""
+    """Preview of a running result: its first rows in a queryable in-memory table."""
     counts = event_stream(t).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    preview = counts.orderBy(F.desc("n"), "event_type").limit(20)
-    name = unique("preview")
-    finish(preview.writeStream.format("memory").queryName(name).outputMode("complete"), t.folder("stream-log"))
-    return t.spark.table(name)
+    return preview(counts, [F.desc("n"), F.asc("event_type")], PREVIEW_ROWS, unique("preview"))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator, RegressionEvaluator
@@ -17,8 +21,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.param import Param
 from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.ml.tuning import CrossValidator, TrainValidationSplit
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PREDICTION = "predictioncol"
@@ -70,34 +73,87 @@ def rmse(label: str = "label", prediction: str = PREDICTION) -> RegressionEvalua
     return RegressionEvaluator(labelCol=label, predictionCol=prediction, metricName="rmse")
 
 
+def hashed_part(key: str | Column, parts: int) -> Column:
+    """A part from 0 to ``parts`` - 1 by a multiplicative hash of an integer key, the same in every run and engine.
+
+    Neighbouring keys fall into different parts, and a row's part does not depend on the other rows.
+    """
+    spread = F.pmod(F.pmod(F.col(key) if isinstance(key, str) else key, F.lit(1 << 31)) * 2654435761, F.lit(1 << 32))
+    return F.pmod(F.shiftright(spread, 16), F.lit(parts)).cast("int")
+
+
+def hashed_part_sql(key: str, parts: int) -> str:
+    return f"CAST(((({key} % 2147483648) * 2654435761) % 4294967296 >> 16) % {parts} AS INTEGER)"
+
+
+@dataclass
+class Search:
+    """What a parameter search found: scores per fold and grid point, the best point, and its model on all rows."""
+
+    scores: DataFrame
+    best: dict[Param, object]
+    best_model: Model
+
+    def means(self) -> DataFrame:
+        """Grid points with their mean score over the folds."""
+        points = [c for c in self.scores.columns if c not in ("fold", "n_fitted", "n_scored", "score")]
+        return self.scores.groupBy(*points).agg(F.avg("score").alias("mean_score"))
+
+
+def searched(
+    estimator: Estimator, grid: list[dict[Param, object]], evaluator: Evaluator, data: DataFrame, fold: str,
+    folds: list[int], parallelism: int = 4,
+) -> Search:
+    """Fit each grid point on the rows outside each of ``folds`` and score it on the rows inside.
+
+    ``fold`` is a column of ``data``. The best point has the best mean score, the earliest of
+    equal ones, and is fitted once more on all rows. ``data`` is read for each fit and should be stored.
+    """
+    sizes = {r[0]: r[1] for r in data.groupBy(fold).count().collect()}
+    total = sum(sizes.values())
+
+    def score(task: tuple[int, int]) -> float:
+        number, point = task
+        fitted = estimator.fit(data.where(F.col(fold) != number), grid[point])
+        return evaluator.evaluate(fitted.transform(data.where(F.col(fold) == number), grid[point]))
+
+    tasks = [(number, point) for number in folds for point in range(len(grid))]
+    with ThreadPool(parallelism) as pool:
+        found = dict(zip(tasks, pool.map(inheritable_thread_target(data.sparkSession)(score), tasks)))
+    better = max if evaluator.isLargerBetter() else min
+    means = [sum(found[number, point] for number in folds) / len(folds) for point in range(len(grid))]
+    best = grid[means.index(better(means))]
+    names = [p.name for p in grid[0]]
+    rows = [
+        (number, *[float(v) for v in grid[point].values()], total - sizes.get(number, 0), sizes.get(number, 0), float(s))
+        for (number, point), s in found.items()
+    ]
+    kinds = ", ".join(["fold int", *[f"{n} double" for n in names], "n_fitted long", "n_scored long", "score double"])
+    return Search(data.sparkSession.createDataFrame(rows, kinds), best, estimator.fit(data, best))
+
+
 def cross_validated(
-    estimator: Estimator, grid: list[dict[Param, object]], evaluator: Evaluator, data: DataFrame,
-    folds: int = 3, parallelism: int = 4, seed: int = 3,
-) -> tuple[Model, DataFrame]:
-    """k-fold search: the fitted search and one row per grid point with its mean score."""
-    search = CrossValidator(
-        estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
-        parallelism=parallelism, seed=seed,
-    ).fit(data)
-    return search, _scores(data, grid, search.avgMetrics)
+    estimator: Estimator, grid: list[dict[Param, object]], evaluator: Evaluator, data: DataFrame, key: str,
+    folds: int = 3, parallelism: int = 4,
+) -> Search:
+    """k-fold search over folds by the hash of ``key``."""
+    parts = data.withColumn("fold", hashed_part(key, folds))
+    return searched(estimator, grid, evaluator, parts, "fold", list(range(folds)), parallelism)
 
 
 def split_validated(
-    estimator: Estimator, grid: list[dict[Param, object]], evaluator: Evaluator, data: DataFrame,
-    ratio: float = 0.8, parallelism: int = 4, seed: int = 3,
-) -> tuple[Model, DataFrame]:
-    """Search on a single split into training and validation rows."""
-    search = TrainValidationSplit(
-        estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, trainRatio=ratio,
-        parallelism=parallelism, seed=seed,
-    ).fit(data)
-    return search, _scores(data, grid, search.validationMetrics)
-
-
-def _scores(data: DataFrame, grid: list[dict[Param, object]], scores: list[float]) -> DataFrame:
-    names = [p.name for p in grid[0]]
-    rows = [tuple(float(v) for v in point.values()) + (float(s),) for point, s in zip(grid, scores)]
-    return data.sparkSession.createDataFrame(rows, ", ".join(f"{n} double" for n in [*names, "score"]))
+    estimator: Estimator, grid: list[dict[Param, object]], evaluator: Evaluator, data: DataFrame, key: str,
+    parts: int = 5, parallelism: int = 4,
+) -> Search:
+    """Search on a single split: one of ``parts`` parts by the hash of ``key`` is scored, the others are fitted."""
+    split = data.withColumn("fold", hashed_part(key, parts))
+    return searched(estimator, grid, evaluator, split, "fold", [0], parallelism)
+
+
+def losses(spark: SparkSession, fitted: Model) -> DataFrame:
+    """The loss of a fitted classifier before training and after each iteration, as rows (iteration, loss)."""
+    rows = [(i, float(x)) for i, x in enumerate(fitted.summary.objectiveHistory)]
+    return spark.createDataFrame(rows, "iteration int, loss double")
 
 
 def saved_and_loaded(model: PipelineModel, path: str) -> PipelineModel:

@@ -16,6 +16,13 @@ def assembled(df: DataFrame, columns: list[str], out: str = "features") -> DataF
     return VectorAssembler(inputCols=columns, outputCol=out).transform(df)
 
 
+def sparse_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
+    """Rows (key, width, position, value) of the entries of a vector that are not zero; zeros are dropped before any shuffle."""
+    entries = df.select(key, vector_to_array(vector).alias("entries"))
+    rows = entries.select(key, F.size("entries").alias("width"), F.posexplode("entries").alias("position", vector))
+    return rows.where(F.col(vector) != 0)
+
+
 def column_stats(df: DataFrame, features: str, metrics: tuple[str, ...] = METRICS) -> DataFrame:
     """One row per vector position with the chosen metrics, from one pass."""
     summary = df.select(Summarizer.metrics(*metrics).summary(F.col(features)).alias("s"))

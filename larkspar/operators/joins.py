@@ -78,9 +78,9 @@ def lookup(
     """Keep the fact rows whose key is known and add ``value``.
 
     Of several entries for a key the one with the greatest ``latest`` counts. The
-    table is broadcast only while it is measured to be small.
+    table is combined once, and broadcast only while it is measured to be small.
     """
-    entries = dim.groupBy(F.col(dim_key).alias("_key")).agg(F.max_by(value, latest).alias(value))
+    entries = cut_lineage(dim.groupBy(F.col(dim_key).alias("_key")).agg(F.max_by(value, latest).alias(value)))
     small = broadcast_if_small(entries, max_bytes)
     return fact.join(small, fact[fact_key] == small["_key"], "inner").drop("_key")
 

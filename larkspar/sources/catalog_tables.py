@@ -6,8 +6,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-
-from larkspar.plans.sizing import file_count
+from pyspark.sql import functions as F
 
 
 @contextmanager
@@ -58,19 +57,18 @@ def insert_into(df: DataFrame, table: str, overwrite: bool = False) -> None:
             df.write.mode("overwrite" if overwrite else "append").insertInto(table)
 
 
-def save_bucketed(
-    df: DataFrame, table: str, path: str, partition: str, bucket: str, least: int = 12, rows_per_bucket: int = 5_000_000
-) -> int:
+def save_bucketed(df: DataFrame, table: str, path: str, partition: str, bucket: str, buckets: int) -> None:
     """Partitioned, bucketed and sorted table; later joins on ``bucket`` need no shuffle.
 
-    The number of buckets grows with the rows, so a bucket stays small. Rows are
-    brought together by bucket first, so a bucket of a partition is one file.
+    Rows are brought together by bucket first, so an ordinary bucket of a partition is one file;
+    a bucket that is too large for a task is split over several, and has as many files.
     """
-    buckets = max(least, file_count(df.count(), rows_per_bucket))
+    number = "bucket_number"
+    while number in df.columns:
+        number = f"_{number}"
+    placed = df.withColumn(number, F.pmod(F.hash(bucket), F.lit(buckets))).hint("rebalance", number).drop(number)
     (
-        df.repartition(buckets, bucket)
-        .write.mode("overwrite").option("path", path)
+        placed.write.mode("overwrite").option("path", path)
         .partitionBy(partition).bucketBy(buckets, bucket).sortBy(bucket)
         .saveAsTable(table)
     )
-    return buckets

@@ -40,15 +40,38 @@ def read_partitioned(
     )
 
 
+def read_parallel(
+    spark: SparkSession, url: str, table: str, column: str, partitions: int | None = None, fetchsize: int = 10_000, **options
+) -> DataFrame:
+    """A table or a subquery ``(select ...) name`` in ``partitions`` ranges of a numeric column between its ends.
+
+    The ends are asked from the database. Rows without a value of ``column`` are in the first range.
+    """
+    partitions = partitions or spark.sparkContext.defaultParallelism
+    ends = read_table(
+        spark, url, f'(SELECT MIN("{column}") AS first_value, MAX("{column}") AS last_value FROM {table}) ends', **options
+    ).first()
+    if ends is None or ends[0] is None:
+        return read_table(spark, url, table, fetchsize=fetchsize, **options)
+    return read_table(
+        spark, url, table, partitionColumn=column, lowerBound=int(ends[0]), upperBound=int(ends[1]) + 1,
+        numPartitions=partitions, fetchsize=fetchsize, **options,
+    )
+
+
 def write_table(df: DataFrame, url: str, table: str, mode: str = "overwrite", **options) -> None:
     """Write with one connection, batched inserts and one transaction per partition."""
     settings = {"batchsize": 5000, **options}
     df.write.format("jdbc").options(url=url, dbtable=table, **settings).mode(mode).save()
 
 
-def delete_batch(spark: SparkSession, url: str, table: str, column: str, batch_id: int) -> None:
-    """Remove what an earlier attempt of a micro-batch left in the table."""
-    connection = spark.sparkContext._jvm.java.sql.DriverManager.getConnection(url)
+def delete_batch(spark: SparkSession, url: str, table: str, column: str, batch_id: int, **options) -> None:
+    """Remove what an earlier attempt of a micro-batch left in the table; ``options`` are those of the connection."""
+    jvm = spark.sparkContext._jvm
+    properties = jvm.java.util.Properties()
+    for name, value in options.items():
+        properties.setProperty(name, str(value))
+    connection = jvm.java.sql.DriverManager.getConnection(url, properties)
     try:
         names = connection.getMetaData().getTables(None, None, table, None)
         if names.next():

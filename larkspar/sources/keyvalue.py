@@ -6,7 +6,7 @@ the position in a list. Values of a key are rows, so no key is too large.
 
 from __future__ import annotations
 
-import re
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,14 +15,71 @@ from pyspark.sql.types import StructType
 COLUMNS = ["key", "kind", "field", "value"]
 
 
-def glob_pattern(glob: str) -> str:
-    """Regular expression of a key glob: ``*`` is any text, ``?`` one character."""
-    parts = {"*": ".*", "?": "."}
-    return "^" + "".join(parts.get(c) or re.escape(c) for c in glob) + "$"
+class Glob(NamedTuple):
+    """A key pattern as a Java regular expression, and the text that all its keys start with."""
+
+    pattern: str
+    prefix: str
+    literal: bool
+
+
+def _exactly(char: str) -> str:
+    return char if char.isalnum() and char.isascii() else f"\\x{{{ord(char):X}}}"
+
+
+def _one_of(glob: str, at: int) -> tuple[str, int]:
+    """The class after ``[`` and where it ends; without ``]`` the rest of the glob is in it."""
+    negated = glob[at : at + 1] == "^"
+    at += negated
+    ranges = []
+    while at < len(glob) and glob[at] != "]":
+        if glob[at] == "\\" and at + 1 < len(glob):
+            at += 1
+            ranges.append((glob[at], glob[at]))
+        elif glob[at + 1 : at + 2] == "-" and at + 2 < len(glob) and glob[at + 2] != "]":
+            ranges.append(tuple(sorted((glob[at], glob[at + 2]))))
+            at += 2
+        else:
+            ranges.append((glob[at], glob[at]))
+        at += 1
+    members = "".join(f"{_exactly(a)}-{_exactly(b)}" for a, b in ranges)
+    if not members:
+        return ("." if negated else "(?!)"), at + 1
+    return f"[{'^' * negated}{members}]", at + 1
+
+
+def parse_glob(glob: str) -> Glob:
+    """``*`` any text, ``?`` one character, ``[a-c]`` and ``[^a-c]`` one in or out of ranges, ``\\`` the next one as it is.
+
+    Line breaks are characters like any other; a range may be given either way round.
+    """
+    parts, prefix, literal, at = [], "", True, 0
+    while at < len(glob):
+        char = glob[at]
+        at += 1
+        if char in "*?[":
+            literal = False
+            if char == "[":
+                found, at = _one_of(glob, at)
+            else:
+                found = ".*" if char == "*" else "."
+        else:
+            if char == "\\" and at < len(glob):
+                char = glob[at]
+                at += 1
+            found = _exactly(char)
+            prefix += char if literal else ""
+        parts.append(found)
+    return Glob("(?s)\\A" + "".join(parts) + "\\z", prefix, literal)
 
 
 def keys_like(store: DataFrame, glob: str) -> DataFrame:
-    return store.where(F.col("key").rlike(glob_pattern(glob)))
+    """Rows whose key matches; the literal beginning of the pattern is a filter that the scan can use."""
+    parsed, key = parse_glob(glob), F.col("key")
+    if parsed.literal:
+        return store.where(key == parsed.prefix)
+    matching = store.where(key.startswith(parsed.prefix)) if parsed.prefix else store
+    return matching.where(key.rlike(parsed.pattern))
 
 
 def keys_in(store: DataFrame, names: list[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -99,6 +99,16 @@ def _earlier_batch(spark: SparkSession, path: str) -> list[int]:
     return [] if newest is None else [newest]
 
 
+def preview(stream: DataFrame, order: list[Column], rows: int, name: str) -> DataFrame:
+    """The first ``rows`` of a running result, by ``order``, as an in-memory table called ``name``."""
+    first = stream.orderBy(*order).limit(rows)
+    finish(
+        first.writeStream.format("memory").queryName(name).outputMode("complete"),
+        new_folder(stream.sparkSession, "stream-log"),
+    )
+    return stream.sparkSession.table(name)
+
+
 def updates(stream: DataFrame, checkpoint: str | None = None, path: str | None = None) -> DataFrame:
     """All changed rows of a stream in update mode, with the batch that changed them."""
     spark = stream.sparkSession

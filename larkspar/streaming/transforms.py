@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +31,28 @@ def word_totals(lines: DataFrame, text: str = "value") -> DataFrame:
     return explode_words(lines.select(text), text).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _once_per_part(rows: DataFrame, keys: list[str], ts: str) -> DataFrame:
+    """The rows of each Arrow batch with one per key, the latest, so repeated keys of a task are not all shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.Table.from_batches([batch]).group_by(keys).aggregate([(ts, "max")])
+            yield from found.select([*keys, f"{ts}_max"]).rename_columns([*keys, ts]).cast(batch.schema).to_batches()
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def distinct_within(df: DataFrame, keys: list[str], ts: str, horizon: str) -> DataFrame:
+    """Distinct keys of a stream with bounded state.
+
+    A key is emitted when it is first seen and remembered for ``horizon`` of event time after its
+    latest row of that batch part; one that only comes again later than that is emitted again. Rows that are
+    themselves later than the horizon are left out, as are rows without a time. Null keys are keys.
+    """
+    narrow = _once_per_part(df.select(*keys, ts).where(F.col(ts).isNotNull()), keys, ts)
+    return narrow.withWatermark(ts, horizon).dropDuplicatesWithinWatermark(keys).select(*keys)
+
+
 def windowed(df: DataFrame, ts: str, length: str, slide: str | None, keys: list[str], **totals: Column) -> DataFrame:
     """Totals per window and key; with ``slide`` shorter than ``length`` a row counts in several windows."""
     window = F.window(ts, length, slide) if slide else F.window(ts, length)

@@ -146,8 +146,33 @@ def test_hash_table_round_trip(spark):
     assert random.select("key").distinct().count() == 2 and random.count() == 4
 
 
-def test_key_globs():
-    assert keyvalue.glob_pattern("user:*:a.b?") == "^user:.*:a\\.b.$"
+@pytest.mark.parametrize("glob, yes, no", [
+    ("user:*:a.b?", ["user::a.bx", "user:1\n2:a.b\n"], ["user:1:axbx", "user:1:a.b", "xuser:1:a.bx"]),
+    ("k[a-c]", ["ka", "kc"], ["kd", "k", "kaa"]),
+    ("k[^a-c]", ["kd", "k\n", "k]"], ["ka", "k"]),
+    ("k[c-a-]x", ["kbx", "k-x"], ["kdx"]),
+    ("k[\\]^]", ["k]", "k^"], ["k\\", "k["]),
+    ("a\\*b\\[", ["a*b["], ["axb["]),
+    ("a\\", ["a\\"], ["a"]),
+    ("h[ae", ["ha", "he"], ["hb", "h[ae"]),
+    ("k[]", [], ["k", "k[]"]),
+    ("é?[ü-ÿ]", ["é日ý"], ["éaa"]),
+    ("$^.(x)*", ["$^.(x)", "$^.(x)\n$"], ["$^x(x)"]),
+    ("", [""], ["a"]),
+    ("*", ["", "a", "\n"], []),
+    ("plain", ["plain"], ["plain\n", "plai"]),
+])
+def test_key_globs(spark, glob, yes, no):
+    store = spark.createDataFrame([(k,) for k in [*yes, *no]] + [(None,)], "key string")
+    assert sorted(r["key"] for r in keyvalue.keys_like(store, glob).collect()) == sorted(yes)
+
+
+def test_the_beginning_of_a_glob_reaches_the_scan(spark):
+    path = new_folder(spark, "keys")
+    spark.createDataFrame([("a:1",), ("b:1",)], "key string").write.parquet(path)
+    text = lambda g: keyvalue.keys_like(spark.read.parquet(path), g)._jdf.queryExecution().executedPlan().toString()
+    assert "StringStartsWith(key,a:[)" in text("a:\\[*x") and "EqualTo(key,a:1)" in text("a:1")
+    assert "PushedFilters: [IsNotNull(key)]" in text("*x")
 
 
 def test_cells_round_trip(spark):
@@ -156,12 +181,36 @@ def test_cells_round_trip(spark):
         "age": {"cf": "info", "col": "age", "type": "int"}}}"""
     people = spark.createDataFrame([(1, "Jack", 26), (2, "Rose", None)], "id int, name string, age int")
     stored = to_cells(people, catalog)
-    assert ("1", "info", "age", "26") in [tuple(r) for r in stored.collect()] and stored.count() == 3
+    assert ("1", "info", "age", "26", 0) in [tuple(r) for r in stored.collect()] and stored.count() == 3
     assert sorted(tuple(r) for r in from_cells(stored, catalog).select("id", "name", "age").collect()) == [
         (1, "Jack", 26), (2, "Rose", None),
     ]
 
 
+def test_the_newest_cell_counts(spark):
+    """Several writers of a cell, and markers for a cell, a family and a row."""
+    from larkspar.sources.cells import delete_markers, scan_column
+
+    catalog = """{"table": {"namespace": "default", "name": "t"}, "rowkey": "id", "columns": {
+        "id": {"cf": "rowkey", "col": "id", "type": "int"}, "a": {"cf": "x", "col": "a", "type": "string"},
+        "b": {"cf": "x", "col": "b", "type": "int"}, "c": {"cf": "y", "col": "c", "type": "int"}}}"""
+    write = lambda rows, at: to_cells(spark.createDataFrame(rows, "id int, a string, b int, c int"), catalog, at)
+    keys = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id int")
+    cells = (
+        write([(1, "zz", 1, 1), (2, "a", 2, 2), (3, "a", 3, 3), (4, "a", 4, 4), (5, "a", 5, None)], 1)
+        .unionByName(write([(1, "aa", None, 9)], 2)).unionByName(write([(1, "old", 0, 0)], 0))
+        .unionByName(delete_markers(keys(2), "id", 1, "x", "a")).unionByName(delete_markers(keys(3, 5), "id", 5, "x"))
+        .unionByName(delete_markers(keys(4), "id", 3)).unionByName(write([(4, None, 7, None)], 4))
+        .unionByName(delete_markers(keys(1), "id", 0)).unionByName(delete_markers(keys(99), "id", 9))
+    ).repartition(5)
+    want = {1: ("aa", 1, 9), 2: (None, 2, 2), 3: (None, None, 3), 4: (None, 7, None)}
+    for order in (cells, cells.orderBy("value")):
+        assert {r["id"]: (r["a"], r["b"], r["c"]) for r in from_cells(order, catalog).select("id", "a", "b", "c").collect()} == want
+        assert {tuple(r) for r in scan_column(order, "x", "b").collect()} == {("1", "1"), ("2", "2"), ("4", "7")}
+    with pytest.raises(ValueError):
+        delete_markers(keys(1), "id", 1, None, "a")
+
+
 def vectors(spark, rows, names):
     return spark.createDataFrame([tuple(Vectors.dense(x) if isinstance(x, list) else x for x in r) for r in rows], names)
 
@@ -295,15 +344,51 @@ def test_fit_parameters_win(texts):
 def test_tree_search_has_a_row_per_grid_point(spark):
     from pyspark.ml.tuning import ParamGridBuilder
 
-    rows = [(float(i % 2), Vectors.dense(float(i % 2), float(i % 3))) for i in range(60)]
-    data = spark.createDataFrame(rows, ["label", "features"])
+    rows = [(i, float(i % 2), Vectors.dense(float(i % 2), float(i % 3))) for i in range(60)]
+    data = spark.createDataFrame(rows, ["id", "label", "features"])
     pipeline, tree = models.tree_regressor()
     grid = ParamGridBuilder().addGrid(tree.maxDepth, [2, 5]).addGrid(tree.maxBins, [5, 10]).build()
-    search, scores = models.cross_validated(pipeline, grid, models.rmse(), data, folds=2)
-    got = scores.collect()
-    assert sorted((r["maxDepth"], r["maxBins"]) for r in got) == [(2.0, 5.0), (2.0, 10.0), (5.0, 5.0), (5.0, 10.0)]
+    search = models.cross_validated(pipeline, grid, models.rmse(), data, "id", folds=2)
+    got = search.scores.collect()
+    points = [(2.0, 5.0), (2.0, 10.0), (5.0, 5.0), (5.0, 10.0)]
+    assert sorted((r["fold"], r["maxDepth"], r["maxBins"]) for r in got) == [(f, *p) for f in (0, 1) for p in points]
     assert all(r["score"] == pytest.approx(0.0, abs=1e-9) for r in got)
-    assert search.bestModel.stages[-1].getMaxDepth() == 2
+    assert all(r["n_fitted"] + r["n_scored"] == 60 and r["n_scored"] > 10 for r in got)
+    assert search.best == grid[0] and search.best_model.stages[-1].getMaxDepth() == 2
+    assert sorted((r["maxDepth"], r["maxBins"]) for r in search.means().collect()) == points
+
+
+def test_search_keeps_the_best_point_and_fits_it_on_all_rows(spark):
+    from pyspark.ml.tuning import ParamGridBuilder
+
+    rows = [(i, float(i % 8), Vectors.dense(float(i % 8))) for i in range(400)]
+    data = spark.createDataFrame(rows, ["id", "label", "features"])
+    _, tree = models.tree_regressor()
+    tree.setFeaturesCol("features")
+    grid = ParamGridBuilder().addGrid(tree.maxDepth, [1, 4, 2]).build()
+    for search in (models.cross_validated, models.split_validated):
+        found = search(tree, grid, models.rmse(), data, "id")
+        assert list(found.best.values()) == [4]
+        means = {r["maxDepth"]: r["mean_score"] for r in found.means().collect()}
+        assert means[4.0] == min(means.values()) < means[2.0] < means[1.0]
+        assert found.best_model.getMaxDepth() == 4 and found.best_model.numNodes == 15
+
+
+def test_parts_by_hash(spark):
+    from collections import Counter
+
+    import duckdb
+
+    ids = spark.range(0, 3000).select(F.col("id"), models.hashed_part("id", 7).alias("part")).collect()
+    want = duckdb.sql(f"SELECT id, {models.hashed_part_sql('id', 7)} FROM range(3000) r(id)").fetchall()
+    assert sorted(map(tuple, ids)) == sorted(want)
+    assert max(Counter(r["part"] for r in ids).values()) < 3000 / 7 * 1.2
+
+
+def test_losses_are_rows(spark, texts):
+    found = models.losses(spark, models.text_classifier()[0].fit(texts).stages[-1]).orderBy("iteration").collect()
+    assert [r["iteration"] for r in found] == list(range(len(found))) and len(found) > 2
+    assert all(a["loss"] >= b["loss"] for a, b in zip(found, found[1:]))
 
 
 def test_measurement_pipeline(spark):

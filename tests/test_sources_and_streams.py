@@ -84,6 +84,45 @@ def test_report_has_the_files_its_caller_names(spark):
     assert rows.count() == 10 and rows.select(F.input_file_name()).distinct().count() > 1
 
 
+def test_parallel_reads_ask_the_database_for_the_ends(spark):
+    """Tables and subqueries in several partitions, keys without a value included, and empty tables."""
+    url = databases.database_url(spark)
+    rows = spark.range(100, 400).select(F.when(F.col("id") % 50 > 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    databases.write_table(rows, url, "ENDS")
+    whole = databases.read_parallel(spark, url, "ENDS", "k", partitions=6)
+    assert whole.rdd.getNumPartitions() == 6
+    assert sorted(map(tuple, whole.collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
+    per_part = [r["count"] for r in whole.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(per_part) == 6 and max(per_part) < 80
+    part = databases.read_parallel(spark, url, '(SELECT "k" FROM ENDS WHERE "v" < 200) part', "k", partitions=3)
+    assert part.rdd.getNumPartitions() == 3 and part.count() == 100
+    databases.write_table(rows.where("v < 0"), url, "ENDS")
+    assert databases.read_parallel(spark, url, "ENDS", "k").count() == 0
+
+
+def test_distinct_pairs_are_forgotten_after_the_horizon(spark):
+    """State stays bounded over many batches, and a pair that comes within the horizon is given once."""
+    from larkspar.streaming.transforms import distinct_within
+
+    drops, out, log = (new_folder(spark, name) for name in ("drops", "pairs", "stream-log"))
+    start = 1_700_000_000
+    for day in range(6):  # 40 pairs of its own each day, one pair every day, one with a null, and copies of all
+        rows = [(f"d{day}", i % 40, start + day * 86_400 + i) for i in range(120)] + [("all", 1, start + day * 86_400)] * 3
+        rows += [(None, 2, start + day * 86_400)] * 2
+        frame = spark.createDataFrame(rows, "a string, b int, s long").select("a", "b", F.timestamp_seconds("s").alias("ts"))
+        frame.coalesce(1).write.mode("append").parquet(drops)
+        stream = spark.readStream.schema("a string, b int, ts timestamp").parquet(drops)
+        pairs = distinct_within(stream, ["a", "b"], "ts", "36 hours")
+        query = pairs.writeStream.format("parquet").option("path", out).option("checkpointLocation", log)
+        running = query.trigger(availableNow=True).start()
+        running.awaitTermination()
+        held = running.lastProgress.stateOperators[0].numRowsTotal
+    got = [tuple(r) for r in spark.read.schema("a string, b int").parquet(out).collect()]
+    assert sorted(p for p in got if p[0] not in ("all", None)) == sorted((f"d{d}", b) for d in range(6) for b in range(40))
+    assert 1 <= got.count(("all", 1)) <= 4 and 1 <= got.count((None, 2)) <= 4
+    assert held < 3 * 42
+
+
 def test_staged_files_follow_the_input(spark):
     wide = stage(spark.range(0, 90, 1, 9), new_folder(spark, "staged"), "json", 4)
     narrow = stage(spark.range(0, 90, 1, 1), new_folder(spark, "staged"), "json", 4)
