@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from larkspar.llm.links import Links, component_rows, first_seen, long_lists, one_of_each, set_verifier, slim
+from larkspar.llm.links import Links, component_rows, first_seen, long_lists, one_of_each, parity_sketch, set_verifier, slim
 from larkspar.llm.words import SPACED, chunks, lower_word_hashes, mix
 
 SKETCH_BITS = 256
@@ -98,11 +98,6 @@ class Bands:
         return np.concatenate(out) if out else shingles[:0]
 
 
-def _sketch(shingles: np.ndarray) -> np.ndarray:
-    counts = np.bincount((shingles >> np.uint64(56)).astype(np.int64), minlength=SKETCH_BITS) & 1
-    return np.packbits(counts.astype(np.uint8)).view(np.int64)
-
-
 def _prepared(words: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(num, den)
@@ -115,7 +110,7 @@ def _prepared(words: int, num: int, den: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     piece.column("key"), piece.column("hash"), pa.array(sizes.astype(np.int64)), pa.array(classes),
-                    long_lists([_sketch(s).view(np.uint64) for s in sets]),
+                    long_lists([parity_sketch(s, SKETCH_BITS) for s in sets]),
                     long_lists([bands.keys(s) if new else s[:0] for s, new in zip(sets, first_seen(classes, emitted))]),
                 ],
                 ["key", "hash", "n", "cls", "sketch", "keys"],
@@ -127,7 +122,7 @@ def _prepared(words: int, num: int, den: int):
 def _search(docs: DataFrame, key: str, words: int, num: int, den: int) -> DataFrame:
     return Links(
         slim(docs, key), _prepared(words, num, den), set_verifier(lambda texts: shingle_sets(texts, words), num, den),
-        num, den, SKETCH_BITS // 64, lambda distance, sizes: distance * (den + num) <= sizes * (den - num),
+        num, den, SKETCH_BITS // 64, lambda flipped, sizes: sum(flipped[1:], flipped[0]) * (den + num) <= sizes * (den - num),
     ).labelled_rows()
 
 

@@ -45,6 +45,12 @@ def long_lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(joined))
 
 
+def parity_sketch(members: np.ndarray, bits: int) -> np.ndarray:
+    """One bit per member is flipped, by its highest bits; the distance of two sketches is at most that of their sets."""
+    places = (members >> np.uint64(64 - (bits - 1).bit_length())).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8)).view(np.uint64)
+
+
 def first_seen(classes: np.ndarray, seen: set[int]) -> np.ndarray:
     """Which rows are the first of their class in a task; a forgotten class is only named again.
 
@@ -86,16 +92,30 @@ def _write_and_forget(spark: SparkSession, df: DataFrame, folder: str) -> None:
         spark.conf.set(_CLEANUP, before)
 
 
+def merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """Labels after more edges: only the components that the edges touch are joined to new ones."""
+    if labels is None:
+        return cut_lineage(components(edges))
+    if edges.isEmpty():
+        return labels
+    known = lambda node: labels.select(F.col("node").alias(f"node_{node}"), F.col("label").alias(f"label_{node}"))
+    between = edges.join(known("a"), F.col("a") == F.col("node_a"), "left").join(known("b"), F.col("b") == F.col("node_b"), "left")
+    new = components(between.select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b")))
+    moved = new.select(F.col("node").alias("old"), F.col("label").alias("new"))
+    before = labels.join(moved, labels["label"] == moved["old"], "left").select("node", F.coalesce("new", "label").alias("label"))
+    return cut_lineage(before.unionByName(new.join(labels.select("node"), "node", "left_anti")))
+
+
 class Links:
     """State of one search: the prepared classes, and where the texts are.
 
-    ``docs`` has key, hash and text; ``apart`` is a bound, in terms of sizes and the Hamming distance
-    of the sketches, that all similar pairs keep.
+    ``docs`` has key, hash and text; ``apart`` is a bound, in terms of the Hamming distances of the
+    64-bit parts of the sketches and the sum of both sizes, that all similar pairs keep.
     """
 
     def __init__(
         self, docs: DataFrame, prepare: ArrowStep, verify: ArrowStep, num: int, den: int, sketch_longs: int,
-        apart: Callable[[Column, Column], Column], slices: int = SLICES,
+        apart: Callable[[list[Column], Column], Column], slices: int = SLICES,
     ):
         self.num, self.den, self.apart, self.slices = num, den, apart, slices
         self.sketch = [f"s{i}" for i in range(sketch_longs)]
@@ -118,11 +138,11 @@ class Links:
     def near(self, left: str, right: str) -> Column:
         """Whether columns of two classes pass the size and Hamming bounds and differ in component."""
         col = lambda side, name: F.col(f"{side}.{name}")
-        distance: Column = sum((F.bit_count(col(left, n).bitwiseXOR(col(right, n))) for n in self.sketch), F.lit(0))
+        flipped = [F.bit_count(col(left, n).bitwiseXOR(col(right, n))) for n in self.sketch]
         n, m = col(left, "n"), col(right, "n")
         return (
             (col(left, "label") != col(right, "label")) & (n * self.den >= m * self.num) & (m * self.den >= n * self.num)
-            & self.apart(distance, n + m)
+            & self.apart(flipped, n + m)
         )
 
     def verified(self, pairs: DataFrame) -> DataFrame:
@@ -165,9 +185,10 @@ class Links:
     def labels(self) -> DataFrame:
         """``node`` and ``label`` of all classes that link with another."""
         members = self.members()
-        edges = labels = None
+        labels = None
         for turn in range(ROUNDS + 1):
             named = self.named(members, labels)
+            same = F.col("x.block") == F.col("y.block")
             if turn < ROUNDS:
                 member = F.struct("cls", "label", "n", *self.sketch)
                 chosen = [F.max_by(member, F.xxhash64("cls", F.lit(HUBS * turn + i))) for i in range(HUBS)]
@@ -175,12 +196,10 @@ class Links:
                 others = hubs.select("block", F.explode("hubs").alias("o")).select("block", "o.*")
             else:
                 others = named
-            met = named.alias("x").join(
-                others.alias("y"), (F.col("x.block") == F.col("y.block")) & self.near("x", "y")
-            )
+                same = same & (F.col("x.cls") < F.col("y.cls"))
+            met = named.alias("x").join(others.alias("y"), same & self.near("x", "y"))
             more = self.verified(met.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")))
-            edges = more if edges is None else cut_lineage(edges.unionByName(more))
-            labels = cut_lineage(components(edges))
+            labels = merged(labels, more)
         return labels
 
     def labelled_rows(self) -> DataFrame:

@@ -12,8 +12,9 @@ and a document with several near copies is missed only if all its pairs are.
 
 One bit of each coordinate is the sketch that a candidate pair is first compared by; pairs
 whose bits differ in more than ``APART`` places are left (a similar pair differs in 13 of 128 on
-average; more than 48 have a probability below 1e-15). All others are compared by their whole
-shingle sets, as 64-bit hashes. ``links`` says how the pairs of large groups are kept from being emitted.
+average; more than 48 have a probability below 1e-15). Beside them lie ``PARITY_BITS``
+parity bits of the set, whose distance never exceeds the number of shingles that only one set has, so
+no similar pair is lost there. What passes both is compared by whole shingle sets, as 64-bit hashes. ``links`` says how the pairs of large groups are kept from being emitted.
 
 Words have A-Z lowered. Rows: null and empty texts, and texts without words, have no shingles and link
 with nothing; texts shorter than a shingle are one. Equal sets are one class, repeated rows as
@@ -28,16 +29,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspar.llm.jaccard_join import shingle_sets
-from larkspar.llm.links import Links, component_rows, first_seen, long_lists, one_of_each, set_verifier, slim
+from larkspar.llm.links import Links, component_rows, first_seen, long_lists, one_of_each, parity_sketch, set_verifier, slim
 from larkspar.llm.words import chunks, mix
 
 COORDINATES = 128
 ROWS = 4
 APART = 48
+PARITY_BITS = 512
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * _ODD)
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -71,7 +73,7 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
 
 def band_keys(held: np.ndarray, rows: int = ROWS) -> np.ndarray:
     """One key for each band of each sketch."""
-    parts = held.reshape(len(held), -1, rows)
+    parts = held.reshape(len(held), held.shape[1] // rows, rows)
     keys = np.zeros(parts.shape[:2], dtype=np.uint64)
     for i in range(rows):
         keys = mix(keys * _ODD + parts[:, :, i])
@@ -93,7 +95,7 @@ def _prepared(words: int):
             packed = np.packbits((held & np.uint64(1)).astype(np.uint8), axis=1).view(np.uint64)
             new = first_seen(classes, emitted)
             for i, row, key in zip(full.tolist(), packed, band_keys(held)):
-                bits[i] = row
+                bits[i] = np.append(row, parity_sketch(sets[i], PARITY_BITS))
                 if new[i]:
                     keys[i] = key
             yield pa.RecordBatch.from_arrays(
@@ -110,9 +112,16 @@ def _prepared(words: int):
 def _search(docs: DataFrame, key: str, words: int, num: int, den: int) -> DataFrame:
     if 10 * num < 8 * den:
         raise ValueError("bands and sketches are laid out for a similarity of 0.8 or more")
+    whole = COORDINATES // 64
+
+    def apart(flipped: list[Column], sizes: Column) -> Column:
+        coordinates = sum(flipped[1:whole], flipped[0])
+        parity = sum(flipped[whole + 1 :], flipped[whole])
+        return (coordinates <= APART) & (parity * (den + num) <= sizes * (den - num))
+
     return Links(
         slim(docs, key), _prepared(words), set_verifier(lambda texts: shingle_sets(texts, words), num, den), num, den,
-        COORDINATES // 64, lambda distance, sizes: distance <= APART, slices=2,
+        whole + PARITY_BITS // 64, apart, slices=2,
     ).labelled_rows()
 
 
