@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import math
+import random
+from collections import Counter
 
 import pytest
 from pyspark.ml.feature import (
@@ -38,56 +41,52 @@ from larkspar.sources.cells import from_cells, to_cells
 from larkspar.sources.files import read_libsvm, text_records
 
 
-@pytest.fixture(scope="module")
-def sales(spark):
-    rows = [("Beijing", 2016, 100), ("Beijing", 2017, 200), ("Shanghai", 2015, 50), ("Shanghai", 2016, 150), ("Guangzhou", 2017, 50)]
-    return spark.createDataFrame(rows, "city string, year int, amount int").withColumn("n", F.lit(1))
-
-
-def totals(df):
-    return [(r["city"], r["year"], int(r["sum_amount"])) for r in df.collect()]
-
-
-FINEST = [
-    ("Shanghai", 2016, 150), ("Shanghai", 2015, 50), ("Guangzhou", 2017, 50), ("Beijing", 2017, 200), ("Beijing", 2016, 100),
-]
-
-
-def test_grouping_sets(sales):
-    done = multi_level(sales, ["city", "year"], [["city", "year"], []]).orderBy(F.desc("city"), F.desc("year"))
-    assert totals(done) == [*FINEST, (None, None, 550)]
+def _readings():
+    """Meter readings of three lines over some weeks; one line has no name, one week no number."""
+    rng = random.Random(11)
+    return [
+        (rng.choice(["north", "south", "harbour", None]), rng.choice([7, 8, 9, None]), rng.randrange(-5, 40))
+        for _ in range(60)
+    ]
 
 
-PER_CITY = [
-    ("Beijing", 2017, 200), ("Beijing", 2016, 100), ("Beijing", None, 300), ("Guangzhou", 2017, 50), ("Guangzhou", None, 50),
-    ("Shanghai", 2016, 150), ("Shanghai", 2015, 50), ("Shanghai", None, 200),
-]
+@pytest.fixture(scope="module")
+def readings(spark):
+    return spark.createDataFrame(_readings(), "line string, week int, amount int").withColumn("n", F.lit(1))
 
 
-def test_rollup(sales):
-    done = multi_level(sales, ["city", "year"], "rollup").sort(F.asc_nulls_last("city"), F.desc_nulls_last("year"))
-    assert totals(done) == [*PER_CITY, (None, None, 550)]
+def _totals_by_hand(levels):
+    """Sums of each level; a key that a level leaves out is null, as is a null key that it keeps."""
+    total = Counter()
+    for line, week, amount in _readings():
+        for level, (with_line, with_week) in enumerate(levels):
+            total[level, line if with_line else None, week if with_week else None] += amount
+    return Counter((line, week, amount) for (_, line, week), amount in total.items())
 
 
-def test_cube(sales):
-    done = multi_level(sales, ["city", "year"], "cube").sort(F.asc_nulls_last("city"), F.desc_nulls_last("year"))
-    per_year = [(None, 2017, 250), (None, 2016, 250), (None, 2015, 50)]
-    assert totals(done) == [*PER_CITY, *per_year, (None, None, 550)]
+@pytest.mark.parametrize("kind, levels", [
+    ([["line", "week"], []], [(1, 1), (0, 0)]),
+    ([["week"], ["line"]], [(0, 1), (1, 0)]),
+    ("rollup", [(1, 1), (1, 0), (0, 0)]),
+    ("cube", [(1, 1), (1, 0), (0, 1), (0, 0)]),
+])
+def test_levels_of_totals(readings, kind, levels):
+    done = multi_level(readings, ["line", "week"], kind).collect()
+    assert Counter((r["line"], r["week"], int(r["sum_amount"])) for r in done) == _totals_by_hand(levels)
 
 
 def test_rank_semantics(spark):
-    rows = [
-        ("Thin", "Cell phone", 6000), ("Normal", "Tablet", 1500), ("Mini", "Tablet", 5500), ("Ultra thin", "Cell phone", 5000),
-        ("Very thin", "Cell phone", 6000), ("Big", "Tablet", 2500), ("Bendable", "Cell phone", 3000),
-        ("Foldable", "Cell phone", 3000), ("Pro", "Tablet", 4500), ("Pro2", "Tablet", 6500),
-    ]
-    products = spark.createDataFrame(rows, "product string, category string, revenue int")
-    done = ranks(products, ["category"], ["revenue"], [F.desc("revenue")])
-    done = numbered(done, ["category"], [F.desc("revenue"), F.asc("product")], "num")
-    phones = {r["product"]: (r["num"], r["dense_rank"], r["rank"]) for r in done.where("category = 'Cell phone'").collect()}
-    assert phones == {
-        "Thin": (1, 1, 1), "Very thin": (2, 1, 1), "Ultra thin": (3, 2, 3), "Bendable": (4, 3, 4), "Foldable": (5, 3, 4),
-    }
+    """Numbers, ranks with gaps and ranks without, against counting, with many ties and a null group."""
+    rng = random.Random(5)
+    rows = [(i, rng.choice(["oak", "elm", None]), rng.randrange(6)) for i in range(80)]
+    trees = spark.createDataFrame(rows, "id int, kind string, height int")
+    done = ranks(trees, ["kind"], ["height"], [F.desc("height")])
+    done = numbered(done, ["kind"], [F.desc("height"), F.asc("id")], "num")
+    for r in done.collect():
+        taller = [h for _, k, h in rows if k == r["kind"] and h > r["height"]]
+        before = [i for i, k, h in rows if k == r["kind"] and h == r["height"] and i < r["id"]]
+        want = (len(taller) + len(before) + 1, len(taller) + 1, len(set(taller)) + 1)
+        assert (r["num"], r["rank"], r["dense_rank"]) == want
 
 
 def test_split_drops_only_empty_words_at_the_end(spark):
@@ -97,28 +96,34 @@ def test_split_drops_only_empty_words_at_the_end(spark):
 
 
 def test_word_count(spark):
-    text = spark.createDataFrame([("hadoop hadoop",), ("spark spark",), ("spark app",)], "value string")
-    assert {r["word"]: r["n"] for r in word_count(text, "value").collect()} == {"hadoop": 2, "spark": 3, "app": 1}
+    lines = ["tide tide", "", "ebb  tide", "Tide flow ebb", None]
+    want = Counter(w for line in lines if line is not None for w in (line.split(" ") if line else [""]))
+    text = spark.createDataFrame([(x,) for x in lines], "value string")
+    assert {r["word"]: r["n"] for r in word_count(text, "value").collect()} == want
 
 
 def test_missing_values(spark):
-    rows = [(1, "kk", 18.0), (2, "", 25.0), (3, "UNKNOWN", float("nan")), (4, "null", 30.0), (5, None, None)]
-    df = spark.createDataFrame(rows, "id int, name string, age double")
-    ids = lambda d: [r["id"] for r in d.orderBy("id").collect()]
-    assert ids(df.na.drop()) == [1, 2, 4]
-    assert ids(df.na.drop("any", subset=["id", "name"])) == [1, 2, 3, 4]
-    assert ids(df.na.drop("all")) == [1, 2, 3, 4, 5]
-    filled = {r["id"]: (r["name"], r["age"]) for r in df.na.fill(0).collect()}
-    assert filled[3] == ("UNKNOWN", 0.0) and filled[5] == (None, 0.0)
-    assert df.na.replace({"UNKNOWN": "unnamed"}, subset=["name"]).where("name = 'unnamed'").count() == 1
+    rows = [(10, "ash", 3.5), (11, "", 0.0), (12, "n/a", float("nan")), (13, None, 7.25), (14, None, None), (None, None, None)]
+    df = spark.createDataFrame(rows, "id int, tree string, girth double")
+    ids = lambda d: sorted((r["id"] for r in d.collect()), key=str)
+    assert ids(df.na.drop()) == [10, 11]
+    assert ids(df.na.drop("any", subset=["id", "girth"])) == [10, 11, 13]
+    assert ids(df.na.drop("all")) == [10, 11, 12, 13, 14]
+    assert ids(df.na.drop("all", subset=["tree", "girth"])) == [10, 11, 12, 13]
+    filled = {r["id"]: (r["tree"], r["girth"]) for r in df.na.fill(-1).na.fill("?").collect()}
+    assert filled == {10: ("ash", 3.5), 11: ("", 0.0), 12: ("n/a", -1.0), 13: ("?", 7.25), 14: ("?", -1.0), -1: ("?", -1.0)}
+    renamed = df.na.replace({"n/a": "unknown"}, subset=["tree"])
+    assert [r["tree"] for r in renamed.where("id >= 11").orderBy("id").collect()] == ["", "unknown", None, None]
 
 
 def test_text_records(spark):
-    line = '{"amount":40000,"memberType":"105","orderNo":"7E84FF304B45455894999A3FD9449093","payDate":"2020-11-30 19:50:42","productType":88}'
-    fields = {"amount": "double", "memberType": "string", "orderNo": "string", "payDate": "string", "productType": "double"}
-    got = text_records(spark.createDataFrame([(line,), ("{broken",)], "line string"), "line", fields).collect()
-    assert tuple(got[0]) == ("40000.0", "105", "7E84FF304B45455894999A3FD9449093", "2020-11-30 19:50:42", "88.0", None)
-    assert tuple(got[1]) == (None, None, None, None, None, "{broken")
+    """Fields of nested quotes and line breaks, missing fields, other types, and lines that are no records."""
+    record = {"ticket": "T-0017", "price": 12, "zone": None, "note": 'a "b"\n,c', "more": [1]}
+    lines = [json.dumps(record), json.dumps({"price": "x"}), "[1, 2", "", None]
+    fields = {"ticket": "string", "price": "double", "zone": "string", "note": "string"}
+    got = text_records(spark.createDataFrame([(x,) for x in lines[:3]], "line string"), "line", fields).collect()
+    assert tuple(got[0]) == ("T-0017", "12.0", None, 'a "b"\n,c', None)
+    assert tuple(got[2]) == (None, None, None, None, "[1, 2")
 
 
 def test_numbers(spark):
@@ -128,22 +133,27 @@ def test_numbers(spark):
 
 def test_libsvm(spark):
     path = new_folder(spark, "libsvm-golden")
-    lines = ["1 1:-0.555556 2:0.25 3:-0.864407 4:-0.916667 ", "1 1:-0.777778 3:-0.898305 4:-0.916667 "]
+    lines = ["2 1:-1.5 3:0.125 5:4 ", "0 2:7.75", "2 ", "1 4:-0.001 5:1e3"]
     spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
-    rows = [r["features"].toArray().tolist() for r in read_libsvm(spark, path, 4).collect()]
-    assert rows == [[-0.555556, 0.25, -0.864407, -0.916667], [-0.777778, 0.0, -0.898305, -0.916667]]
+    rows = [(r["label"], r["features"].toArray().tolist()) for r in read_libsvm(spark, path, 5).collect()]
+    assert rows == [
+        (2.0, [-1.5, 0.0, 0.125, 0.0, 4.0]), (0.0, [0.0, 7.75, 0.0, 0.0, 0.0]), (2.0, [0.0] * 5), (1.0, [0.0, 0.0, 0.0, -0.001, 1000.0]),
+    ]
 
 
 def test_hash_table_round_trip(spark):
-    people = spark.createDataFrame([("John", 30), ("Peter", 45)], "name string, age int")
-    store = keyvalue.to_hashes(people, "person", "name")
+    rows = [("pier:9", 4, 1.5), ("quay", None, -2.0), ("", 0, None), ("lone", None, None)]
+    berths = spark.createDataFrame(rows, "berth string, depth int, tide double")
+    store = keyvalue.to_hashes(berths, "harbour", "berth")
     assert sorted(tuple(r) for r in store.collect()) == [
-        ("person:John", "hash", "age", "30"), ("person:Peter", "hash", "age", "45"),
+        ("harbour:", "hash", "depth", "0"), ("harbour:pier:9", "hash", "depth", "4"), ("harbour:pier:9", "hash", "tide", "1.5"),
+        ("harbour:quay", "hash", "tide", "-2.0"),
     ]
-    back = keyvalue.from_hashes(store, "person", "name", people.schema)
-    assert sorted(tuple(r) for r in back.select("name", "age").collect()) == [("John", 30), ("Peter", 45)]
-    random = keyvalue.to_hashes(people, "person")
-    assert random.select("key").distinct().count() == 2 and random.count() == 4
+    other = keyvalue.to_hashes(berths, "harbours", "berth")
+    back = keyvalue.from_hashes(store.unionByName(other), "harbour", "berth", berths.schema)
+    assert Counter(map(tuple, back.select(*berths.columns).collect())) == Counter(rows[:3])
+    random_keys = keyvalue.to_hashes(berths, "harbour")
+    assert random_keys.select("key").distinct().count() == 4 and random_keys.count() == 8
 
 
 @pytest.mark.parametrize("glob, yes, no", [
@@ -176,15 +186,14 @@ def test_the_beginning_of_a_glob_reaches_the_scan(spark):
 
 
 def test_cells_round_trip(spark):
-    catalog = """{"table": {"namespace": "default", "name": "person"}, "rowkey": "id", "columns": {
-        "id": {"cf": "rowkey", "col": "id", "type": "int"}, "name": {"cf": "info", "col": "name", "type": "string"},
-        "age": {"cf": "info", "col": "age", "type": "int"}}}"""
-    people = spark.createDataFrame([(1, "Jack", 26), (2, "Rose", None)], "id int, name string, age int")
-    stored = to_cells(people, catalog)
-    assert ("1", "info", "age", "26", 0) in [tuple(r) for r in stored.collect()] and stored.count() == 3
-    assert sorted(tuple(r) for r in from_cells(stored, catalog).select("id", "name", "age").collect()) == [
-        (1, "Jack", 26), (2, "Rose", None),
-    ]
+    catalog = """{"table": {"namespace": "default", "name": "buoy"}, "rowkey": "mark", "columns": {
+        "mark": {"cf": "rowkey", "col": "m", "type": "string"}, "lit": {"cf": "state", "col": "on", "type": "boolean"},
+        "drift": {"cf": "place", "col": "d", "type": "double"}, "hits": {"cf": "state", "col": "h", "type": "long"}}}"""
+    rows = [("b1", True, 0.25, 2**40), ("b2", None, -1.0, None), ("b3", False, None, 0), ("b4", None, None, None)]
+    buoys = spark.createDataFrame(rows, "mark string, lit boolean, drift double, hits long")
+    stored = to_cells(buoys, catalog)
+    assert ("b1", "state", "h", str(2**40), 0) in [tuple(r) for r in stored.collect()] and stored.count() == 6
+    assert sorted(tuple(r) for r in from_cells(stored, catalog).select(*buoys.columns).collect()) == rows[:3]
 
 
 def test_the_newest_cell_counts(spark):
@@ -211,6 +220,9 @@ def test_the_newest_cell_counts(spark):
         delete_markers(keys(1), "id", 1, None, "a")
 
 
+# Fixed values from here to the chi-square tests: published example vectors, and the results they must give.
+
+
 def vectors(spark, rows, names):
     return spark.createDataFrame([tuple(Vectors.dense(x) if isinstance(x, list) else x for x in r) for r in rows], names)
 
@@ -317,21 +329,24 @@ def test_chi_square_tests(spark):
 
 @pytest.fixture(scope="module")
 def texts(spark):
-    rows = [
-        (0, "a b c d e spark", 1.0), (1, "b d", 0.0), (2, "spark f g h", 1.0), (3, "hadoop mapreduce", 0.0),
-        (4, "b spark who", 1.0), (5, "g d a y", 0.0), (6, "spark fly", 1.0), (7, "was mapreduce", 0.0),
-        (8, "e spark program", 1.0), (9, "a e c l", 0.0), (10, "spark compile", 1.0), (11, "hadoop software", 0.0),
-    ]
+    """Notes of two kinds: those of label 1 speak of sails, the others do not."""
+    rng = random.Random(9)
+    common = ["rope", "deck", "noon", "salt", "crew", "calm"]
+    rows = []
+    for i in range(40):
+        words = rng.sample(common, 3) + (["sail"] if i % 2 else ["anchor"] * (i % 4 > 0))
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), float(i % 2)))
     return spark.createDataFrame(rows, "id long, text string, label double")
 
 
 def test_text_classifier(spark, texts):
     model = models.text_classifier()[0].fit(texts)
-    new = spark.createDataFrame([(4, "spark i j k"), (5, "l m n"), (6, "mapreduce spark"), (7, "apache hadoop")], "id long, text string")
-    assert [r[models.PREDICTION] for r in model.transform(new).orderBy("id").collect()] == [1.0, 0.0, 1.0, 0.0]
+    new = spark.createDataFrame([(1, "sail rope unseen"), (2, "rope deck"), (3, "anchor"), (4, "calm SAIL noon")], "id long, text string")
+    assert [r[models.PREDICTION] for r in model.transform(new).orderBy("id").collect()] == [1.0, 0.0, 0.0, 1.0]
     assert models.accuracy().evaluate(model.transform(texts)) == 1.0
     again = models.saved_and_loaded(model, new_folder(spark, "model"))
-    assert tuple(models.same_predictions(model.transform(texts), again.transform(texts), "id").first()) == (12, 12)
+    assert tuple(models.same_predictions(model.transform(texts), again.transform(texts), "id").first()) == (40, 40)
 
 
 def test_fit_parameters_win(texts):
@@ -375,8 +390,6 @@ def test_search_keeps_the_best_point_and_fits_it_on_all_rows(spark):
 
 
 def test_parts_by_hash(spark):
-    from collections import Counter
-
     import duckdb
 
     ids = spark.range(0, 3000).select(F.col("id"), models.hashed_part("id", 7).alias("part")).collect()
@@ -393,7 +406,7 @@ def test_losses_are_rows(spark, texts):
 
 def test_measurement_pipeline(spark):
     rows = [(f"c{i % 3}", 5.0 + i % 3 + (i % 7) / 10, 3.0 - i % 3, 1.0 + 2 * (i % 3), 0.2 + (i % 5) / 20) for i in range(90)]
-    names = ["sepal_length", "sepal_width", "petal_length", "petal_width"]
+    names = ["hull", "beam", "mast", "keel"]
     data = spark.createDataFrame(rows, ", ".join(["class string", *[f"{n} double" for n in names]]))
     for categorical in (True, False):
         done = models.measurement_pipeline("class", names, 1, categorical).fit(data).transform(data)

@@ -252,11 +252,13 @@ def test_starting_offsets_and_topic_patterns(spark):
 
 
 def test_saved_totals_without_new_input_stay(spark):
+    # fixed values: the saved totals of the documented job
     saved = spark.createDataFrame([("hadoop", 100), ("spark", 25)], "word string, n long")
     new = spark.createDataFrame([("spark", 1), ("spark", 1), ("flink", 1)], "word string, n long")
     assert {tuple(r) for r in with_saved_totals(saved, new, "word", "n").collect()} == {("hadoop", 100), ("spark", 27), ("flink", 1)}
 
 
+# Fields and layout of the camera message.
 CAMERA = """{"devices": {"cameras": {"device_id": "awJo6rH", "last_event": {"has_sound": true, "has_motion": true,
 "has_person": true, "start_time": "2016-12-29T00:00:00.000Z", "end_time": "2016-12-29T18:42:00.000Z"}}}}"""
 
