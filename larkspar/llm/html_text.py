@@ -3,11 +3,17 @@
 Markup is stripped: each block element starts a line, inline markup leaves nothing, and
 what stands in elements that never hold the article (scripts, menus, headers, footers,
 sidebars, forms, notices, adverts, reader comments, by element, role, class or id) is
-left out. Each remaining line has a length, in which the text of links does not count; in
-pages that mark their article, its lines have their whole length and others none. The sum of the lengths over a sliding window of lines is the distribution.
-The text surges where the sum first exceeds a threshold and dives where it falls to
-nothing; the lines between are kept, and of several such stretches those that hold
-enough. Where an article is marked, any text in it is above the threshold.
+left out. Each remaining line has a length, in which the text of links does not count. The sum of
+the lengths over a sliding window of lines is the distribution: the text surges where the sum
+first exceeds a threshold and dives where it falls to nothing.
+
+Surge and dive points only say where the article is. On pages that mark articles, these are the
+candidates: an article whose own distribution surges is kept as a whole, and all are if none does. On other
+pages a stretch is extended to the nearest element around its lines other than the body, so
+headlines, bylines, short paragraphs and lists of links next to the text stay; without such an
+element it is extended over short lines next to it that are not all links, and a page without a
+surge is kept as it is. Inside a marked article, parts are left out by whole class or id names
+only (``comments``, but not ``comments-on-method``).
 
 Rows: a null or empty page has no text (empty string, 0 characters). Broken markup is read
 as far as it goes; text is never cut. Repeated rows give repeated results. Columns are id,
@@ -19,6 +25,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,6 +58,8 @@ BLOCKS = frozenset(
 CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"},
           "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
 MAIN = frozenset(("article", "main"))
+#: Elements that may enclose an article and what belongs to it; the body encloses everything else too.
+ENCLOSING = MAIN | frozenset("div section td center blockquote".split())
 #: Roles, and words of class and id names, of parts beside the article.
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog menu menubar toolbar".split())
 BESIDE = re.compile(
@@ -59,8 +68,12 @@ BESIDE = re.compile(
     r"subscribe|signup|login|share|sharing|social|related|recommend(?:ed|ations)?|widget|comments?|disqus|replies|"
     r"respond|pagination|pager|toolbar|copyright|legal|alert)(?:$|[\s_-]|\d)", re.I,
 )
-#: Words that name a part of the article itself where they stand inside it.
-TOP = re.compile(r"(?:^|[\s_-])(?:header|masthead|side)(?=$|[\s_-]|\d)", re.I)
+#: Names of parts inside an article that are not its own, as whole names or with the ending of an advert slot.
+APART = re.compile(
+    r"(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed)?|promo(?:tion)?)(?:[_-]\w+)*|nav|navbar|navigation|menus?|"
+    r"breadcrumbs?|sidebar|footer|cookies?|consent|popup|modal|newsletter|subscribe|signup|login|share|sharing|social|related|"
+    r"recommend(?:ed|ations)?|widget|comments?|disqus|replies|respond|pagination|pager|toolbar|copyright", re.I,
+)
 
 
 def _beside(name: str, attrs: str, main: int) -> bool:
@@ -73,38 +86,49 @@ def _beside(name: str, attrs: str, main: int) -> bool:
             return True
         if key == "role" and value.lower() in ROLES:
             return True
-        if key in ("class", "id") and BESIDE.search(TOP.sub(" ", value) if main else value):
+        if key in ("class", "id") and (any(map(APART.fullmatch, value.split())) if main else BESIDE.search(value)):
             return True
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
     return False
 
 
-def lines(page: str) -> tuple[list[str], list[bool], list[int]]:
-    """Text lines of a page outside skipped elements, whether each is in a marked article, and its length without links."""
-    out: list[str] = []
-    inside: list[bool] = []
-    plain: list[int] = []
+class Line(NamedTuple):
+    """A text line, its length without links, its marked article (0: none), and the elements around it from the outside."""
+
+    text: str
+    plain: int
+    article: int
+    around: tuple[int, ...]
+
+
+def lines(page: str) -> list[Line]:
+    """Text lines of a page outside skipped elements."""
+    out: list[Line] = []
+    around: list[int] = []  # numbers of the open elements that may enclose an article
+    articles: list[int] = []
+    opened = 0
     text: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # name, skipped, main
-    skipped = main = links = linked = 0
+    skipped = links = linked = 0
 
     def end_line() -> None:
         nonlocal linked
         line = " ".join(html.unescape("".join(text)).split())
         if line:
-            out.append(line)
-            inside.append(main > 0)
-            plain.append(max(0, len(line) - linked))
+            out.append(Line(line, max(0, len(line) - linked), articles[0] if articles else 0, tuple(around)))
         text.clear()
         linked = 0
 
     def pop() -> str:
-        nonlocal skipped, main, links
+        nonlocal skipped, links
         name, skip, is_main = stack.pop()
         links -= name == "a"
         skipped -= skip
-        main -= is_main
+        if is_main:
+            articles.pop()
+        if name in ENCLOSING:
+            around.pop()
         return name
 
     at = 0
@@ -138,13 +162,18 @@ def lines(page: str) -> tuple[list[str], list[bool], list[int]]:
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(page, at)
             at = close.start() if close else len(page)
+        main = len(articles)
         skip = name in SKIPPED and not (name == "header" and main) or bool(m["attrs"]) and _beside(name, m["attrs"], main)
         stack.append((name, skip, name in MAIN and not skip))
         skipped += skip
-        main += stack[-1][2]
+        opened += 1
+        if name in ENCLOSING:
+            around.append(opened)
+        if stack[-1][2]:
+            articles.append(opened)
         links += name == "a"
     end_line()
-    return out, inside, plain
+    return out
 
 
 def stretches(lengths: list[int], window: int = WINDOW, surge: int = SURGE) -> list[tuple[int, int]]:
@@ -169,16 +198,32 @@ def stretches(lengths: list[int], window: int = WINDOW, surge: int = SURGE) -> l
     return found
 
 
+def _enclosed(rows: list[Line], first: int, end: int) -> range:
+    """The lines from ``first`` to ``end`` and those beside them in the same element, or else those that are not all links."""
+    shared = rows[first].around
+    for row in rows[first:end]:
+        while row.around[: len(shared)] != shared:
+            shared = shared[:-1]
+    beside = lambda r: r.around[: len(shared)] == shared if shared else r.plain > 0
+    while first and beside(rows[first - 1]):
+        first -= 1
+    while end < len(rows) and beside(rows[end]):
+        end += 1
+    return range(first, end)
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    rows, inside, plain = lines(page)
-    if any(inside):
-        lengths = [len(r) if m else 0 for r, m in zip(rows, inside)]
-        kept = [r for a, b in stretches(lengths, surge=0) for r, m in zip(rows[a:b], inside[a:b]) if m]
+    rows = lines(page)
+    articles = sorted({r.article for r in rows} - {0})
+    if articles:
+        parts = [[r for r in rows if r.article == a] for a in articles]
+        surging = [part for part in parts if stretches([r.plain for r in part])]
+        kept = [r.text for part in surging or parts for r in part]
     else:
-        found = stretches(plain) or [(0, len(rows))]
-        kept = [r for a, b in found for r in rows[a:b]]
+        chosen = sorted({i for first, end in stretches([r.plain for r in rows]) for i in _enclosed(rows, first, end)})
+        kept = [rows[i].text for i in chosen] if chosen else [r.text for r in rows]
     return "\n\n".join(kept)
 
 
