@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larkspar.llm.columns import restored, sheltered
+
 ADDED = ("host", "n_lines", "n_dropped", "kept_text")
 HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
 SPLIT = r"\n|<[^>]*>"
@@ -33,10 +35,10 @@ def drop_site_lines(
 ) -> DataFrame:
     """``pages`` with ``host``, the number of lines, how many were dropped, and the kept lines."""
     names = [n for n in pages.columns if n not in ADDED]
-    host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), HOST, 1))
-    parts = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), split), lambda x: F.btrim(x, F.lit(BLANK)))
+    host = F.lower(F.regexp_extract(F.coalesce(pages[url], F.lit("")), HOST, 1))
+    parts = F.transform(F.split(F.coalesce(pages[text], F.lit("")), split), lambda x: F.btrim(x, F.lit(BLANK)))
     lines = F.filter(parts, lambda x: x != "")
-    cut = pages.select(*names, host.alias("host"), lines.alias("_lines"))
+    cut = pages.select(*sheltered(pages, names), host.alias("host"), lines.alias("_lines"))
     unread = pages.select(host.alias("host"), lines.alias("_lines"))
 
     sites = unread.groupBy("host").agg(F.count(F.lit(1)).alias("_pages"))
@@ -50,8 +52,9 @@ def drop_site_lines(
     joined = cut.join(common, "host", "left")
     none = F.array().cast("array<string>")
     kept = F.filter("_lines", lambda x: ~F.array_contains(F.coalesce(F.col("_common"), none), x))
-    return joined.select(*names, "host", "_lines", kept.alias("_kept")).select(
-        *names, "host", F.size("_lines").cast("long").alias("n_lines"),
+    done = joined.withColumn("_kept", kept)
+    return done.select(
+        *restored(done, names), "host", F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size("_kept")).cast("long").alias("n_dropped"),
         F.array_join("_kept", "\n").alias("kept_text"),
     )

@@ -24,6 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larkspar.llm.columns import restored, sheltered
 from larkspar.plans.ordered import numbered
 from larkspar.session import cut_lineage
 
@@ -128,17 +129,17 @@ def _taken(timed: DataFrame, budget: int) -> DataFrame:
     )
 
 
-def mix_sources(
-    docs: DataFrame, key: str = "doc_id", weights: tuple[int, ...] = (1, 2, 3), most: int = MOST_COPIES,
-    keep_text: bool = True,
+def _mixed(
+    docs: DataFrame, names: list[str], key: str, weights: tuple[int, ...], most: int, keep_text: bool
 ) -> DataFrame:
-    """``docs`` with ``size``, ``source_size``, ``target`` and ``taken``, the words the mix takes of each row."""
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    names = [n for n in docs.columns if n not in ADDED and (keep_text or n != "text")]
+    """The sheltered columns ``names`` of all rows with size, source_size, target and taken."""
+    size = F.coalesce(F.regexp_count(docs["text"], F.lit(WORD)), F.lit(0)).cast("long")
     sized = docs.select(
-        *[docs[n] for n in names], size.alias("size"), F.xxhash64(F.lit(17), docs[key], docs["text"]).alias("_hash"),
-        docs[key].alias("_key"), F.xxhash64(*[docs[n] for n in names]).alias("_row"),
+        *sheltered(docs, names), docs["source"].alias("source"), size.alias("size"),
+        F.xxhash64(F.lit(17), docs[key], docs["text"]).alias("_hash"), docs[key].alias("_key"),
+        F.xxhash64(*[docs[n] for n in names]).alias("_row"),
     )
+    own = [f"own {i}" for i in range(len(names))]
     if not keep_text:
         sized = cut_lineage(sized)
     narrow = sized.select("source", "size", "_hash", "_key")
@@ -162,17 +163,30 @@ def mix_sources(
     given = F.coalesce(F.col("_took"), F.lit(0))
     share = F.floor(given / F.col("_rows")) + (F.col("_nth") <= F.pmod(given, F.col("_rows"))).cast("long")
     out = rows.join(took, _same(rows, took, same), "left").select(
-        *[rows[n] for n in names], "size", (share * F.col("size")).alias("taken")
+        *[rows[f"`{n}`"] for n in own], rows["source"], "size", (share * F.col("size")).alias("taken")
     )
     if sources <= BROADCAST_SOURCES:
         targets = F.broadcast(targets)
     return out.join(targets, _same(out, targets, ["source"]), "left").select(
-        *[out[n] for n in names], "size", "source_size", "target", "taken"
+        *[out[f"`{n}`"] for n in own], "size", "source_size", "target", "taken"
     )
 
 
-def mixed_documents(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as the mix takes it, at most ``most`` times."""
-    taken = mix_sources(docs, key, **options).where("taken > 0")
+def mix_sources(
+    docs: DataFrame, key: str = "doc_id", weights: tuple[int, ...] = (1, 2, 3), most: int = MOST_COPIES,
+    keep_text: bool = True,
+) -> DataFrame:
+    """``docs`` with ``size``, ``source_size``, ``target`` and ``taken``, the words the mix takes of each row."""
+    names = [n for n in docs.columns if n not in ADDED and (keep_text or n != "text")]
+    mixed = _mixed(docs, names, key, weights, most, keep_text)
+    return mixed.select(*restored(mixed, names), *ADDED)
+
+
+def mixed_documents(
+    docs: DataFrame, key: str = "doc_id", weights: tuple[int, ...] = (1, 2, 3), most: int = MOST_COPIES
+) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as the mix takes it, at most ``most`` times, with its own columns."""
+    taken = _mixed(docs, docs.columns, key, weights, most, True).where("taken > 0")
     times = F.sequence(F.lit(1).cast("long"), (F.col("taken") / F.col("size")).cast("long"))
-    return taken.select(*docs.columns, F.explode(times).alias("_time")).select(*docs.columns)
+    repeated = taken.withColumn("time", F.explode(times))
+    return repeated.select(*restored(repeated, docs.columns))
