@@ -7,9 +7,10 @@ takes several times are repeated.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspar.llm.columns import sheltered
 from larkspar.llm.decontamination import find_passages
 from larkspar.llm.jaccard_join import keep_one
 from larkspar.llm.mixing import mixed_documents
@@ -42,12 +43,20 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the benchmark passages in them; other documents stay as they are."""
     ship_package(spark)
-    found = find_passages(docs, _table(spark, sf_dir, "benchmark"), new_folder(spark, "items"), clean=True)
-    clean = found.withColumn("text", F.col("clean_text"))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        clean = clean.withColumn("n_chars", F.when(F.col("n_hit") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(kind))
-    return clean.select(*docs.columns)
+    names = docs.columns
+    rows = docs.select(*sheltered(docs, names), docs["text"].alias("text"))
+    found = find_passages(rows, _table(spark, sf_dir, "benchmark"), new_folder(spark, "items"), clean=True)
+
+    def column(i: int, name: str) -> Column:
+        own = F.col(f"`own {i}`")
+        if name == "text":
+            return F.col("clean_text").alias(name)
+        if name == "n_chars":
+            counted = F.length("clean_text").cast(docs.schema[name].dataType)
+            return F.when(F.col("n_hit") > 0, counted).otherwise(own).alias(name)
+        return own.alias(name)
+
+    return found.select(*[column(i, n) for i, n in enumerate(names)])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
