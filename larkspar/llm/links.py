@@ -15,6 +15,7 @@ texts are fetched and their whole sets compared.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -82,16 +83,22 @@ def set_verifier(sets: Callable[[pa.Array], list[np.ndarray]], num: int, den: in
     return run
 
 
-def _write_and_forget(spark: SparkSession, df: DataFrame, folder: str) -> None:
-    """Write a table and drop the shuffle files of that one job at its end."""
+@contextmanager
+def _dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Jobs planned here drop their shuffle files when they end; each leaves its result in a table or a checkpoint."""
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.mode("append").parquet(folder)
+        yield
     finally:
         spark.conf.set(_CLEANUP, before)
 
 
+def _emptied(spark: SparkSession, folder: str) -> None:
+    """Leave an empty table in place of one that is not read any more."""
+    spark.createDataFrame([], "unused int").write.mode("overwrite").parquet(folder)
+
+
 def merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
     """Labels after more edges: only the components that the edges touch are joined to new ones."""
     if labels is None:
@@ -127,9 +134,13 @@ class Links:
         docs.mapInArrow(
             prepare, f"key {kind}, hash long, n long, cls long, sketch array<long>, keys array<long>"
         ).write.option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(folder)
-        self.rows = self.spark.read.parquet(folder)
+        self.sets = folder
+        stored = self.spark.read.parquet(folder)
+        named = new_folder(self.spark, "classes")
+        stored.select("key", "hash", "n", "cls").write.parquet(named)
+        self.rows = self.spark.read.parquet(named)
         self.classes = cut_lineage(
-            self.rows.where("n > 0").groupBy("cls").agg(
+            stored.where("n > 0").groupBy("cls").agg(
                 F.first("n").alias("n"), F.min(F.struct("key", "hash")).alias("row"),
                 *[F.first(F.col("sketch")[i]).alias(n) for i, n in enumerate(self.sketch)],
             )
@@ -158,18 +169,22 @@ class Links:
         texts = self.spark.read.parquet(folder)
         side = lambda x: texts.select(F.col("cls").alias(x), F.col("text").alias(f"text_{x}"))
         both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
-        return cut_lineage(both.mapInArrow(self.verify, "a long, b long"))
+        good = cut_lineage(both.mapInArrow(self.verify, "a long, b long"))
+        _emptied(self.spark, folder)
+        return good
 
     def members(self) -> DataFrame:
         """Classes of each block that several classes share, with sizes and sketches."""
         folder = new_folder(self.spark, "blocks")
+        stored = self.spark.read.parquet(self.sets)
         for turn in range(self.slices):
             mine = F.filter("keys", lambda k: F.pmod(k, F.lit(self.slices)) == turn)  # noqa: B023
-            emitted = self.rows.where("n > 0").select("cls", F.explode(mine).alias("block"))
+            emitted = stored.where("n > 0").select("cls", F.explode(mine).alias("block"))
             shared = emitted.groupBy("block").agg(F.min("cls").alias("least"), F.max("cls").alias("most"))
             shared = shared.where("least <> most").select("block")
             members = emitted.join(shared, "block").distinct()
-            _write_and_forget(self.spark, members.join(self.classes.drop("row"), "cls"), folder)
+            members.join(self.classes.drop("row"), "cls").write.mode("append").parquet(folder)
+        _emptied(self.spark, self.sets)
         return self.spark.read.parquet(folder)
 
     @staticmethod
@@ -204,8 +219,9 @@ class Links:
 
     def labelled_rows(self) -> DataFrame:
         """key, hash, n and the class label of each row."""
-        labels = self.labels()
-        rows = self.rows.select("key", "hash", "n", "cls")
+        with _dropping_shuffles(self.spark):
+            labels = self.labels()
+        rows = self.rows
         return rows.join(labels, rows["cls"] == labels["node"], "left").select(
             "key", "hash", "n", F.coalesce("label", "cls").alias("label")
         )
