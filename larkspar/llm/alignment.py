@@ -90,23 +90,13 @@ def _pool(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(parts), dtype=np.uint8), np.cumsum(lengths) - lengths, lengths
 
 
-def _spelled(letters: str, codes: dict[str, int]) -> bytes:
-    return bytes(codes[c] for c in letters)
-
-
 class BytePairs(Encoder):
     """Ids and bytes of a byte-level tokenizer file; strings of special tokens are plain text."""
 
     def __init__(self, path: str):
         super().__init__(path)
         self.tokenizer.encode_special_tokens = True
-        plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        codes = {chr(b): b for b in plain}
-        codes |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
-        parts = [b""] * self.tokenizer.get_vocab_size(with_added_tokens=True)
-        for entry, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
-            parts[number] = _spelled(entry, codes)
-        self.bytes = _pool(parts)
+        self.bytes = _pool(self.tokens)
 
 
 class Pieces(Encoder):
@@ -129,6 +119,7 @@ class Pieces(Encoder):
             bytes([int(p[3:-1], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode()
             for i, p in enumerate(pieces)
         ])
+        self.sizes = self.bytes[2]
         self.forget()
 
     def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -30,7 +30,11 @@ from pyspark.sql import functions as F
 from larkspar.llm.words import byte_sums, chunks, mix, span_hashes, utf8
 
 #: Pieces of text a worker remembers the ids of, about 45 bytes each.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
+#: Texts encoded at once, in bytes.
+ENCODED_BYTES = 1 << 19
+#: New pieces that are encoded as one text, in bytes.
+TEXT_BYTES = 2048
 STRIPE_BYTES = 16 << 20
 _LOADED: dict[str, Encoder] = {}
 _OTHER_CODES = mix(np.arange(1001, 1257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
@@ -65,6 +69,19 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
 
 
+def byte_level_tokens(tokenizer) -> list[bytes]:
+    """The bytes of all ids of a byte-level vocabulary, whose letters stand for one byte each."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    codes = {chr(b): b for b in plain}
+    codes |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
+    tokens = [b""] * tokenizer.get_vocab_size(with_added_tokens=True)
+    for entry, number in tokenizer.get_vocab(with_added_tokens=True).items():
+        tokens[number] = entry.encode()
+    for entry, number in tokenizer.get_vocab(with_added_tokens=False).items():
+        tokens[number] = bytes(codes.get(c, 0) for c in entry)
+    return tokens
+
+
 class Encoder:
     """A tokenizer file with a memory of the pieces it has encoded, found by two 64-bit hashes."""
 
@@ -73,6 +90,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        #: Bytes of each token; added ones stand for their own text.
+        self.tokens = byte_level_tokens(self.tokenizer)
+        self.sizes = np.fromiter(map(len, self.tokens), dtype=np.int64, count=len(self.tokens))
         self.forget()
 
     def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -88,19 +108,52 @@ class Encoder:
         self.pool = np.zeros(0, dtype=np.int32)
 
     def find(self, hashes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.zeros(len(hashes), dtype=np.int64)
+        """Places of the hashes, which are sorted, and whether they are remembered there."""
         if not len(self.hashes):
-            return at, np.zeros(len(hashes), dtype=bool)
-        order = np.argsort(hashes)  # sorted look-ups stay in the cache
-        at[order] = np.minimum(np.searchsorted(self.hashes, hashes[order]), len(self.hashes) - 1)
+            return np.zeros(len(hashes), dtype=np.int64), np.zeros(len(hashes), dtype=bool)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return at, (self.hashes[at] == hashes) & (self.checks[at] == checks)
 
-    def learn(self, pieces: list[str], hashes: np.ndarray, checks: np.ndarray) -> None:
-        found = []
-        for start in range(0, len(pieces), 20_000):
-            found += self.ids_of(pieces[start : start + 20_000])
+    def learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, checks: np.ndarray) -> None:
+        """Encode new pieces, many of them as one text where they may stand side by side, and remember their ids.
+
+        The bytes of the tokens tell which ids belong to which piece; where they do not add up
+        to the text, its pieces are encoded one by one.
+        """
+        sizes = ends - starts
+        after = np.cumsum(sizes)
+        before = after - sizes
+        joined = data[ranges(starts, sizes)]
+        whole = joined.tobytes()
+        apart = ~np.isin(before, self.cuts(joined, np.array([0, len(joined)])))
+        text = np.cumsum(apart | np.append(True, np.diff(before // TEXT_BYTES) > 0)) - 1
+        first = np.flatnonzero(np.append(True, np.diff(text) > 0))
+        ids, counts = self._flat([whole[a:b].decode() for a, b in zip(before[first], np.append(before[first[1:]], len(joined)))])
+        tokens = np.append(0, np.cumsum(counts))
+        reached = np.append(0, np.cumsum(self.sizes[ids]))
+        spelled = np.diff(reached[tokens]) == np.diff(np.append(before[first], len(joined)))
+        shift = (before[first] - reached[tokens[:-1]])[text]  # what earlier texts that do not add up have shifted
+        opens = np.append(True, np.diff(text) > 0)
+        stop = np.minimum(np.searchsorted(reached, after - shift), len(reached) - 1)
+        begin = np.where(opens, tokens[text], np.append(0, stop[:-1]))
+        good = spelled[text] & (reached[stop] == after - shift)
+        good &= opens | np.append(True, good[:-1])
+        lengths = np.where(good, stop - begin, 0)
+        kept = ids[ranges(begin[good], lengths[good])]
+        self._remember(kept, lengths[good], hashes[good], checks[good])
+        rest = np.flatnonzero(~good)
+        if len(rest):
+            ids, lengths = self._flat([whole[a:b].decode() for a, b in zip(before[rest], after[rest])])
+            self._remember(ids, lengths, hashes[rest], checks[rest])
+
+    def _flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found: list[list[int]] = []
+        for start in range(0, len(texts), 20_000):
+            found += self.ids_of(texts[start : start + 20_000])
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        new = np.fromiter(itertools.chain.from_iterable(found), dtype=np.int32, count=int(lengths.sum()))
+        return np.fromiter(itertools.chain.from_iterable(found), dtype=np.int32, count=int(lengths.sum())), lengths
+
+    def _remember(self, ids: np.ndarray, lengths: np.ndarray, hashes: np.ndarray, checks: np.ndarray) -> None:
         starts = (len(self.pool) + np.cumsum(lengths) - lengths).astype(np.uint32)
         order = np.argsort(hashes)
         place = np.searchsorted(self.hashes, hashes[order])
@@ -108,7 +161,7 @@ class Encoder:
         self.checks = np.insert(self.checks, place, checks[order])
         self.starts = np.insert(self.starts, place, starts[order])
         self.lengths = np.insert(self.lengths, place, lengths[order].astype(np.uint32))
-        self.pool = np.concatenate([self.pool, new])
+        self.pool = np.concatenate([self.pool, ids])
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and the number of ids of each."""
@@ -120,17 +173,22 @@ class Encoder:
         ends = np.append(starts[1:], len(data))
         hashes = span_hashes(byte_sums(data), starts, ends)
         checks = span_hashes(byte_sums(data, _OTHER_CODES), starts, ends)
+        order = np.argsort(hashes)
+        sorted_, checks = hashes[order], checks[order]
+        distinct = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))  # equal pieces are looked up once
+        piece = np.empty(len(order), dtype=np.int64)
+        piece[order] = np.repeat(np.arange(len(distinct)), np.diff(np.append(distinct, len(order))))
+        hashes, checks, example = sorted_[distinct], checks[distinct], order[distinct]
         at, known = self.find(hashes, checks)
         if not known.all():
             if len(self.hashes) + np.count_nonzero(~known) > REMEMBERED:
                 self.forget()
                 known[:] = False
-            new = np.flatnonzero(~known)
-            new = new[np.argsort(hashes[new], kind="stable")]
-            new = new[np.append(True, hashes[new[1:]] != hashes[new[:-1]])]
-            whole = data.tobytes()
-            self.learn([whole[a:b].decode() for a, b in zip(starts[new], ends[new])], hashes[new], checks[new])
+            new = np.sort(example[~known])  # in the order of the text
+            back = np.flatnonzero(~known)[np.argsort(example[~known])]
+            self.learn(data, starts[new], ends[new], hashes[back], checks[back])
             at, _ = self.find(hashes, checks)
+        at = at[piece]
         lengths = self.lengths[at].astype(np.int64)
         sums = np.append(0, np.cumsum(lengths))
         ids = self.pool[ranges(self.starts[at].astype(np.int64), lengths)]
@@ -144,12 +202,12 @@ def encoder(path: str) -> Encoder:
 
 
 def encoding(path: str, end_id: int):
-    """Arrow batches (key, text) to (key, part_start, ids); ``part_start`` counts the ids of earlier rows of the task."""
+    """Arrow batches (key, text) to (key, part_start, n_tokens, ids); ``part_start`` counts the ids of earlier rows of the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(path)
         total = 0
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", ENCODED_BYTES):
             found, lengths = tokens.encode(batch.column("text"))
             offsets = np.append(0, np.cumsum(lengths + 1))
             ids = np.full(offsets[-1], end_id, dtype=np.int32)
@@ -157,7 +215,9 @@ def encoding(path: str, end_id: int):
             lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
             starts = pa.array(offsets[:-1] + total)
             total += int(offsets[-1])
-            yield pa.RecordBatch.from_arrays([batch.column("key"), starts, lists], ["key", "part_start", "ids"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), starts, pa.array(lengths + 1), lists], ["key", "part_start", "n_tokens", "ids"]
+            )
 
     return run
 
@@ -166,11 +226,11 @@ def write_token_ids(
     docs: DataFrame, folder: str, tokenizer_path: str, key: str = "doc_id", text: str = "text", end_id: int = 0,
     stripe_bytes: int = STRIPE_BYTES,
 ) -> None:
-    """Write the ids of ``docs`` to ``folder``: columns key, part, part_start, ids."""
+    """Write the ids of ``docs`` to ``folder``: columns key, part, part_start, n_tokens, ids."""
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(docs[key].alias("key"), docs[text].alias("text"))
     laid = rows.repartitionByRange("key").sortWithinPartitions("key", F.xxhash64("text"), "text")
-    ids = laid.mapInArrow(encoding(tokenizer_path, end_id), f"key {kind}, part_start long, ids array<int>")
+    ids = laid.mapInArrow(encoding(tokenizer_path, end_id), f"key {kind}, part_start long, n_tokens long, ids array<int>")
     (
         ids.withColumn("part", F.spark_partition_id())
         .write.format("orc")
@@ -200,10 +260,10 @@ def read_token_ids(spark: SparkSession, folder: str, key: str = "doc_id") -> Dat
     """
     stored = spark.read.orc(folder)
     kind = stored.schema["key"].dataType.simpleString()
-    rows = stored.mapInArrow(
+    rows = stored.select("key", "part", "part_start", "ids").mapInArrow(
         checksum, f"key {kind}, part int, part_start long, n_tokens long, ids_crc32 long"
     )
-    ends = spark.read.orc(folder).groupBy("part").agg(F.max(F.col("part_start") + F.size("ids")).alias("_ids"))
+    ends = spark.read.orc(folder).groupBy("part").agg(F.max(F.col("part_start") + F.col("n_tokens")).alias("_ids"))
     earlier = Window.partitionBy(F.lit(1)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = ends.select("part", F.coalesce(F.sum("_ids").over(earlier), F.lit(0)).alias("_base"))
     return rows.join(F.broadcast(base), "part").select(
