@@ -6,7 +6,7 @@ by the Levenshtein automaton of the word, run over the tries of lexicon words an
 bit-parallel states, so misspelled terms are found without comparing them one by one. All words
 of the lexicon of four letters or more are in the trie, also those that a stem covers. A word
 meets the automaton only if it shares a string with a term after so many deletions, which all
-misspellings do. Around each
+misspellings do; hashes of these strings tell it for all new words of a piece at once. Around each
 hit a window of words tells quotation (quote marks on both sides, reporting words) from
 abuse (other hits near by). A logistic regression over these features gives the score.
 
@@ -24,9 +24,11 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
@@ -34,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larkspar.llm.words import chunks
+from larkspar.llm.words import chunks, mix
 from larkspar.session import cut_lineage
 
 #: Labelled rows learned from, and terms kept: bounds of what the model gathers.
@@ -49,7 +51,12 @@ STEMS = (4, 5, 6)
 SHORTEST = 4
 WINDOW = 8
 THRESHOLD = 0.3
-REMEMBERED = 300_000
+#: What a task keeps of its look-ups: kinds of words (some 150 bytes each), beginnings, tries (some 4 KB each).
+REMEMBERED = 200_000
+BEGUN = 50_000
+#: Texts scored at once, in bytes.
+SCORED_BYTES = 1 << 19
+TRIES = 2_000
 ADDED = ("held_out", "score", "predicted")
 WORD = re.compile(r"\w(?:[\w@$*]*\w)?")
 QUOTES = re.compile("[\"“”„«»‹›]")
@@ -119,6 +126,68 @@ class Trie:
         return False
 
 
+class Shared:
+    """Strings by 64-bit hashes, to tell for many words at once which may share one with them after deletions."""
+
+    BASE = np.uint64(0x9E3779B97F4A7C15)
+    BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+    def __init__(self, strings: Iterable[str]):
+        strings = sorted(strings)
+        sums, lengths = self.sums(strings)
+        self.hashes = np.unique(sums[np.arange(len(strings)), lengths])
+        self.seen = np.zeros(1 << 20, dtype=bool)
+        self.seen[(mix(self.hashes) >> np.uint64(44)).astype(np.int64)] = True
+
+    @classmethod
+    def sums(cls, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all beginnings of each word, one row each, and the lengths."""
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        width = max(1, int(lengths.max(initial=1)))
+        codes = np.array(words, dtype=f"U{width}").reshape(-1).view(np.uint32).reshape(len(words), width)
+        powers = np.cumprod(np.full(width, cls.BASE), dtype=np.uint64)
+        sums = np.zeros((len(words), width + 1), dtype=np.uint64)
+        np.cumsum(codes.astype(np.uint64) * powers, axis=1, out=sums[:, 1:])
+        return sums, lengths
+
+    def hold(self, hashes: np.ndarray) -> np.ndarray:
+        found = self.seen[(mix(hashes) >> np.uint64(44)).astype(np.int64)]
+        if len(self.hashes) and found.any():
+            some = hashes[found]
+            at = np.minimum(np.searchsorted(self.hashes, some), len(self.hashes) - 1)
+            found[found] = self.hashes[at] == some
+        return found
+
+    def any_of(self, words: list[str], edits: int) -> np.ndarray:
+        """Words of which something is left after up to ``edits`` (1 or 2) deletions that is one of the strings."""
+        sums, lengths = self.sums(words)
+        rows = np.arange(len(words))
+        whole = sums[rows, lengths]
+        found = self.hold(whole)
+        for i in range(sums.shape[1] - 1):
+            some = np.flatnonzero(~found & (lengths > i))
+            one = sums[some, i] + (whole[some] - sums[some, i + 1]) * self.BACK
+            found[some] = self.hold(one)
+            for j in range(i + 1, sums.shape[1] - 1) if edits > 1 else ():
+                some = np.flatnonzero(~found & (lengths > j))
+                two = sums[some, i] + (sums[some, j] - sums[some, i + 1]) * self.BACK
+                found[some] = self.hold(two + (whole[some] - sums[some, j + 1]) * self.BACK * self.BACK)
+        return found
+
+    def begin(self, words: list[str], sizes: range) -> np.ndarray:
+        """Words that begin, after one deletion or none, with one of the strings of the given sizes."""
+        sums, lengths = self.sums(words)
+        found = np.zeros(len(words), dtype=bool)
+        for n in sizes:
+            for i in range(n + 1):  # the deleted character; the last one is behind the beginning
+                some = np.flatnonzero(~found & (lengths >= (n + 1 if i < n else n)))
+                start = sums[some, min(n, sums.shape[1] - 1)]
+                if i < n and len(some):
+                    start = sums[some, i] + (sums[some, n + 1] - sums[some, i + 1]) * self.BACK
+                found[some] = self.hold(start)
+        return found
+
+
 class Lexicon:
     """Looks words up: 2 for a term or a stem, 1 for a misspelled term, 0 otherwise."""
 
@@ -135,6 +204,8 @@ class Lexicon:
                 for x in deletions(w, edits):
                     near.setdefault(x, []).append(w)
         self.near_stems = set().union(*(deletions(x, 1) for x in self.stems))
+        self.shared = {edits: Shared(near) for edits, near in self.near.items()}
+        self.shared_stems = Shared(self.near_stems)
         self.begun: dict[str, bool] = {}
         self.known: dict[str, int] = {}
 
@@ -148,7 +219,7 @@ class Lexicon:
             return False
         terms = frozenset(w for x in shared for w in near[x])
         if terms not in self.tries:
-            if len(self.tries) > REMEMBERED // 10:
+            if len(self.tries) > TRIES:
                 self.tries.clear()
             self.tries[terms] = Trie(sorted(terms))
         return self.tries[terms].within(word, edits)
@@ -156,38 +227,67 @@ class Lexicon:
     def _begins(self, start: str) -> bool:
         """Whether a stem is one edit from a beginning; ``start`` is as long as such beginnings get."""
         if start not in self.begun:
-            if len(self.begun) > REMEMBERED:
+            if len(self.begun) > BEGUN:
                 self.begun.clear()
             cut = {x[:n] for x in deletions(start, 1) for n in range(STEMS[0] - 1, STEMS[-1] + 1)}
             self.begun[start] = not self.near_stems.isdisjoint(cut) and self.beginnings.within(start, 1)
         return self.begun[start]
 
+    def _is_term(self, word: str) -> bool:
+        return word in self.words or any(word[:n] in self.stems for n in STEMS if len(word) >= n)
+
     def _find(self, word: str) -> int:
-        if word in self.words or any(word[:n] in self.stems for n in STEMS if len(word) >= n):
+        if self._is_term(word):
             return 2
         if len(word) < SHORTEST - 1:
             return 0
         return int(self._begins(word[: STEMS[-1] + 1]) or self._misspelled(word, 1 if len(word) < 9 else 2))
 
+    def _near(self, words: list[str]) -> set[str]:
+        """The words that may be misspelled terms or begin like a stem: those that share a string after deletions."""
+        found: set[str] = set()
+        for edits, some in ((1, [w for w in words if len(w) < 9]), (2, [w for w in words if 9 <= len(w)])):
+            some = [w for w in some if SHORTEST - 1 <= len(w) <= self.longest + edits]
+            if some:
+                found.update(w for w, near in zip(some, self.shared[edits].any_of(some, edits)) if near)
+        starts: dict[str, list[str]] = {}
+        for w in words:
+            if len(w) >= SHORTEST - 1:
+                starts.setdefault(w[: STEMS[-1] + 1], []).append(w)
+        if starts and self.stems:
+            near = self.shared_stems.begin(list(starts), range(STEMS[0] - 1, STEMS[-1] + 1))
+            for begins, ws in zip(near, starts.values()):
+                found.update(ws if begins else ())
+        return found
+
     def kinds(self, words: list[str]) -> list[int]:
         known = self.known
-        if len(known) > REMEMBERED:
+        new = [w for w in set(words) if w not in known]
+        if new and len(known) + len(new) > REMEMBERED:
             known.clear()
-        for word in set(words):
-            if word not in known:
-                known[word] = self._find(word)
+            new = list(set(words))
+        if new:
+            near = self._near(new)
+            for word in new:
+                known[word] = self._find(word) if word in near else 2 * self._is_term(word)
         return [known[w] for w in words]
 
+    def all_features(self, texts: list[str | None]) -> list[list[float]]:
+        """The features of several texts, whose new words are looked up together."""
+        lows = [(text or "").lower() for text in texts]
+        words = [WORD.findall(low) for low in lows]
+        self.kinds(list(set().union(*words)))
+        return [self._features(low, ws, self.kinds(ws)) for low, ws in zip(lows, words)]
+
     def features(self, text: str | None) -> list[float]:
+        return self.all_features([text])[0]
+
+    def _features(self, low: str, words: list[str], kinds: list[int]) -> list[float]:
         """Terms, misspelled terms, quoted ones, the worst window, hits per word, and whether any."""
-        low = (text or "").lower()
-        words = WORD.findall(low)
-        kinds = self.kinds(words)
         hits = [i for i, k in enumerate(kinds) if k]
         if not hits:
             return [0.0] * FEATURES
-        spans = [m.span() for m in WORD.finditer(low)]
-        quoted = {i for i in hits if self._quoted(low, words, spans, i)}
+        quoted = self._quoted(low, words, hits)
         weight = [(0.3 if i in quoted else 1.0) * (1.0 if kinds[i] == 2 else 0.5) for i in hits]
         worst, first, total = 0.0, 0, 0.0
         for last, i in enumerate(hits):
@@ -203,12 +303,21 @@ class Lexicon:
         ]
 
     @staticmethod
-    def _quoted(low: str, words: list[str], spans: list[tuple[int, int]], i: int) -> bool:
-        first, last = max(0, i - WINDOW), min(len(words) - 1, i + WINDOW)
-        before = low[spans[first][0] : spans[i][0]]
-        after = low[spans[i][1] : spans[last][1] + 2]
-        marks = len(QUOTES.findall(before))
-        return bool(marks % 2 and QUOTES.search(after)) or not REPORTING.isdisjoint(words[first:i])
+    def _quoted(low: str, words: list[str], hits: list[int]) -> set[int]:
+        """Hits behind an odd number of quote marks of their window with one more after them, or behind a reporting word."""
+        marks = [m.start() for m in QUOTES.finditer(low)]
+        told = [] if REPORTING.isdisjoint(words) else [i for i, w in enumerate(words) if w in REPORTING]
+        if not marks and not told:
+            return set()
+        found = {i for i in hits if bisect_left(told, i) > bisect_left(told, max(0, i - WINDOW))}
+        if marks:
+            spans = [m.span() for m in WORD.finditer(low)]
+            for i in hits:
+                first, last = max(0, i - WINDOW), min(len(words) - 1, i + WINDOW)
+                before = bisect_left(marks, spans[i][0]) - bisect_left(marks, spans[first][0])
+                if before % 2 and bisect_left(marks, spans[last][1] + 2) > bisect_left(marks, spans[i][1]):
+                    found.add(i)
+        return found
 
 
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +336,8 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, key: str) -> tuple[DataFrame, dict[int, int]]:
     """Sampled (text, toxic) rows outside the held-out part, and the number of labels of each kind."""
-    known = labels.where(labels["toxic"].isin(0, 1) & ~held_out(labels[key])).groupBy(key).agg(F.max("toxic").cast("int").alias("toxic"))
+    marks = labels.select(labels[key].alias(key), labels["toxic"].alias("toxic"))
+    known = marks.where(F.col("toxic").isin(0, 1) & ~held_out(F.col(key))).groupBy(key).agg(F.max("toxic").cast("int").alias("toxic"))
     sizes = dict(known.groupBy("toxic").count().collect())
     limits = {0: CLEAN_ROWS, 1: TOXIC_ROWS}
     share = F.lit(0.0)
@@ -235,8 +345,9 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, key: str) -> tuple[DataFra
         share = F.when(F.col("toxic") == label, F.lit(rows / max(rows, sizes.get(label, 0)))).otherwise(share)
     drawn = F.pmod(F.xxhash64(F.lit(5), key), F.lit(1 << 20)) < share * (1 << 20)
     # a bounded number of ids and labels
-    sample = F.broadcast(known.where(drawn).select(F.col(key).alias("_key"), "toxic"))
-    return docs.join(sample, docs[key] == F.col("_key")).select(docs["text"], "toxic"), sizes
+    sample = F.broadcast(known.where(drawn).select(F.col(key).alias("labelled"), "toxic"))
+    texts = docs.select(docs[key].alias("id"), docs["text"].alias("text"))
+    return texts.join(sample, F.col("id") == F.col("labelled")).select("text", "toxic"), sizes
 
 
 def learn_lexicon(rows: DataFrame, toxic: int, clean: int) -> tuple[list[str], list[str]]:
@@ -267,7 +378,7 @@ def _featurizer(lexicon: tuple[list[str], list[str]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Lexicon(*lexicon)
         for piece in chunks(batches, "text"):
-            rows = [found.features(x) for x in piece.column("text").to_pylist()]
+            rows = found.all_features(piece.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [piece.column("toxic"), pa.array(rows, pa.list_(pa.float64()))], ["toxic", "features"]
             )
@@ -304,10 +415,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", kee
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Lexicon(*lexicon)
-        for piece in chunks(batches, "text"):
+        for piece in chunks(batches, "text", SCORED_BYTES):
             sums = [
-                intercept + sum(w * x for w, x in zip(weights, found.features(t)))
-                for t in piece.column("text").to_pylist()
+                intercept + sum(w * x for w, x in zip(weights, features))
+                for features in found.all_features(piece.column("text").to_pylist())
             ]
             scores = [1 / (1 + math.exp(-max(-50.0, min(50.0, s)))) for s in sums]
             yield pa.RecordBatch.from_arrays([*[piece.column(n) for n in names[:-1]], pa.array(scores)], names)
