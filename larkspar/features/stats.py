@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import ChiSquareTest, Correlation, Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 METRICS = ("mean", "variance", "count", "numNonZeros", "max", "min", "normL1", "normL2")
@@ -23,6 +23,11 @@ def sparse_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.where(F.col(vector) != 0)
 
 
+def vector_total(vector: str) -> Column:
+    """The sum of the entries that a vector stores; the zeros a sparse one leaves out are never made."""
+    return F.aggregate(F.unwrap_udt(vector)["values"], F.lit(0.0), lambda a, x: a + x)
+
+
 def column_stats(df: DataFrame, features: str, metrics: tuple[str, ...] = METRICS) -> DataFrame:
     """One row per vector position with the chosen metrics, from one pass."""
     summary = df.select(Summarizer.metrics(*metrics).summary(F.col(features)).alias("s"))
