@@ -16,13 +16,6 @@ def assembled(df: DataFrame, columns: list[str], out: str = "features") -> DataF
     return VectorAssembler(inputCols=columns, outputCol=out).transform(df)
 
 
-def sparse_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """Rows (key, width, position, value) of the entries of a vector that are not zero; zeros are dropped before any shuffle."""
-    entries = df.select(key, vector_to_array(vector).alias("entries"))
-    rows = entries.select(key, F.size("entries").alias("width"), F.posexplode("entries").alias("position", vector))
-    return rows.where(F.col(vector) != 0)
-
-
 def vector_total(vector: str) -> Column:
     """The sum of the entries that a vector stores; the zeros a sparse one leaves out are never made."""
     return F.aggregate(F.unwrap_udt(vector)["values"], F.lit(0.0), lambda a, x: a + x)

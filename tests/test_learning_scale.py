@@ -24,3 +24,11 @@ def test_hashed_counts_never_make_the_zeros(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(learning, "HashingTF", partial(HashingTF, numFeatures=(1 << 31) - 1))
     got = {r.doc_id: r.total for r in JOBS["ml_hashing_tf"](t).collect()}
     assert got == {1: 3.0, 2: 1.0, 3: 1.0, 4: 3.0}
+
+
+def test_encodings_are_given_whole(spark, tmp_path):
+    """Every place of every encoded vector is a row, also those that are zero."""
+    t = tables(spark, tmp_path, events=([(1, "a"), (2, "b"), (3, "a"), (3, "c")], "event_id long, event_type string"))
+    got = Counter((r.event_id, r.position, r.hot) for r in JOBS["ml_one_hot"](t).collect())
+    places = [(1, 0), (2, 1), (3, 0), (3, 2)]
+    assert got == Counter((event, place, float(place == own)) for event, own in places for place in range(3))
