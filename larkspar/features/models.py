@@ -24,7 +24,10 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspar.session import cut_lineage
+
 PREDICTION = "predictioncol"
+WEIGHT = "weight"
 
 
 def text_classifier(features: int = 1 << 18) -> tuple[Pipeline, LogisticRegression]:
@@ -86,6 +89,23 @@ def hashed_part_sql(key: str, parts: int) -> str:
     return f"CAST(((({key} % 2147483648) * 2654435761) % 4294967296 >> 16) % {parts} AS INTEGER)"
 
 
+def combined(data: DataFrame, features: str, label: str, fold: str) -> DataFrame:
+    """The rows of a fold with equal ``features`` as one or two points with a weight.
+
+    Number, mean and variance of the labels stay the same, and a least-squares tree and a root mean squared error
+    depend on nothing else. Features with many different values give no fewer points. Labels that are
+    null in some rows stay null, to be refused by the estimator.
+    """
+    known = F.count(label) == F.count(F.lit(1))
+    groups = data.groupBy(fold, features).agg(
+        F.count(F.lit(1)).alias("n"), F.when(known, F.avg(label)).alias("mean"), F.stddev_pop(label).alias("spread")
+    )
+    one = F.array(F.struct(F.col("mean").alias(label), F.col("n").cast("double").alias(WEIGHT)))
+    ends = [F.struct((F.col("mean") + sign * F.col("spread")).alias(label), (F.col("n") / 2).alias(WEIGHT)) for sign in (-1, 1)]
+    points = F.when(F.col("spread") > 0, F.array(*ends)).otherwise(one)
+    return groups.select(fold, features, F.inline(points))
+
+
 @dataclass
 class Search:
     """What a parameter search found: scores per fold and grid point, the best point, and its model on all rows."""
@@ -102,22 +122,24 @@ class Search:
 
 def searched(
     estimator: Estimator, grid: list[dict[Param, object]], evaluator: Evaluator, data: DataFrame, fold: str,
-    folds: list[int], parallelism: int = 4,
+    folds: list[int], parallelism: int = 4, weight: str | None = None,
 ) -> Search:
     """Fit each grid point on the rows outside each of ``folds`` and score it on the rows inside.
 
-    ``fold`` is a column of ``data``. The best point has the best mean score, the earliest of
-    equal ones, and is fitted once more on all rows. ``data`` is read for each fit and should be stored.
+    ``fold`` is a column of ``data``, ``weight`` the one that tells how many rows a row stands for. The best point
+    has the best mean score, the earliest of equal ones, and is fitted once more on all rows. ``data`` is
+    read for each fit and should be stored.
     """
-    sizes = {r[0]: r[1] for r in data.groupBy(fold).count().collect()}
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight).cast("long")
+    sizes = {r[0]: r[1] for r in data.groupBy(fold).agg(rows).collect()}
     total = sum(sizes.values())
+    tasks = [(number, point) for number in folds for point in range(len(grid))]
 
     def score(task: tuple[int, int]) -> float:
         number, point = task
         fitted = estimator.fit(data.where(F.col(fold) != number), grid[point])
         return evaluator.evaluate(fitted.transform(data.where(F.col(fold) == number), grid[point]))
 
-    tasks = [(number, point) for number in folds for point in range(len(grid))]
     with ThreadPool(parallelism) as pool:
         found = dict(zip(tasks, pool.map(inheritable_thread_target(data.sparkSession)(score), tasks)))
     better = max if evaluator.isLargerBetter() else min
@@ -143,11 +165,21 @@ def cross_validated(
 
 def split_validated(
     estimator: Estimator, grid: list[dict[Param, object]], evaluator: Evaluator, data: DataFrame, key: str,
-    parts: int = 5, parallelism: int = 4,
+    parts: int = 5, parallelism: int = 4, combine: bool = False,
 ) -> Search:
-    """Search on a single split: one of ``parts`` parts by the hash of ``key`` is scored, the others are fitted."""
+    """Search on a single split: one of ``parts`` parts by the hash of ``key`` is scored, the others are fitted.
+
+    ``combine`` is for a regression tree and its root mean squared error on features with few different values:
+    all rows are read once and trained on as ``combined`` points.
+    """
     split = data.withColumn("fold", hashed_part(key, parts))
-    return searched(estimator, grid, evaluator, split, "fold", [0], parallelism)
+    if not combine:
+        return searched(estimator, grid, evaluator, split, "fold", [0], parallelism)
+    if estimator.getMinInstancesPerNode() > 1:
+        raise ValueError("a point stands for many rows, so rows of a node cannot be counted")
+    points = cut_lineage(combined(split, estimator.getFeaturesCol(), estimator.getLabelCol(), "fold"))
+    tree, error = estimator.copy({estimator.weightCol: WEIGHT}), evaluator.copy({evaluator.weightCol: WEIGHT})
+    return searched(tree, grid, error, points, "fold", [0], parallelism, WEIGHT)
 
 
 def losses(spark: SparkSession, fitted: Model) -> DataFrame:

@@ -5,9 +5,15 @@ from __future__ import annotations
 from collections import Counter
 from functools import partial
 
+import pytest
 from pyspark.ml.feature import HashingTF
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import DecisionTreeRegressor
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import functions as F
 
 from larkspar.catalog import JOBS, learning
+from larkspar.features import models
 from larkspar.tables import Tables
 
 
@@ -32,3 +38,42 @@ def test_encodings_are_given_whole(spark, tmp_path):
     got = Counter((r.event_id, r.position, r.hot) for r in JOBS["ml_one_hot"](t).collect())
     places = [(1, 0), (2, 1), (3, 0), (3, 2)]
     assert got == Counter((event, place, float(place == own)) for event, own in places for place in range(3))
+
+
+def test_tree_search_trains_on_combined_rows(spark, tmp_path, monkeypatch):
+    """Before, each of the 17 fits read every line several times."""
+    lines = [(i, 900.0 + 733.7 * (i % 137), (i % 11) / 100) for i in range(600)]
+    t = tables(spark, tmp_path, lineitem=(lines, "l_orderkey long, l_extendedprice double, l_discount double"))
+    seen = []
+
+    def watched(estimator, grid, evaluator, data, *others):
+        seen.append(data.count())
+        return searched(estimator, grid, evaluator, data, *others)
+
+    searched = models.searched
+    monkeypatch.setattr(models, "searched", watched)
+    rows = JOBS["ml_tree_search"](t).collect()
+    assert len(rows) == 16 and all(r.n_fitted + r.n_scored == 600 and r.scored and r.best_has_best_mean for r in rows)
+    assert seen[0] <= 5 * 2 * 2  # folds, different features, points
+
+
+@pytest.mark.parametrize("values", [2, 7])
+def test_combined_rows_give_the_same_trees(spark, values):
+    rows = [(i, [float(i % values), float(i // 7 % 2)], 1e4 + 91.5 * (i * i % 53) + 4000.0 * (i % values)) for i in range(400)]
+    rows += [(400, [99.0, 1.0], 7.0), *rows[:30]]  # one of its kind, and rows that come twice
+    data = spark.createDataFrame(rows, "key long, x array<double>, label double")
+    data = data.select("key", "label", array_to_vector("x").alias("x")).cache()
+    tree = DecisionTreeRegressor(featuresCol="x", labelCol="label", predictionCol=models.PREDICTION)
+    grid = ParamGridBuilder().addGrid(tree.maxDepth, [1, 3, 6]).build()
+    was, now = (models.split_validated(tree, grid, models.rmse(), data, "key", combine=c) for c in (False, True))
+    by_depth = lambda search: {r.maxDepth: (r.n_fitted, r.n_scored, pytest.approx(r.score, rel=1e-9)) for r in search.scores.collect()}
+    assert by_depth(was) == {r.maxDepth: (r.n_fitted, r.n_scored, r.score) for r in now.scores.collect()}
+    assert list(was.best.values()) == list(now.best.values())
+    predicted = lambda search: [r[0] for r in search.best_model.transform(data).orderBy("key").select(models.PREDICTION).collect()]
+    assert predicted(was) == pytest.approx(predicted(now), rel=1e-9)
+
+
+def test_unknown_labels_are_not_combined_away(spark):
+    data = spark.createDataFrame([(1, [0.0], 1.0), (1, [0.0], None), (1, [1.0], 2.0)], "fold int, x array<double>, label double")
+    points = models.combined(data, "x", "label", "fold").orderBy("x").collect()
+    assert [(r.label, r.weight) for r in points] == [(None, 2.0), (2.0, 1.0)]
