@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -128,17 +129,19 @@ def searched(
 
     ``fold`` is a column of ``data``, ``weight`` the one that tells how many rows a row stands for. The best point
     has the best mean score, the earliest of equal ones, and is fitted once more on all rows. ``data`` is
-    read for each fit and should be stored.
+    read for each fit and should be stored. The fits beside each other share its partitions out, as
+    each partition of a fit sends sums as long as the model in every iteration.
     """
     rows = F.count(F.lit(1)) if weight is None else F.sum(weight).cast("long")
     sizes = {r[0]: r[1] for r in data.groupBy(fold).agg(rows).collect()}
     total = sum(sizes.values())
     tasks = [(number, point) for number in folds for point in range(len(grid))]
+    shared = data.coalesce(ceil(max(1, data.rdd.getNumPartitions()) / max(1, min(parallelism, len(tasks)))))
 
     def score(task: tuple[int, int]) -> float:
         number, point = task
-        fitted = estimator.fit(data.where(F.col(fold) != number), grid[point])
-        return evaluator.evaluate(fitted.transform(data.where(F.col(fold) == number), grid[point]))
+        fitted = estimator.fit(shared.where(F.col(fold) != number), grid[point])
+        return evaluator.evaluate(fitted.transform(shared.where(F.col(fold) == number), grid[point]))
 
     with ThreadPool(parallelism) as pool:
         found = dict(zip(tasks, pool.map(inheritable_thread_target(data.sparkSession)(score), tasks)))

@@ -77,3 +77,32 @@ def test_unknown_labels_are_not_combined_away(spark):
     data = spark.createDataFrame([(1, [0.0], 1.0), (1, [0.0], None), (1, [1.0], 2.0)], "fold int, x array<double>, label double")
     points = models.combined(data, "x", "label", "fold").orderBy("x").collect()
     assert [(r.label, r.weight) for r in points] == [(None, 2.0), (2.0, 1.0)]
+
+
+def test_partitions_of_training_do_not_grow_with_the_rows(spark):
+    """Each partition of a fit sends 2 MB per iteration with 2^18 features."""
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = spark.range(4000).select("id", (F.col("id") % 2).cast("double").alias("label"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+        data = learning.stored(rows)
+        assert data.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+        assert data.count() == 4000 and data.distinct().count() == 4000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_fits_beside_each_other_share_the_partitions(spark, monkeypatch):
+    data = spark.range(0, 200, 1, 8).select(
+        F.col("id").alias("key"), (F.col("id") % 3 % 2).cast("double").alias("label"), array_to_vector(F.array((F.col("id") % 3).cast("double"))).alias("x")
+    )
+    tree = DecisionTreeRegressor(featuresCol="x", labelCol="label", predictionCol=models.PREDICTION)
+    fitted, fit = [], DecisionTreeRegressor.fit
+    monkeypatch.setattr(DecisionTreeRegressor, "fit", lambda self, d, p=None: (fitted.append(d.rdd.getNumPartitions()), fit(self, d, p))[1])
+    grid = ParamGridBuilder().addGrid(tree.maxDepth, [1, 2, 3, 4, 5]).build()
+    search = models.split_validated(tree, grid, models.rmse(), data, "key")
+    assert fitted == [2] * 5 + [8]
+    assert {(r.n_fitted + r.n_scored) for r in search.scores.collect()} == {200}
