@@ -4,14 +4,17 @@ Documents with equal shingle sets form a class; classes are joined. A parity ske
 bit per shingle, so the Hamming distance of two sketches is at most the size of the symmetric
 difference of their sets. Sizes fall into overlapping bands, such that two sets that may be
 similar share a band, and in a band the symmetric difference of a similar pair is at most
-d. The shingles of a set are dealt to more than d blocks, each with the fingerprint (XOR of
-hashes) of a very long parity sketch: by the pigeonhole principle a similar pair has an
-equal block. Sets without enough non-empty blocks also emit their empty ones;
+d. The hash space is cut into as many parts as leave ``PART`` shingles of a set in each: a pair whose
+sets differ in D shingles differs in at most D / parts of them in one part at least. The shingles of a
+part are dealt to more than d / parts blocks, each with the fingerprint (XOR of hashes) of a very
+long parity sketch: by the pigeonhole principle a similar pair has an equal block in that part.
+Parts without enough non-empty blocks also emit their empty ones;
 all others leave them out, so no block is shared for being empty.
 
 Equal blocks make candidates (see ``links``); only pairs within the size and Hamming bounds of
-256-bit parity sketches are emitted, and their texts are fetched and compared. All links between
-different components are found, so components are exact.
+the parity sketches of the block's part are emitted, and their texts are fetched and compared. A sketch
+covers one part, so it does not fill up with the size of a set, and no row carries more than one.
+All links between different components are found, so components are exact.
 
 Shingles are compared by 64-bit hashes of their words. Words have A-Z lowered.
 
@@ -30,10 +33,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from larkspar.llm.links import Links, component_rows, first_seen, long_lists, one_of_each, parity_sketch, set_verifier, slim
+from larkspar.llm.links import (
+    Links, block_lists, component_rows, first_seen, one_of_each, parity_sketch, set_verifier, sketch_lists, slim,
+)
 from larkspar.llm.words import SPACED, chunks, lower_word_hashes, mix
 
-SKETCH_BITS = 256
+#: Bits of a sketch; pieces of it that are one for hubs; shingles that a part has at most in the smaller set of a pair, on average.
+SKETCH_BITS = 1024
+FOLD = 4
+PART = 256
+NO_SKETCH = np.zeros((0, 1 + SKETCH_BITS // 64), dtype=np.uint64)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -70,8 +79,8 @@ class Bands:
         while self.starts[-1] <= size:
             self.starts.append(max(self.starts[-1] + 1, self.starts[-1] * 5 // 4))
 
-    def of(self, size: int) -> Iterator[tuple[int, int]]:
-        """Bands of a set and the largest symmetric difference of similar pairs there; equal sets aside."""
+    def of(self, size: int) -> Iterator[tuple[int, int, int]]:
+        """Bands of a set, the largest symmetric difference of similar pairs there, equal sets aside, and the parts."""
         self._until(size * 2 + 2)
         for band, (low, high) in enumerate(pairwise(self.starts)):
             if low > size:
@@ -79,23 +88,36 @@ class Bands:
             if size * self.num <= (high - 1) * self.den:
                 d = (high - 1) * (self.den - self.num) // self.num
                 if d:
-                    yield band, d
-
-    def keys(self, shingles: np.ndarray) -> np.ndarray:
-        out = []
-        for band, d in self.of(len(shingles)):
+                    yield band, d, 1 << max(0, (high - 2) // PART).bit_length()
+
+    def keys(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Blocks of a sorted set, the slot of each one's sketch, and the sketches with their number of parts, by slot."""
+        keys, slots, lines, first = [], [], [], {}
+        for band, whole, parts in self.of(len(shingles)):
+            if parts not in first:
+                first[parts] = sum(first)
+                bits = parity_sketch(shingles, parts * SKETCH_BITS).reshape(parts, -1)
+                lines.append(np.column_stack([np.full(parts, parts, dtype=np.uint64), bits]))
+            d = whole // parts
             count = d + 1 + (d + 7) // 8
-            block = (mix(shingles + np.uint64(band)) >> np.uint64(32)) % np.uint64(count)
+            part = shingles >> np.uint64(64 - parts.bit_length() + 1) if parts > 1 else np.uint64(0)
+            block = (mix(shingles + np.uint64(band)) >> np.uint64(32)) % np.uint64(count) + part * np.uint64(count)
             order = np.argsort(block, kind="stable")
-            cuts = np.flatnonzero(np.diff(block[order], prepend=np.uint64(count)))
+            cuts = np.flatnonzero(np.diff(block[order], prepend=np.uint64(parts * count)))
             prints = np.bitwise_xor.reduceat(mix(shingles[order] ^ _ODD), cuts)
             blocks = block[order][cuts]
-            if len(blocks) <= d:
-                empty = np.setdiff1d(np.arange(count, dtype=np.uint64), blocks)
+            held = np.bincount((blocks // np.uint64(count)).astype(np.int64), minlength=parts)
+            if (held <= d).any():
+                short = np.repeat(held <= d, count)
+                short[blocks.astype(np.int64)] = False
+                empty = np.flatnonzero(short).astype(np.uint64)
                 blocks = np.concatenate([blocks, empty])
                 prints = np.concatenate([prints, np.zeros(len(empty), dtype=np.uint64)])
-            out.append(mix(prints + mix(blocks * _ODD + np.uint64(band + 1))))
-        return np.concatenate(out) if out else shingles[:0]
+            keys.append(mix(prints + mix(blocks * _ODD + np.uint64(band + 1))))
+            slots.append(first[parts] + (blocks // np.uint64(count)).astype(np.int32))
+        if not keys:
+            return shingles[:0], np.zeros(0, dtype=np.int32), NO_SKETCH
+        return np.concatenate(keys), np.concatenate(slots), np.concatenate(lines)
 
 
 def _prepared(words: int, num: int, den: int):
@@ -107,13 +129,14 @@ def _prepared(words: int, num: int, den: int):
             sizes = np.array([len(s) for s in sets], dtype=np.uint64)
             sums = np.array([np.add.reduce(mix(s + _ODD)) if len(s) else 0 for s in sets], dtype=np.uint64)
             classes = mix(sums + sizes * _ODD).view(np.int64)
+            found = [bands.keys(s if new else s[:0]) for s, new in zip(sets, first_seen(classes, emitted))]
             yield pa.RecordBatch.from_arrays(
                 [
                     piece.column("key"), piece.column("hash"), pa.array(sizes.astype(np.int64)), pa.array(classes),
-                    long_lists([parity_sketch(s, SKETCH_BITS) for s in sets]),
-                    long_lists([bands.keys(s) if new else s[:0] for s, new in zip(sets, first_seen(classes, emitted))]),
+                    sketch_lists([lines for _, _, lines in found]),
+                    block_lists([keys for keys, _, _ in found], [slots for _, slots, _ in found]),
                 ],
-                ["key", "hash", "n", "cls", "sketch", "keys"],
+                ["key", "hash", "n", "cls", "sketches", "keys"],
             )
 
     return run
@@ -122,7 +145,8 @@ def _prepared(words: int, num: int, den: int):
 def _search(docs: DataFrame, key: str, words: int, num: int, den: int) -> DataFrame:
     return Links(
         slim(docs, key), _prepared(words, num, den), set_verifier(lambda texts: shingle_sets(texts, words), num, den),
-        num, den, SKETCH_BITS // 64, lambda flipped, sizes: sum(flipped[1:], flipped[0]) * (den + num) <= sizes * (den - num),
+        num, den, SKETCH_BITS // 64,
+        lambda flipped, sizes, parts: sum(flipped[1:], flipped[0]) * parts * (den + num) <= sizes * (den - num), fold=FOLD,
     ).labelled_rows()
 
 

@@ -33,7 +33,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspar.llm.jaccard_join import shingle_sets
-from larkspar.llm.links import Links, component_rows, first_seen, long_lists, one_of_each, parity_sketch, set_verifier, slim
+from larkspar.llm.links import (
+    Links, block_lists, component_rows, first_seen, one_of_each, parity_sketch, set_verifier, sketch_lists, slim,
+)
 from larkspar.llm.words import chunks, mix
 
 COORDINATES = 128
@@ -89,21 +91,21 @@ def _prepared(words: int):
             sums = np.array([np.add.reduce(mix(s + _ODD)) if len(s) else 0 for s in sets], dtype=np.uint64)
             classes = mix(sums + sizes * _ODD).view(np.int64)
             none = np.zeros(0, dtype=np.uint64)
-            bits, keys = [none] * len(sets), [none] * len(sets)
+            bits, keys = [none.reshape(0, 1)] * len(sets), [none] * len(sets)
             full = np.flatnonzero(sizes)
             held = sketches([sets[i] for i in full])
             packed = np.packbits((held & np.uint64(1)).astype(np.uint8), axis=1).view(np.uint64)
             new = first_seen(classes, emitted)
             for i, row, key in zip(full.tolist(), packed, band_keys(held)):
-                bits[i] = np.append(row, parity_sketch(sets[i], PARITY_BITS))
                 if new[i]:
+                    bits[i] = np.concatenate([[np.uint64(1)], row, parity_sketch(sets[i], PARITY_BITS)])[None]
                     keys[i] = key
             yield pa.RecordBatch.from_arrays(
                 [
                     piece.column("key"), piece.column("hash"), pa.array(sizes.astype(np.int64)), pa.array(classes),
-                    long_lists(bits), long_lists(keys),
+                    sketch_lists(bits), block_lists(keys, [np.zeros(len(k), dtype=np.int32) for k in keys]),
                 ],
-                ["key", "hash", "n", "cls", "sketch", "keys"],
+                ["key", "hash", "n", "cls", "sketches", "keys"],
             )
 
     return run
@@ -114,7 +116,7 @@ def _search(docs: DataFrame, key: str, words: int, num: int, den: int) -> DataFr
         raise ValueError("bands and sketches are laid out for a similarity of 0.8 or more")
     whole = COORDINATES // 64
 
-    def apart(flipped: list[Column], sizes: Column) -> Column:
+    def apart(flipped: list[Column], sizes: Column, parts: Column) -> Column:
         coordinates = sum(flipped[1:whole], flipped[0])
         parity = sum(flipped[whole + 1 :], flipped[whole])
         return (coordinates <= APART) & (parity * (den + num) <= sizes * (den - num))
