@@ -53,6 +53,24 @@ def test_cluster_needs_a_named_database_and_folder(monkeypatch):
         session.shared_root(cluster)
 
 
+@pytest.mark.parametrize("master, in_process", [
+    ("local", True), ("local[4]", True), ("local[*]", True), ("local[2,3]", True),
+    ("local-cluster[3,2,3000]", False), ("spark://host:7077", False),
+])
+def test_in_process_database_is_for_sessions_of_one_process(master, in_process):
+    """Executors of ``local-cluster`` are processes of their own, each with an empty database of that name."""
+    named = {}
+    conf = SimpleNamespace(get=lambda key, default=None: named.get(key, default))
+    cluster = SimpleNamespace(sparkContext=SimpleNamespace(master=master), conf=conf)
+    if in_process:
+        assert databases.database_url(cluster) == databases.IN_PROCESS
+    else:
+        with pytest.raises(RuntimeError, match="spark.larkspar.jdbc.url"):
+            databases.database_url(cluster)
+    named[databases.URL_SETTING] = "jdbc:other://host/db"
+    assert databases.database_url(cluster) == "jdbc:other://host/db"
+
+
 def test_named_checkpoint_folder_is_used():
     chosen = []
     context = SimpleNamespace(
